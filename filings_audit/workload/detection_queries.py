@@ -37,7 +37,7 @@ def rule_violation(spark, sf_dir):
 
 
 @query("score_quantiles", f"WITH {oracle.SCORED} " + " UNION ALL ".join(
-    f"SELECT {q} AS share, round(quantile_cont(raw, {q}), 6) AS threshold FROM scored" for q in ("0.01", "0.08", "0.5")))
+    f"SELECT CAST({q} AS DOUBLE) AS share, round(quantile_cont(raw, {q}), 6) AS threshold FROM scored" for q in ("0.01", "0.08", "0.5")))
 def score_quantiles(spark, sf_dir):
     rows = fixture.scored(spark, sf_dir).select("ml_raw_score")
     counts = rows.groupBy("ml_raw_score").count()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from filings_audit.operators import detection, explain
 from filings_audit.schemas import TRIAGE, conform
-from filings_audit.session import configure, new_dir
+from filings_audit.session import configure, materialize, new_dir
 from filings_audit.sinks import gold
 from filings_audit.sources import star_schema
 
@@ -21,13 +21,14 @@ def as_of() -> Column:
 
 def stand_in_score(norm: Column) -> Column:
     """A raw score that SQL can express as well: the more negative, the further from the mean."""
-    distance = F.least(F.abs(norm) / 5, F.lit(1.0))
-    return F.lit(0.0) - F.round(F.coalesce(distance, F.lit(0.0)), 4)
+    distance = F.least(F.abs(F.coalesce(norm, F.lit(0.0))) / 5, F.lit(1.0))
+    return F.lit(0.0) - F.round(distance, 4)
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filings with features and raw score, as a table: thresholds and ranges read its score column alone."""
     features = detection.with_features(star_schema.filings(spark, sf_dir))
-    return features.withColumn("ml_raw_score", stand_in_score(F.col("revenue_growth_norm")))
+    return materialize(features.withColumn("ml_raw_score", stand_in_score(F.col("revenue_growth_norm"))), "scored")
 
 
 def triage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

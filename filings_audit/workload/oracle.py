@@ -90,7 +90,7 @@ stats AS (SELECT avg(revenue_growth) AS mean, stddev_samp(revenue_growth) AS std
 scored AS (
   SELECT f.*, (revenue_growth - mean) / (std + 1e-9) AS z,
     coalesce(CAST(operating_cash_flow AS DOUBLE), 0) / 1e10 AS cf,
-    0.0 - round(coalesce(least(abs((revenue_growth - mean) / (std + 1e-9)) / 5, 1.0), 0.0), 4) AS raw
+    0.0 - round(least(abs(coalesce((revenue_growth - mean) / (std + 1e-9), 0.0)) / 5, 1.0), 4) AS raw
   FROM filings f, stats)"""
 
 RULE = "(coalesce(revenue_growth, 0) > 0.2 AND coalesce(operating_cash_flow, 0) < 0)"

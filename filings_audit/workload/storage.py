@@ -44,17 +44,17 @@ _RANK = "row_number() OVER (PARTITION BY uuid ORDER BY {at} DESC, {cash} DESC, c
 @query("upsert_gold", f"""
 WITH {oracle.FILINGS},
 keyed AS (SELECT *, {_UUID} AS uuid FROM filings),
-first AS (SELECT uuid, company_name, operating_cash_flow AS cash, created_at AS at,
+first AS (SELECT uuid, company_name, operating_cash_flow AS cash, created_at AS happened,
   {_RANK.format(at='created_at', cash='operating_cash_flow')} AS rn FROM keyed WHERE filing_state <> 'O'),
-shipped AS (SELECT l_orderkey, max(l_shipdate) AS at, CAST(sum(l_quantity) * 1e6 AS DECIMAL(20,2)) AS cash
+shipped AS (SELECT l_orderkey, max(l_shipdate) AS happened, CAST(sum(l_quantity) * 1e6 AS DECIMAL(20,2)) AS cash
   FROM lineitem GROUP BY l_orderkey),
-later AS (SELECT uuid, company_name, s.cash, s.at, {_RANK.format(at='s.at', cash='s.cash')} AS rn
+later AS (SELECT uuid, company_name, s.cash, s.happened, {_RANK.format(at='s.happened', cash='s.cash')} AS rn
   FROM keyed JOIN shipped s ON order_key = l_orderkey),
 merged AS (
   SELECT * FROM later WHERE rn = 1
   UNION ALL SELECT * FROM first WHERE rn = 1 AND uuid NOT IN (SELECT uuid FROM later))
 SELECT uuid AS id, company_name, CAST(cash AS DOUBLE) AS operating_cash_flow,
-  strftime(at, '%Y-%m-%d %H:%M:%S') AS created_at FROM merged""")
+  strftime(happened, '%Y-%m-%d %H:%M:%S') AS created_at FROM merged""")
 def upsert_gold(spark, sf_dir):
     """K3: filed records first, then twice the same batch of revisions."""
     root = new_dir(configure(spark), "gold")
@@ -115,7 +115,7 @@ def _stream(spark, path, schema, files=1000):
 
 
 def _table_stream(spark, sf_dir, name):
-    return _stream(spark, f"{sf_dir}/{name}.parquet", star_schema.table(spark, sf_dir, name).schema)
+    return _stream(spark, f"{sf_dir}/{name}.parquet*", star_schema.table(spark, sf_dir, name).schema)
 
 
 @query("stream_ingest", f"""
