@@ -85,10 +85,15 @@ def mask_values(df: DataFrame, config: MaskingConfig | None = None, suffix: str
     return mask(df, config, suffix).drop(HITS)
 
 
+def _exploded(masked: DataFrame, *columns: Column) -> DataFrame:
+    """One row per hit. The outer form keeps Spark from deriving a filter that repeats the whole scan."""
+    return masked.select(*columns, F.explode_outer(HITS).alias("hit")).filter(F.col("hit").isNotNull())
+
+
 def audit_entries(masked: DataFrame, source_file_id: str, as_of: Column, mode: str = "mock") -> DataFrame:
     """M5: one row per (field, type) with at least one hit. Holds names and counts, never values (M8)."""
     counts = (
-        masked.select(F.explode(HITS).alias("hit"))
+        _exploded(masked)
         .groupBy(
             F.col("hit.field").alias("field_name"),
             F.col("hit.pii_type").alias("pii_type"),
@@ -112,7 +117,7 @@ def audit_entries(masked: DataFrame, source_file_id: str, as_of: Column, mode: s
 
 def row_hits(masked: DataFrame, record_id: str) -> DataFrame:
     """X11: one row per record, field and type that was masked."""
-    return masked.select(F.col(record_id).alias("record_id"), F.explode(HITS).alias("hit")).select(
+    return _exploded(masked, F.col(record_id).alias("record_id")).select(
         "record_id", F.col("hit.field").alias("field_name"), F.col("hit.pii_type").alias("pii_type"),
         F.col("hit.method").alias("masking_method"),
     )

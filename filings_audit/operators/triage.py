@@ -9,11 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filings_audit.functions import scores, shaping
+from filings_audit.session import materialize
 
 PAGE_SIZE = 10
 FILING_LIMITS = (1, 1000)
 AUDIT_LIMITS = (1, 2000)
 DEFAULT_LIMIT = 200
+TOP_K_REACH = 100_000  # rows a task may hold for a page
+MAX_RANGES = 10_000
 
 
 def to_records(df: DataFrame) -> DataFrame:
@@ -148,15 +151,24 @@ SORT_KEYS = {
 TEXT_KEYS = {"company", "formType", "filingDate", "rootCause", "assignee"}
 
 
-def sort_order(key: str | None, descending: bool = False, collation: str | None = None) -> list[Column]:
-    """Order of a record view. Ties stay newest first in both directions."""
-    base = [F.desc("created_at"), F.asc("id")]
+def sort_keys(key: str | None, descending: bool = False, collation: str | None = None) -> list[tuple[Column, bool]]:
+    """(column, descending) pairs of a record view. Ties stay newest first in both directions."""
+    base = [(F.col("created_at"), True), (F.col("id"), False)]
     if key is None:
         return base
     value = SORT_KEYS[key]()
     if collation and key in TEXT_KEYS:
         value = F.collate(value, collation)
-    return [value.desc() if descending else value.asc(), *base]
+    return [(value, descending), *base]
+
+
+def _order(keys: list[tuple[Column, bool]], reverse: bool = False) -> list[Column]:
+    """Sort columns; reversing every direction also reverses where nulls go."""
+    return [column.desc() if down != reverse else column.asc() for column, down in keys]
+
+
+def sort_order(key: str | None, descending: bool = False, collation: str | None = None) -> list[Column]:
+    return _order(sort_keys(key, descending, collation))
 
 
 def sort_records(records: DataFrame, key: str | None, descending: bool = False, collation: str | None = None) -> DataFrame:
@@ -170,17 +182,49 @@ def clamp_page(page: int, rows: int, size: int = PAGE_SIZE) -> int:
 
 def page(
     records: DataFrame, number: int, key: str | None = None, descending: bool = False,
-    size: int = PAGE_SIZE, rows: int | None = None, collation: str | None = None,
+    size: int = PAGE_SIZE, rows: int | None = None, collation: str | None = None, reach: int = TOP_K_REACH,
 ) -> DataFrame:
-    """T5: one page of the sorted view. Planned as a top-k, never as a global numbering.
+    """T5: one page of the sorted view, without a global numbering.
 
     The page number is clamped by the row count, which is taken only where a page beyond the first is asked.
+    Pages near either end are a top-k from that end. Others go through ranges (``_page_between``), so no
+    task holds more than ``reach`` rows or one range.
+    """
+    keys = sort_keys(key, descending, collation)
+    if number <= 1:
+        return records.orderBy(*_order(keys)).limit(size)
+    rows = records.count() if rows is None else rows
+    start = (clamp_page(number, rows, size) - 1) * size
+    take = min(size, rows - start)
+    if take <= 0:
+        return records.limit(0)
+    if start + take <= reach:
+        return records.orderBy(*_order(keys)).offset(start).limit(take)
+    from_end = rows - start - take
+    if from_end + take <= reach:
+        tail = records.orderBy(*_order(keys, reverse=True)).offset(from_end).limit(take)
+        return tail.orderBy(*_order(keys))
+    return _page_between(records, _order(keys), start, take, rows, reach)
+
+
+def _page_between(records: DataFrame, order: list[Column], start: int, take: int, rows: int, reach: int) -> DataFrame:
+    """Rows ``start .. start + take`` of the order: split into ranges, count each, sort only the ones hit.
+
+    The ranges are written out, so that counting and reading see the same split. The driver gets one count
+    per range.
     """
-    if number > 1 and rows is None:
-        rows = records.count()
-    start = 0 if number <= 1 else (clamp_page(number, rows, size) - 1) * size
-    ordered = sort_records(records, key, descending, collation)
-    return (ordered.offset(start) if start else ordered).limit(size)
+    ranges = max(2, min(MAX_RANGES, -(-rows // reach)))
+    split = records.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id())
+    stored = materialize(split, "page")
+    counts = sorted(stored.groupBy("__range").count().collect())
+    hit, before, skip = [], 0, 0
+    for number, count in counts:
+        if before < start + take and before + count > start:
+            skip = skip if hit else start - before
+            hit.append(number)
+        before += count
+    inside = stored.filter(F.col("__range").isin(hit)).drop("__range")
+    return inside.orderBy(*order).offset(skip).limit(take)
 
 
 def summary(df: DataFrame, with_average: bool = False) -> DataFrame:
