@@ -26,7 +26,7 @@ def _cut(line: Column, start: int, width: int | None) -> Column:
 
 def read_lines(spark: SparkSession, path: str, streaming: bool = False, **options) -> DataFrame:
     """Lines and the path they came from. Spark unpacks gz and follows any Hadoop URI."""
-    reader = (spark.readStream if streaming else spark.read).option("encoding", ENCODING)
+    reader = spark.readStream if streaming else spark.read
     for name, value in {"recursiveFileLookup": "true", **options}.items():
         reader = reader.option(name, value)
     return reader.text(path).select("value", F.col("_metadata.file_path").alias("path"))
@@ -36,12 +36,12 @@ def parse_lines(lines: DataFrame, forms=TARGET_FORMS) -> DataFrame:
     """Typed-as-text index rows tagged with their quarter.
 
     Headers are told by content, not by position, so a file may be split or joined at will. ``forms=None``
-    keeps every form.
+    keeps every form. The text source hands lines over as raw bytes, so they are decoded here.
     """
-    line = F.col("value")
-    fields = {name: _cut(line, *span) for name, span in LAYOUT.items()}
+    fields = {name: _cut(F.col("line"), *span) for name, span in LAYOUT.items()}
     rows = (
-        lines.filter((F.trim(line) != "") & ~line.startswith("---"))
+        lines.filter((F.trim("value") != "") & ~F.col("value").startswith("---"))
+        .select(F.decode(F.col("value").cast("binary"), ENCODING).alias("line"), "path")
         .select(
             *[F.nullif(expr, F.lit("")).alias(name) for name, expr in fields.items()],
             F.regexp_extract("path", _QUARTER_IN_PATH, 1).alias("edgar_year"),
@@ -65,4 +65,5 @@ def format_lines(df: DataFrame) -> DataFrame:
         F.rpad(F.coalesce(F.col(name), F.lit("")), width, " ") if width else F.col(name)
         for name, (_, width) in LAYOUT.items()
     ]
-    return df.select(F.concat(*padded).alias("value"), *[c for c in ("edgar_year", "edgar_quarter") if c in df.columns])
+    line = F.encode(F.concat(*padded), ENCODING).cast("string")
+    return df.select(line.alias("value"), *[c for c in ("edgar_year", "edgar_quarter") if c in df.columns])

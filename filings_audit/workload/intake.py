@@ -212,7 +212,7 @@ def write_index(spark, sf_dir) -> str:
     lines = index_files.format_lines(star_schema.index_rows(spark, sf_dir))
     (
         lines.hint("rebalance", "edgar_year", "edgar_quarter").write.partitionBy("edgar_year", "edgar_quarter")
-        .option("compression", "gzip").option("encoding", index_files.ENCODING).text(path)
+        .option("compression", "gzip").text(path)
     )
     return path
 
