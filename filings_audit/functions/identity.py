@@ -17,9 +17,13 @@ def salted_sha256(value: Column, salt: str) -> Column:
 
 
 def uuid5_url(name: Column) -> Column:
-    """Version 5 UUID of ``name`` in the URL namespace."""
-    digest = F.sha1(F.concat(F.unhex(F.lit(URL_NAMESPACE_HEX)), F.encode(name, "UTF-8")))
-    variant = F.lower(F.hex(F.conv(F.substring(digest, 17, 1), 16, 10).cast("int").bitwiseAND(3).bitwiseOR(8)))
+    """Version 5 UUID of ``name`` in the URL namespace.
+
+    Built from operations that Spark knows never add a null, so that a not-null test on an id costs nothing.
+    """
+    digest = F.sha1(F.concat(F.lit(bytes.fromhex(URL_NAMESPACE_HEX)), name.cast("binary")))
+    # Variant: keep the digit's two low bits and set the high bits to 10.
+    variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab" * 4)
     return F.concat(
         F.substring(digest, 1, 8), F.lit("-"),
         F.substring(digest, 9, 4), F.lit("-5"),

@@ -12,6 +12,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Small stages keep their parallelism: hashing, matching and scoring cost far more per byte than a scan.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     # Split hot join keys even where that costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

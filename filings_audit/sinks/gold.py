@@ -56,12 +56,15 @@ def exists(spark: SparkSession, root: str) -> bool:
     return _current(spark, root)[0] > 0
 
 
-def _write(df: DataFrame, path: str) -> list[str]:
-    """Write month folders and return the months. Months are split over tasks where they are large."""
+def _write(df: DataFrame, path: str) -> None:
+    """Write month folders. Large months are split over tasks, small ones share them."""
     df.hint("rebalance", "filing_month").write.mode("overwrite").partitionBy("filing_month").parquet(path)
-    schema = T.StructType([*TRIAGE.fields, STORED["filing_month"]])
-    months = df.sparkSession.read.schema(schema).parquet(path).select("filing_month").distinct().collect()
-    return [row.filing_month for row in months]
+
+
+def _months(spark: SparkSession, path: str) -> list[str]:
+    """Months found under a written path; reads folder names only."""
+    rows = spark.read.schema(STORED).parquet(path).select("filing_month").distinct().collect()
+    return [row.filing_month for row in rows]
 
 
 def _commit(spark: SparkSession, root: str, version: int, locations: list[tuple[str, str]]) -> None:
@@ -97,7 +100,8 @@ def upsert(
     last, stored = _current(spark, root)
     version = last + 1
     staged_path = f"{root}/data/commit={version}-batch"
-    months = _write(incoming.withColumn("filing_month", month_of("filing_date")), staged_path)
+    _write(incoming.withColumn("filing_month", month_of("filing_date")), staged_path)
+    months = _months(spark, staged_path)
     touched = [m for m in months if m in stored]
     locations = [(m, f"{staged_path}/filing_month={m}") for m in months if m not in stored]
     if touched:
@@ -120,7 +124,8 @@ def append(batch: DataFrame, root: str, as_of: Column | None = None) -> int:
     version = last + 1
     path = f"{root}/data/commit={version}-batch"
     valid, _ = split_valid(with_defaults(batch, as_of))
-    months = _write(valid.withColumn("filing_month", month_of("filing_date")), path)
+    _write(valid.withColumn("filing_month", month_of("filing_date")), path)
+    months = _months(spark, path)
     locations = [(m, p) for m in months for p in [*stored.get(m, []), f"{path}/filing_month={m}"]]
     if locations:
         _commit(spark, root, version, locations)

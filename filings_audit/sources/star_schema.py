@@ -56,7 +56,7 @@ def submissions(spark: SparkSession, sf_dir: str, growth: bool = False) -> DataF
         (F.col("o_totalprice") * 1e4).cast("decimal(20,2)").alias("revenue_usd"),
         F.when(F.col("o_orderkey") % 5 != 0, F.concat(F.lit("Exec "), F.col("o_custkey"))).alias("executive_name"),
         F.col("o_orderstatus").alias("filing_state"),
-        (F.col("o_orderdate") + F.make_dt_interval(secs=(F.col("o_orderkey") % 86400).cast("decimal(18,6)")))
+        F.timestamp_add("SECOND", (F.col("o_orderkey") % 86400).cast("int"), F.col("o_orderdate"))
         .cast("timestamp").alias("created_at"),
     ]
     if growth:

@@ -161,7 +161,9 @@ def intake_record(spark, sf_dir):
 @query("urgent_alerts", f"""
 WITH {oracle.RECORDS} SELECT id, alert_age FROM records WHERE {oracle.TOKEN_HOURS} >= 48""")
 def urgent_alerts(spark, sf_dir):
-    rows = _records(spark, sf_dir).select("id", F.col("alertAge").alias("alert_age"))
+    # Only rows in triage have an age; the cheap flag test spares the others the hashing.
+    queue = triage.apply_filter(published(spark, sf_dir), TriageFilter(needs_review=True))
+    rows = triage.to_records(queue).select("id", F.col("alertAge").alias("alert_age"))
     return rows.filter(shaping.is_urgent(F.col("alert_age")))
 
 

@@ -110,3 +110,33 @@ def test_left_join_keeps_filings_without_facts(spark):
     facts = spark.createDataFrame([("1", 5)], "cik string, amount int")
     assert {(r.id, r.amount) for r in keyed.attach_facts(filings, facts).collect()} == {("a", 5), ("b", None), ("c", 5)}
     assert {r.id for r in keyed.without_ids(filings, filings.filter("cik = '1'")).collect()} == {"b"}
+
+
+def test_a_hot_key_is_split_in_the_join(spark):
+    """Adaptive execution divides the partition that one key overfills; every row is still joined."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        number = F.col("id")
+        key = F.when(number % 3 == 0, F.lit("hot")).otherwise((number % 500).cast("string"))
+        filings = spark.range(0, 60_000, 1, 12).select(key.alias("cik"), F.sha2(number.cast("string"), 256).alias("v"))
+        facts = spark.range(500).select(F.col("id").cast("string").alias("cik"), F.col("id").alias("n")).union(
+            spark.createDataFrame([("hot", -1)], "cik string, n long"))
+        joined = keyed.attach_facts(filings, facts)
+        counts = joined.groupBy((F.col("n") < 0).alias("hot"))
+        assert joined.filter("n is null").count() == 0
+        assert {(r.hot, r["count"]) for r in counts.count().collect()} == {(True, 20_000), (False, 40_000)}
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -149,14 +149,18 @@ def test_stream_scores_equal_batch_scores(spark):
 
 
 def test_deduplicated_stream(spark):
+    """A third of the rows share one key; repeats also arrive in a later file and in a later run."""
     work = new_dir(spark, "s")
-    rows = [(i % 7, f"2024-01-01 00:{i % 60:02d}:00") for i in range(100)]
-    frame = spark.createDataFrame(rows, "k int, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
-    frame.write.parquet(f"{work}/in")
+    rows = [(0 if i % 3 == 0 else i % 50, f"2024-01-01 00:{i % 60:02d}:00", i) for i in range(600)]
+    frame = spark.createDataFrame(rows, "k int, ts string, n int").withColumn("ts", F.col("ts").cast("timestamp"))
+    frame.repartition(3).write.parquet(f"{work}/in")
     for _ in range(2):
-        stream = spark.readStream.schema(frame.schema).parquet(f"{work}/in")
-        jobs.deduplicate_stream(stream, ["k"], "ts", "2 hours", f"{work}/out", f"{work}/checkpoint")
-    assert sorted(r.k for r in spark.read.parquet(f"{work}/out").collect()) == list(range(7))
+        stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
+        jobs.deduplicate_stream(stream, ["k"], "ts", "2 hours", f"{work}/out", f"{work}/checkpoint", salts=4)
+        frame.limit(50).write.mode("append").parquet(f"{work}/in")
+    kept = spark.read.parquet(f"{work}/out")
+    assert sorted(r.k for r in kept.collect()) == sorted({k for k, _, _ in rows})
+    assert kept.columns == frame.columns
 
 
 # Registered queries ---------------------------------------------------------------------------------
