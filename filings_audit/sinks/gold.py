@@ -1,8 +1,9 @@
 """The triage table: Parquet partitioned by filing month, with an append-only log of which files count.
 
-A write puts new month folders beside the old ones and then appends to the log in a single file, so readers
-see either all of it or none. An upsert rewrites only the months that its batch touches: the filing date is
-part of a filing's id, so a record never changes month. One writer at a time.
+A write puts new folders beside the old ones and then appends to the log in a single file, so readers see
+either all of it or none. The filing date is part of a filing's id, so a record never changes month and an
+upsert rewrites only months in which it replaces a row. New rows are added as one more folder of their month;
+a month is rewritten into one folder when it has many. One writer at a time.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ LOG = T.StructType([
     T.StructField("filing_month", T.StringType()),
     T.StructField("location", T.StringType()),
 ])
+MAX_FOLDERS = 16  # per month, before an upsert rewrites it
 STORED = T.StructType([*TRIAGE.fields, T.StructField("filing_month", T.StringType())])
 
 
@@ -52,8 +54,9 @@ def read_gold(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, root, [path for paths in months.values() for path in paths])
 
 
-def exists(spark: SparkSession, root: str) -> bool:
-    return _current(spark, root)[0] > 0
+def read_if_written(spark: SparkSession, root: str) -> DataFrame | None:
+    version, months = _current(spark, root)
+    return _read(spark, root, [path for paths in months.values() for path in paths]) if version else None
 
 
 def _write(df: DataFrame, path: str) -> None:
@@ -102,16 +105,23 @@ def upsert(
     staged_path = f"{root}/data/commit={version}-batch"
     _write(incoming.withColumn("filing_month", month_of("filing_date")), staged_path)
     months = _months(spark, staged_path)
+    staged = {m: f"{staged_path}/filing_month={m}" for m in months}
+    kept: dict[str, list[str]] = {m: stored.get(m, []) for m in months}
     touched = [m for m in months if m in stored]
-    locations = [(m, f"{staged_path}/filing_month={m}") for m in months if m not in stored]
     if touched:
-        staged = _read(spark, root, [f"{staged_path}/filing_month={m}" for m in touched])
-        kept = _read(spark, root, [p for m in touched for p in stored[m]]).join(
-            staged.select("id", "filing_month"), ["filing_month", "id"], "left_anti"
-        )
-        merged_path = f"{root}/data/commit={version}-merge"
-        _write(kept.select(*STORED.names).unionByName(staged), merged_path)
-        locations += [(m, f"{merged_path}/filing_month={m}") for m in touched]
+        key = ["filing_month", "id"]
+        old = _read(spark, root, [path for m in touched for path in stored[m]])
+        new = _read(spark, root, [staged[m] for m in touched]).select(*key)
+        replaced = old.select(*key).join(new, key, "left_semi").select("filing_month").distinct().collect()
+        rewrite = sorted({r.filing_month for r in replaced} | {m for m in touched if len(stored[m]) >= MAX_FOLDERS})
+        if rewrite:
+            chosen = F.col("filing_month").isin(rewrite)
+            survivors = old.filter(chosen).join(new.filter(chosen), key, "left_anti").select(*STORED.names)
+            kept_path = f"{root}/data/commit={version}-kept"
+            _write(survivors, kept_path)
+            left = set(_months(spark, kept_path))
+            kept.update({m: [f"{kept_path}/filing_month={m}"] if m in left else [] for m in rewrite})
+    locations = [(m, path) for m in months for path in [*kept[m], staged[m]]]
     if locations:
         _commit(spark, root, version, locations)
     return version if locations else last

@@ -60,7 +60,8 @@ def publish(spark: SparkSession, sf_dir: str) -> str:
 def published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored triage table. Written once per application and input; views only read it."""
     key = (spark.sparkContext.applicationId, sf_dir, _fingerprint(spark, sf_dir))
-    root = _PUBLISHED.get(key)
-    if root is None or not gold.exists(configure(spark), root):
-        root = _PUBLISHED[key] = publish(spark, sf_dir)
-    return gold.read_gold(spark, root)
+    table = gold.read_if_written(configure(spark), _PUBLISHED[key]) if key in _PUBLISHED else None
+    if table is None:
+        _PUBLISHED[key] = publish(spark, sf_dir)
+        table = gold.read_gold(spark, _PUBLISHED[key])
+    return table

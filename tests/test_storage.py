@@ -27,7 +27,7 @@ def _state(spark, root):
 def test_upsert_replaces_inserts_keeps_and_repeats(spark):
     root = new_dir(spark, "t")
     gold.initialise(spark, root)
-    assert gold.read_gold(spark, root).count() == 0 and not gold.exists(spark, root)
+    assert gold.read_gold(spark, root).count() == 0 and gold.read_if_written(spark, root) is None
     gold.upsert(_frame(spark, _row("a"), _row("b"), _row("far", day=date(2023, 5, 1))), root)
     batch = _frame(
         spark, _row("b", cash=2), _row("c", cash=3, at=datetime(2024, 1, 2)), _row("c", cash=4, at=datetime(2024, 1, 3)))
@@ -46,6 +46,19 @@ def test_upsert_rewrites_only_the_months_it_touches(spark):
     assert after["2023-05"] == before["2023-05"] and after["2024-01"] != before["2024-01"]
 
 
+def test_inserts_leave_stored_files_alone_until_there_are_many(spark, monkeypatch):
+    monkeypatch.setattr(gold, "MAX_FOLDERS", 3)
+    root = new_dir(spark, "t")
+    folders = []
+    for step in range(5):
+        gold.upsert(_frame(spark, _row(f"r{step}")), root)
+        folders.append(len(gold._current(spark, root)[1]["2024-01"]))
+    assert folders == [1, 2, 3, 2, 3]
+    gold.upsert(_frame(spark, *[_row(f"r{step}", cash=7) for step in range(5)]), root)
+    assert _state(spark, root) == {f"r{step}": ("Quill", 7) for step in range(5)}
+    assert len(gold._current(spark, root)[1]["2024-01"]) == 1  # nothing older survived
+
+
 def test_an_unfinished_write_is_invisible(spark):
     root = new_dir(spark, "t")
     gold.upsert(_frame(spark, _row("a")), root)
