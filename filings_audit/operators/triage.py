@@ -56,6 +56,12 @@ def to_records(df: DataFrame) -> DataFrame:
     )
 
 
+def as_json(records: DataFrame) -> DataFrame:
+    """each record as one JSON text; sort helpers stay out of it."""
+    fields = [c for c in records.columns if c not in ("created_at", "filing_month")]
+    return records.select("id", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("record"))
+
+
 def adapt_intake(df: DataFrame, row_number: Column) -> DataFrame:
     """intake rows, which lack growth and cash flow, in triage columns. Revenue stands in for cash flow."""
     return df.select(

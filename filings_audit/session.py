@@ -37,18 +37,23 @@ def build_session(app_name: str = "filings-audit", master: str | None = None, ex
     return configure(builder.getOrCreate())
 
 
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     Where it is unset a local session gets a folder of its own; a cluster must name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="filings-audit-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _OWN_DIRS:
+        _OWN_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="filings-audit-")
+    return _OWN_DIRS[context.applicationId]
 
 
 def new_dir(spark: SparkSession, label: str) -> str:

@@ -36,11 +36,11 @@ def write_by_form_and_month(df: DataFrame, path: str) -> None:
 
 
 def export(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Filtered rows as CSV (with header) or Parquet files."""
+    """Filtered rows as CSV (with header), Parquet or JSON files."""
     writer = df.write.mode("overwrite")
     if fmt == "csv":
         writer.option("header", "true").option("escape", '"').csv(path)
-    elif fmt == "parquet":
-        writer.parquet(path)
+    elif fmt in ("parquet", "json"):
+        writer.format(fmt).save(path)
     else:
         raise ValueError(f"unknown export format {fmt!r}")

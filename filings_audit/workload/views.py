@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from filings_audit.functions import scores, shaping
 from filings_audit.operators import keyed, triage
 from filings_audit.operators.triage import TriageFilter
+from filings_audit.plans import reads
 from filings_audit.session import configure, new_dir
 from filings_audit.sinks import layers
 from filings_audit.sources import star_schema
@@ -304,6 +305,23 @@ def sort_collated(spark, sf_dir):
     return _sorted_page(spark, sf_dir, "rootCause", True, collation="UNICODE")
 
 
+@query("list_filings", f"""
+WITH {oracle.RECORDS} SELECT * EXCLUDE (created_at) FROM records ORDER BY created_at DESC, id LIMIT 200""")
+def list_filings(spark, sf_dir):
+    """The newest records, shaped."""
+    return _flat(reads.list_filings(published(spark, sf_dir)))
+
+
+@query("triage_view", f"""
+WITH {oracle.RECORDS}
+SELECT * EXCLUDE (created_at) FROM records
+WHERE needs_triage AND filing_date BETWEEN '1997-03-15' AND '1998-06-30' ORDER BY score DESC, records.created_at DESC, id LIMIT 10""")
+def triage_view(spark, sf_dir):
+    """Filter, shape, sort and cut in one plan."""
+    wanted = TriageFilter(needs_review=True, date_from=_SPAN[0], date_to=_SPAN[1])
+    return _flat(reads.triage_view(published(spark, sf_dir), wanted, "anomalyScore", True))
+
+
 # Exports ------------------------------------------------------------------------------------------
 
 @query("export_csv", f"""

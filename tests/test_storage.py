@@ -233,3 +233,38 @@ def test_cleaning(spark):
 
 def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_shared_dir_without_a_setting():
+    class Context:
+        applicationId, master = "app-x", "local[2]"
+
+    class Session:
+        sparkContext = Context
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda name, default: default)
+
+    assert shared_dir(Session) == shared_dir(Session)
+    Context.master = "spark://host:7077"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session)
+
+
+def test_warehouse_reads(spark):
+    from filings_audit.operators.triage import TriageFilter
+    from filings_audit.plans.reads import NotFound, Warehouse
+
+    root = new_dir(spark, "w")
+    store = Warehouse(spark, root)
+    assert store.filings().count() == 0 and store.pii_audit().count() == 0
+    assert store.stats() == {"total": 0, "violations": 0, "anomalies": 0, "healthy": 0}
+    rows = [_row(f"r{i}", name=f"Company {i % 3}", at=datetime(2024, 1, 1 + i)) for i in range(25)]
+    gold.upsert(_frame(spark, *rows), f"{root}/gold")
+    assert [r.id for r in store.filings(2).collect()] == ["r24", "r23"]
+    assert store.filing("r3").first().company == "Company 0"
+    with pytest.raises(NotFound):
+        store.filing("none")
+    assert store.stats() == {"total": 25, "violations": 25, "anomalies": 0, "healthy": 0}
+    view = store.view(TriageFilter(search="company 1", severity="violation"), sort="company", page=1, size=3)
+    assert [r.id for r in view.collect()] == ["r22", "r19", "r16"]

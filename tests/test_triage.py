@@ -196,3 +196,13 @@ def test_limits_and_lookup(table, rows):
         with pytest.raises(ValueError):
             triage.newest(table, bad)
     assert triage.lookup(table, "42").first().id == "42" and triage.lookup(table, "none").count() == 0
+
+
+def test_records_as_json(records):
+    import json
+
+    row = triage.as_json(records.filter("id = '7'")).first()
+    parsed = json.loads(row.record)
+    assert parsed["id"] == "7" and set(parsed["mlTelemetry"]["featureContrib"]) == {
+        "revenueGrowthDelta", "cashFlowRatio", "filingFrequency"}
+    assert "created_at" not in parsed and "revenue" in parsed and parsed["revenue"] is None
