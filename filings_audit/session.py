@@ -61,6 +61,18 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/filings_audit/{label}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and its path object, for metadata calls."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = file_system(spark, path)
+    return fs.exists(target)
+
+
 def materialize(df, label: str):
     """Write ``df`` to the shared folder and read it back.
 

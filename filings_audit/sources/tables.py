@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from filings_audit.schemas import RAW
+from filings_audit.session import path_exists
 
 
 def read_typed(spark: SparkSession, path: str, schema: T.StructType = RAW, fmt: str = "parquet") -> DataFrame:
@@ -16,12 +16,9 @@ def read_typed(spark: SparkSession, path: str, schema: T.StructType = RAW, fmt:
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table that may not exist yet reads as empty."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def filings_source(spark: SparkSession, kind: str, **paths: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from filings_audit.operators import detection, explain
 from filings_audit.schemas import TRIAGE, conform
-from filings_audit.session import configure, materialize, new_dir
+from filings_audit.session import configure, file_system, materialize, new_dir
 from filings_audit.sinks import gold
 from filings_audit.sources import star_schema
 
@@ -38,11 +38,9 @@ def triage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
     """Size and age of the input files, from the file system's metadata."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     marks = []
     for name in ("orders", "customer"):
-        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
-        fs = path.getFileSystem(conf)
+        fs, path = file_system(spark, f"{sf_dir}/{name}.parquet")
         marks += [fs.getContentSummary(path).getLength(), fs.getFileStatus(path).getModificationTime()]
     return tuple(marks)
 
