@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from filings_audit.operators.keyed import latest_per_key
 from filings_audit.schemas import TRIAGE
+from filings_audit.session import file_system
 from filings_audit.sinks.constraints import split_valid, with_defaults
 from filings_audit.sinks.layers import month_of
 from filings_audit.sources.tables import read_or_empty
@@ -65,9 +66,10 @@ def _write(df: DataFrame, path: str) -> None:
 
 
 def _months(spark: SparkSession, path: str) -> list[str]:
-    """Months found under a written path; reads folder names only."""
-    rows = spark.read.schema(STORED).parquet(path).select("filing_month").distinct().collect()
-    return [row.filing_month for row in rows]
+    """Months found under a written path, from its folder names."""
+    fs, target = file_system(spark, path)
+    names = [status.getPath().getName() for status in fs.listStatus(target)]
+    return sorted(name.removeprefix("filing_month=") for name in names if name.startswith("filing_month="))
 
 
 def _commit(spark: SparkSession, root: str, version: int, locations: list[tuple[str, str]]) -> None:
