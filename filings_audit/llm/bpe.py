@@ -16,6 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from filings_audit.llm.common import WHITE_SPACE, map_texts, once
+from filings_audit.llm.trie import Suffixes, levels
 
 # Words kept per task. A full cache is emptied; results don't depend on it.
 CACHE_WORDS = 200_000
@@ -62,54 +63,13 @@ class ByteBpe:
         self.pair_rank = np.argsort(pairs)
         self.pair_key = pairs[self.pair_rank]
         self.alone = np.full(size, -1, np.int8)
-        self._suffixes()
+        self.suffixes = Suffixes(list(self.id))
+        self.entry = np.array([*self.id.values(), -1], np.int64)[self.suffixes.entry]  # of states: the token that ends
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
         self.token |= {i: text.encode() for text, i in self.special.items()}
         self.split = regex.compile(SPLIT).findall
         self.special_split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
-    def _suffixes(self) -> None:
-        """The automaton that finds, after each letter, the vocabulary's entries that end there, longest first."""
-        child: dict[int, int] = {}
-        depth, token = [0], [-1]
-        for content, i in self.id.items():
-            state = 0
-            for letter in content:
-                key = state << 8 | letter
-                following = child.get(key)
-                if following is None:
-                    following = child[key] = len(depth)
-                    depth.append(depth[state] + 1)
-                    token.append(-1)
-                state = following
-            token[state] = i
-        self.state_depth, self.state_token = np.array(depth), np.array(token)
-        keys = np.fromiter(child, np.int64, len(child))
-        order = np.argsort(keys)
-        self.child_key, self.child = keys[order], np.fromiter(child.values(), np.int64, len(child))[order]
-        self.fail = np.zeros(len(depth), np.int64)
-        parent, letter = np.zeros(len(depth), np.int64), np.zeros(len(depth), np.int64)
-        parent[self.child], letter[self.child] = self.child_key >> 8, self.child_key & 255
-        # ends: the nearest state, from here along the suffixes, where an entry ends.
-        self.ends = np.where(self.state_token >= 0, np.arange(len(depth)), 0)
-        for level in range(1, int(self.state_depth.max()) + 1):
-            here = np.flatnonzero(self.state_depth == level)
-            if level > 1:
-                self.fail[here] = self.step(self.fail[parent[here]], letter[here])
-            none = here[self.state_token[here] < 0]
-            self.ends[none] = self.ends[self.fail[none]]
-
-    def step(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
-        out, left = np.zeros_like(state), np.arange(len(state))
-        while len(left):
-            key = state << 8 | letter
-            at = np.minimum(np.searchsorted(self.child_key, key), len(self.child_key) - 1)
-            hit = self.child_key[at] == key
-            out[left[hit]] = self.child[at[hit]]
-            again = ~hit & (state > 0)
-            left, state, letter = left[again], self.fail[state[again]], letter[again]
-        return out
-
     def merged(self, content: bytes) -> list[int]:
         """The plain rule on a short string: merge the pair of lowest rank, leftmost first, until none is left."""
         ids = [self.id[content[i : i + 1]] for i in range(len(content))]
@@ -130,7 +90,7 @@ class ByteBpe:
     def follows(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether each two tokens, side by side, are an encoding.
 
-        Takes their merges back, latest first. At no time may the two letters groups at the border have a merge
+        Takes their merges back, latest first. At no time may the two groups of letters at the border have a merge
         that comes earlier than the one just taken back; on the left side a merge of equal rank comes first.
         """
         ok, at = np.ones(len(left), bool), np.arange(len(left))
@@ -151,9 +111,8 @@ class ByteBpe:
     def encode_words(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Encode every word, walking the trie of all of them once, all its branches side by side.
 
-        In sorted order the words below a trie node are neighbours, so a node is a run of words. At each depth
-        the last token of every node is found once and handed to the words below it. Words longer than
-        ``DEEP`` bytes share nothing worth having: they are walked in groups of their own, by length.
+        At each depth the last token of every node is found once and handed to the words below it. Long words get
+        tries of their own, by length, so that one long word doesn't widen the tables of all.
         """
         out: dict[bytes, bytes] = {b"": b""}
         by_size: dict[int, list[bytes]] = {}
@@ -164,30 +123,22 @@ class ByteBpe:
         return out
 
     def _encode_sorted(self, words: list[bytes]) -> list[bytes]:
+        table = self.suffixes
         lengths = np.array(list(map(len, words)))
         width, n = int(lengths.max(initial=0)), len(words)
-        letters = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(n, width)
         token, size = np.full((width + 1, n), -1, np.int32), np.zeros((width + 1, n), np.int32)
-        state, node = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        for depth in range(1, width + 1):
-            active = np.flatnonzero(lengths >= depth)
-            above, letter = node[active], letters[active, depth - 1].astype(np.int64)
-            new = np.ones(len(active), bool)
-            new[1:] = (above[1:] != above[:-1]) | (letter[1:] != letter[:-1])
-            first, below = active[new], np.cumsum(new) - 1
-            now = self.step(state[first], letter[new])
-            chosen, left, place = np.zeros(len(first), np.int64), np.arange(len(first)), self.ends[now]
+        for depth, active, first, below, state in levels(words, lengths, table):
+            chosen, left, place = np.zeros(len(first), np.int64), np.arange(len(first)), table.ends[state]
             while len(left):
-                candidate, length = self.state_token[place], self.state_depth[place]
+                candidate, length = self.entry[place], table.depth[place]
                 word = first[left]
                 before = token[depth - length, word].astype(np.int64)
                 fits, starting = np.zeros(len(left), bool), length == depth
                 fits[starting] = self.starts(candidate[starting])
                 fits[~starting] = self.follows(before[~starting], candidate[~starting])
                 chosen[left[fits]] = place[fits]
-                left, place = left[~fits], self.ends[self.fail[place[~fits]]]
-            token[depth, active], size[depth, active] = self.state_token[chosen][below], self.state_depth[chosen][below]
-            state[active], node[active] = now[below], below
+                left, place = left[~fits], table.ends[table.fail[place[~fits]]]
+            token[depth, active], size[depth, active] = self.entry[chosen][below], table.depth[chosen][below]
         # Read the tokens off backwards.
         at, row, found = lengths.copy(), np.arange(n), []
         while len(row):

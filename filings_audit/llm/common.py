@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable, Iterator, Hashable
+from collections.abc import Callable, Hashable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +17,7 @@ ARROW_SETTINGS = {
 }
 
 # The characters with the Unicode property White_Space, as a regex class body.
-WHITE_SPACE = "\t-\r \x85\xa0  -     　"
+WHITE_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,7 +42,8 @@ def map_texts(
     ``make()`` is called once a task and returns a function from the list of a batch's values to one list per
     column of ``schema``. The columns of ``keep`` pass unchanged; others are not sent to Python.
     """
-    chosen = frame.select(*[frame[c] for c in keep], frame[source].alias("__source"))
+    at = keep.index(source) if source in keep else len(keep)
+    chosen = frame.select(*[frame[c] for c in keep], *([frame[source]] if at == len(keep) else []))
     kept = ", ".join(f"`{c}` {frame.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,10 +51,9 @@ def map_texts(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [batch.column(i) for i in range(len(keep))]
-            made = function(batch.column(len(keep)).to_pylist())
-            arrays = columns + [m if isinstance(m, pa.Array) else pa.array(m) for m in made]
-            yield pa.RecordBatch.from_arrays(arrays, names=keep + names)
+            made = function(batch.column(at).to_pylist())
+            arrays = [m if isinstance(m, pa.Array) else pa.array(m) for m in made]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *arrays], names=keep + names)
 
     names = [part.split()[0] for part in schema.split(", ")]
     return chosen.mapInArrow(run, f"{kept}, {schema}")
@@ -62,3 +62,11 @@ def map_texts(
 def held_out(doc_id: Column) -> Column:
     """Rows that no label or language may be learnt from: crc32 of the id as text, modulo 5, is 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
+
+
+def sample_by_hash(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """All rows if there are at most ``most``, else about so many, chosen by a hash of ``key``."""
+    n = rows.count()
+    if n <= most:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1_000_000)) < round(1_000_000 * most / n))

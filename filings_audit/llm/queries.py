@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filings_audit.llm import bpe
-from filings_audit.llm.common import table
+from filings_audit.llm import bpe, langid, packing, quality, tokencount
+from filings_audit.llm.common import held_out, table
 
 QUERIES: dict = {}
 
@@ -31,3 +31,31 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
     )
+
+
+@query("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, ["doc_id"]).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@query("op5_token_counts")
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ["doc_id"])
+
+
+@query("op9_langid")
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.cut(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 4096, 1)
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    packed = packing.pack(digests, 4096, ["doc_id", "piece", "start", "length", "ids_crc32"])
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
