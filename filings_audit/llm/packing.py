@@ -53,8 +53,8 @@ def cut(docs: DataFrame, path: str, capacity: int, end_id: int, doc_id: str = "d
                 known.clear()
             texts = [words_of(text) if text else [] for text in batch.column(1).to_pylist()]
             new = set().union(*texts).difference(known)
-            # A mark after letters is a word of its own to the tokenizer.
-            marked = [word for word in new if word[-1] in ".,!" and word[:-1].isalpha()]
+            # A mark after letters is a word of its own to the tokenizer, if they are letters in lower case too.
+            marked = [word for word in new if word[-1] in ".,!" and word[:-1].lower().isalpha()]
             plain = list(new.difference(marked).union(w[:-1] for w in marked).union(w[-1] for w in marked).difference(known))
             for word, found in zip(plain, tokenizer.encode_batch_fast(plain, add_special_tokens=False)):
                 known[word] = np.array(found.ids, "<u4").tobytes()
