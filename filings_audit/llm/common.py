@@ -20,9 +20,13 @@ ARROW_SETTINGS = {
 WHITE_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def use_small_batches(spark: SparkSession) -> None:
     for key, value in ARROW_SETTINGS.items():
         spark.conf.set(key, value)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    use_small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filings_audit.llm import bpe, langid, packing, quality, tokencount
+from filings_audit.llm import bpe, imatch, langid, linededup, packing, quality, tokencount, warc
 from filings_audit.llm.common import held_out, table
+from filings_audit.session import new_dir
 
 QUERIES: dict = {}
 
@@ -33,6 +34,30 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LINE_SHARE, LINE_PAGES = 0.005, 5
+
+
+@query(
+    "op2_line_dedup",
+    "SELECT doc_id, text, length(text) AS n_chars FROM ("
+    + linededup.SQL.format(docs="documents", share=LINE_SHARE, pages=LINE_PAGES) + ")",
+)
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = linededup.drop_boilerplate(table(spark, sf_dir, "documents"), LINE_SHARE, LINE_PAGES)
+    return cleaned.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op3_imatch")
+def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = imatch.fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.col("edited").alias("edited_sha256"),
+        F.array_join("hashes", "-").alias("fingerprint"), F.array_join("edited_hashes", "-").alias("edited_fingerprint"),
+        imatch.likeness(F.col("hashes"), F.col("edited_hashes")).alias("near_edited"),
+        imatch.likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"),
+    )
+
+
 @query("op4_quality")
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -47,6 +72,20 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ["doc_id"])
 
 
+@query("op8_warc")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_dir(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+
+    def page(name: str):
+        return F.regexp_extract(name, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
+
+    return warc.read(spark, path).select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
+        F.when(F.col("type") == "revisit", page("refers_to")).alias("refers_to"),
+    )
+
+
 @query("op9_langid")
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.identify(table(spark, sf_dir, "documents"), ["doc_id"])
