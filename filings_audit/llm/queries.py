@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filings_audit.llm import bpe, imatch, langid, linededup, packing, quality, tokencount, warc
+from filings_audit.llm import bpe, imatch, langid, linededup, neardup, packing, quality, tokencount, warc
 from filings_audit.llm.common import held_out, table
 from filings_audit.session import new_dir
 
@@ -34,6 +34,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op1_minhash")
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 LINE_SHARE, LINE_PAGES = 0.005, 5
 
 
