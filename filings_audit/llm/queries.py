@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filings_audit.llm import bpe, imatch, langid, linededup, neardup, packing, quality, tokencount, warc
+from filings_audit.llm import bpe, imatch, langid, linededup, neardup, packing, quality, tokencount, topk, warc
 from filings_audit.llm.common import held_out, table
 from filings_audit.session import new_dir
 
@@ -78,6 +78,30 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ["doc_id"])
 
 
+@query(
+    "op7_topk",
+    """
+    WITH v AS (
+      SELECT vec_id, min([floor(256 * x::DOUBLE)::BIGINT for x in embedding]) AS v FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len([x for x in embedding if x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0
+      GROUP BY vec_id
+    ),
+    scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id, coalesce(list_sum([q.v[i] * c.v[i] for i in range(1, len(q.v) + 1)]), 0)::BIGINT AS score
+      FROM v q JOIN v c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+    ),
+    ranked AS (
+      SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+)
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), topk.quantised(F.col("embedding")).alias("vector"))
+    return topk.top_k(rows, rows.where(F.col("id") % 50 == 0), 5)
+
+
 @query("op8_warc")
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_dir(spark, "warc")
