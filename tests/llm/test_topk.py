@@ -38,7 +38,7 @@ def test_ties_of_a_third_of_all_vectors(spark):
 
 
 def test_large_components_stay_exact(spark):
-    vectors = {i: [2**30 + i, -(2**29) * i, 1] for i in range(20)}
+    vectors = {i: [2**28 + i, -(2**27) * i, 1] for i in range(20)}
     assert run(spark, list(vectors.items()), [(3, vectors[3])]) == by_hand(vectors, {3: vectors[3]}, 5)
 
 
