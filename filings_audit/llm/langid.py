@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filings_audit.llm.common import held_out, map_texts, sample_by_hash
@@ -73,9 +73,9 @@ def train(docs: DataFrame, limits: Limits = Limits(), doc_id: str = "doc_id", te
     padded = F.concat(F.lit("_"), "word", F.lit("_"))
     grams = None
     for order in ORDERS:
-        starts = F.sequence(F.lit(1), F.length(padded) - order + 1)
-        cut = F.transform(starts, lambda at, order=order: F.substr(padded, at, F.lit(order)))
-        some = counted.where(F.length(padded) >= order).select("lang", F.lit(order).alias("size"), F.explode(cut).alias("word"), "n")
+        some = counted.where(F.length(padded) >= order).select(
+            "lang", F.lit(order).alias("size"), F.explode(_cut(padded, order)).alias("word"), "n"
+        )
         grams = some if grams is None else grams.unionByName(some)
     grams = grams.groupBy("lang", "size", "word").agg(F.sum("n").alias("n"))
     languages = sorted(r["lang"] for r in sums)
@@ -86,6 +86,11 @@ def train(docs: DataFrame, limits: Limits = Limits(), doc_id: str = "doc_id", te
     return Model(languages, words, word_scores, gram_index, gram_scores)
 
 
+def _cut(text: Column, order: int) -> Column:
+    """All n-grams of a text."""
+    return F.transform(F.sequence(F.lit(1), F.length(text) - order + 1), lambda at: F.substr(text, at, F.lit(order)))
+
+
 def _most_frequent(counts: DataFrame, group: list[str], most: int) -> list[tuple[str, str, int]]:
     """The ``most`` most frequent entries of each group, ties by the entry."""
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("n"), "word"))
@@ -103,7 +108,7 @@ def word_scores(model: Model, word: str) -> np.ndarray:
         return model.word_scores[known]
     padded = f"_{word}_"
     for order in ORDERS:
-        cut = [padded[i : i + order] for i in range(len(padded) - order + 1)]
+        cut = [padded[i : i + order] for i in range(len(padded) - order + 1)] if order > 1 else word  # "_" tells nothing
         rows = [model.grams[g] for g in cut if g in model.grams]
         if rows:
             return model.gram_scores[rows].mean(axis=0)
