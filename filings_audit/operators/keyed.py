@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, key: str, *order: Column) -> DataFrame:
+def latest_per_key(df: DataFrame, key: str | list[str], *order: Column) -> DataFrame:
     """One row per key: the first in ``order``.
 
     Spark keeps the best row of each key in every map task before the shuffle, so a hot key sends one

@@ -1,45 +1,50 @@
-"""The triage table: Parquet partitioned by filing month, with an append-only log of which files count.
+"""The triage table: one Parquet folder per filing month, and an append-only log that names the current folders.
 
-A write puts new folders beside the old ones and then appends to the log in a single file, so readers see
-either all of it or none. The filing date is part of a filing's id, so a record never changes month and an
-upsert rewrites only months in which it replaces a row. New rows are added as one more folder of their month;
-a month is rewritten into one folder when it has many. One writer at a time.
+A write rewrites the months it touches into a new folder and then appends one file to the log, so readers see all of it
+or none. Every row of a batch is afterwards either in the table, replaced by a later row of the same id, or
+among the rejected rows with its reasons. One writer at a time.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filings_audit.operators.keyed import latest_per_key
 from filings_audit.schemas import TRIAGE
-from filings_audit.session import file_system
+from filings_audit.session import path_exists
 from filings_audit.sinks.constraints import split_valid, with_defaults
 from filings_audit.sinks.layers import month_of
 from filings_audit.sources.tables import read_or_empty
 
+# A row per commit and month it changed; a month without rows has no location.
 LOG = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("filing_month", T.StringType()),
     T.StructField("location", T.StringType()),
 ])
-MAX_FOLDERS = 16  # per month, before an upsert rewrites it
 STORED = T.StructType([*TRIAGE.fields, T.StructField("filing_month", T.StringType())])
+REJECTED = T.StructType([*STORED.fields, T.StructField("violations", T.ArrayType(T.StringType()))])
+
 
+@dataclass(frozen=True)
+class Written:
+    """What became of a batch. ``kept`` rows are in the table."""
 
-def _log(spark: SparkSession, root: str) -> DataFrame:
-    return read_or_empty(spark, f"{root}/log", LOG)
+    version: int
+    kept: int
+    rejected: int
 
 
-def _current(spark: SparkSession, root: str) -> tuple[int, dict[str, list[str]]]:
-    """Last version, and the folders that hold each month. A few short strings per calendar month."""
-    last = F.max("version").over(Window.partitionBy("filing_month"))
-    rows = _log(spark, root).withColumn("last", last).filter("version = last").collect()
-    months: dict[str, list[str]] = {}
-    for row in rows:
-        months.setdefault(row.filing_month, []).append(row.location)
-    return max((row.version for row in rows), default=0), months
+def _current(spark: SparkSession, root: str) -> tuple[int, dict[str, str]]:
+    """Last version, and the folder of each month: one short string per calendar month."""
+    log = read_or_empty(spark, f"{root}/log", LOG)
+    rows = log.groupBy("filing_month").agg(F.max_by("location", "version").alias("location"), F.max("version").alias("version"))
+    found = rows.collect()
+    return max((r.version for r in found), default=0), {r.filing_month: r.location for r in found if r.location}
 
 
 def _read(spark: SparkSession, root: str, locations: list[str]) -> DataFrame:
@@ -51,99 +56,83 @@ def _read(spark: SparkSession, root: str, locations: list[str]) -> DataFrame:
 
 def read_gold(spark: SparkSession, root: str) -> DataFrame:
     """The current rows; empty when nothing was written yet (K7)."""
-    _, months = _current(spark, root)
-    return _read(spark, root, [path for paths in months.values() for path in paths])
+    return _read(spark, root, list(_current(spark, root)[1].values()))
 
 
 def read_if_written(spark: SparkSession, root: str) -> DataFrame | None:
     version, months = _current(spark, root)
-    return _read(spark, root, [path for paths in months.values() for path in paths]) if version else None
+    return _read(spark, root, list(months.values())) if version else None
 
 
-def _write(df: DataFrame, path: str) -> None:
-    """Write month folders. Large months are split over tasks, small ones share them."""
-    df.hint("rebalance", "filing_month").write.mode("overwrite").partitionBy("filing_month").parquet(path)
+def read_rejected(spark: SparkSession, root: str) -> DataFrame:
+    """K6: refused rows with their reasons. A batch that is written again rejects the same rows: they count once."""
+    rows = read_or_empty(spark, f"{root}/rejected", REJECTED).select(*REJECTED.names)
+    return rows.filter(F.col("violations").isNotNull()).distinct()
 
 
-def _months(spark: SparkSession, path: str) -> list[str]:
-    """Months found under a written path, from its folder names."""
-    fs, target = file_system(spark, path)
-    names = [status.getPath().getName() for status in fs.listStatus(target)]
-    return sorted(name.removeprefix("filing_month=") for name in names if name.startswith("filing_month="))
+def _stage(batch: DataFrame, root: str, version: int, as_of: Column | None) -> DataFrame:
+    """Evaluate the batch once, into a file: rejects, ids and rows are taken from there."""
+    path = f"{root}/staged/commit={version}"
+    rows = with_defaults(batch, as_of).withColumn("filing_month", month_of("filing_date"))
+    rows.write.mode("overwrite").parquet(path)
+    return batch.sparkSession.read.schema(STORED).parquet(path).select(*STORED.names)
 
 
-def _commit(spark: SparkSession, root: str, version: int, locations: list[tuple[str, str]]) -> None:
-    rows = [(version, month, path) for month, path in locations]
-    spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(f"{root}/log")
+def _months(rows: DataFrame) -> set[str]:
+    return {r.filing_month for r in rows.select("filing_month").distinct().collect()}
 
 
-def prepare(
-    batch: DataFrame, as_of: Column | None = None, order: list[Column] | None = None, unique: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """Valid rows, one per id, and the quarantined ones."""
-    valid, rejected = split_valid(with_defaults(batch, as_of))
-    if unique:
-        return valid, rejected
-    order = order or [F.desc("created_at"), F.desc("company_name"), *[F.desc(c) for c in TRIAGE.names[2:-1]]]
-    return latest_per_key(valid, "id", *order), rejected
+def _commit(root: str, version: int, stored: dict[str, str], valid: DataFrame, rejected: DataFrame) -> Written:
+    """Replace rows of the same ids, wherever they are stored, and rewrite the months this touches."""
+    spark = valid.sparkSession
+    rejected.select(*REJECTED.names).write.mode("overwrite").parquet(f"{root}/rejected/commit={version}")
+    refused = spark.read.schema(REJECTED).parquet(f"{root}/rejected/commit={version}").count()
+    old = _read(spark, root, list(stored.values()))
+    touched = sorted(_months(valid) | _months(old.select("filing_month", "id").join(valid.select("id"), "id", "left_semi")))
+    path = f"{root}/data/commit={version}"
+    rows = valid.select(*STORED.names)
+    before = [stored[m] for m in touched if m in stored]
+    if before:
+        rows = rows.unionByName(_read(spark, root, before).join(valid.select("id"), "id", "left_anti").select(*STORED.names))
+    # Large months are split over tasks, small ones share them.
+    rows.hint("rebalance", "filing_month").write.mode("overwrite").partitionBy("filing_month").parquet(path)
+    log = [(version, m, place if path_exists(spark, place) else None) for m in touched for place in [f"{path}/filing_month={m}"]]
+    if log:
+        spark.createDataFrame(log, LOG).coalesce(1).write.mode("append").parquet(f"{root}/log")
+    return Written(version if log else version - 1, valid.count(), refused)
 
 
 def upsert(
-    batch: DataFrame, root: str, as_of: Column | None = None,
-    order: list[Column] | None = None, quarantine: str | None = None, unique: bool = False,
-) -> int:
-    """K3: rows of ``batch`` replace stored rows of the same id. Doing it twice changes nothing.
-
-    Of several batch rows with one id the first in ``order`` wins (the latest by default); ``unique`` says
-    there are none and saves that shuffle. Rows that break a constraint go to ``quarantine`` if a path is
-    given. Returns the new version.
+    batch: DataFrame, root: str, as_of: Column | None = None, order: list[Column] | None = None, unique: bool = False
+) -> Written:
+    """K3: rows of ``batch`` replace stored rows of the same id, also of other months. Doing it twice changes nothing.
+
+    Of several batch rows with one id the first in ``order`` wins (the latest by default); ``unique`` says there are
+    none and saves that shuffle. Rows that break a constraint are kept apart, see ``read_rejected``.
     """
-    spark = batch.sparkSession
-    incoming, rejected = prepare(batch, as_of, order, unique)
-    if quarantine:
-        rejected.write.mode("append").parquet(quarantine)
-    last, stored = _current(spark, root)
-    version = last + 1
-    staged_path = f"{root}/data/commit={version}-batch"
-    _write(incoming.withColumn("filing_month", month_of("filing_date")), staged_path)
-    months = _months(spark, staged_path)
-    staged = {m: f"{staged_path}/filing_month={m}" for m in months}
-    kept: dict[str, list[str]] = {m: stored.get(m, []) for m in months}
-    touched = [m for m in months if m in stored]
-    if touched:
-        key = ["filing_month", "id"]
-        old = _read(spark, root, [path for m in touched for path in stored[m]])
-        new = _read(spark, root, [staged[m] for m in touched]).select(*key)
-        replaced = old.select(*key).join(new, key, "left_semi").select("filing_month").distinct().collect()
-        rewrite = sorted({r.filing_month for r in replaced} | {m for m in touched if len(stored[m]) >= MAX_FOLDERS})
-        if rewrite:
-            chosen = F.col("filing_month").isin(rewrite)
-            survivors = old.filter(chosen).join(new.filter(chosen), key, "left_anti").select(*STORED.names)
-            kept_path = f"{root}/data/commit={version}-kept"
-            _write(survivors, kept_path)
-            left = set(_months(spark, kept_path))
-            kept.update({m: [f"{kept_path}/filing_month={m}"] if m in left else [] for m in rewrite})
-    locations = [(m, path) for m in months for path in [*kept[m], staged[m]]]
-    if locations:
-        _commit(spark, root, version, locations)
-    return version if locations else last
-
-
-def append(batch: DataFrame, root: str, as_of: Column | None = None) -> int:
-    """K4: add rows without looking for older ones; returns how many. Months keep their earlier folders."""
+    last, stored = _current(batch.sparkSession, root)
+    valid, rejected = split_valid(_stage(batch, root, last + 1, as_of))
+    if not unique:
+        order = order or [F.desc("created_at"), F.desc("company_name"), *[F.desc(c) for c in TRIAGE.names[2:-1]]]
+        valid = latest_per_key(valid, "id", *order)
+    return _commit(root, last + 1, stored, valid, rejected)
+
+
+def append(batch: DataFrame, root: str, as_of: Column | None = None) -> Written:
+    """K4: add rows; an id that is stored or comes again within the batch is refused, as a primary key would."""
     spark = batch.sparkSession
     last, stored = _current(spark, root)
-    version = last + 1
-    path = f"{root}/data/commit={version}-batch"
-    valid, _ = split_valid(with_defaults(batch, as_of))
-    _write(valid.withColumn("filing_month", month_of("filing_date")), path)
-    months = _months(spark, path)
-    locations = [(m, p) for m in months for p in [*stored.get(m, []), f"{path}/filing_month={m}"]]
-    if locations:
-        _commit(spark, root, version, locations)
-    return spark.read.schema(STORED).parquet(path).count()
+    valid, rejected = split_valid(_stage(batch, root, last + 1, as_of))
+    known = _read(spark, root, list(stored.values())).select("id").withColumn("known", F.lit(True))
+    place = F.row_number().over(Window.partitionBy("id").orderBy(*[F.desc(c) for c in TRIAGE.names[1:]]))
+    ranked = valid.withColumn("place", place).join(known, "id", "left")
+    fresh = F.col("known").isNull() & (F.col("place") == 1)
+    again = ranked.filter(~fresh).withColumn("violations", F.array(F.lit("repeated id")))
+    refused = rejected.select(*REJECTED.names).unionByName(again.select(*REJECTED.names))
+    return _commit(root, last + 1, stored, ranked.filter(fresh).select(*STORED.names), refused)
 
 
 def initialise(spark: SparkSession, root: str) -> None:
     """K7: create the table if absent; harmless otherwise."""
-    read_or_empty(spark, f"{root}/log", LOG).limit(0).coalesce(1).write.mode("append").parquet(f"{root}/log")
+    if not path_exists(spark, f"{root}/log"):
+        spark.createDataFrame([], LOG).coalesce(1).write.parquet(f"{root}/log")

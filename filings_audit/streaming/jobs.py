@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from filings_audit.operators import forest as forest_ops
 from filings_audit.operators import masking
+from filings_audit.operators.keyed import latest_per_key
 from filings_audit.operators.masking import MaskingConfig
 from filings_audit.schemas import PII_LOG
 from filings_audit.sinks import gold
@@ -69,18 +71,33 @@ def score_stream(
 
 
 def deduplicate_stream(
-    stream: DataFrame, key: list[str], time: str, delay: str, out: str, checkpoint: str, salts: int = 32
+    stream: DataFrame, key: list[str], time: str, out: str, checkpoint: str
 ) -> None:
-    """ST5: one row of each key within ``delay``. State is dropped as the watermark passes.
+    """ST5: one row of each key and day of ``time``; the first that arrives stays, however late it is.
 
-    Repeats are removed twice, first within salted parts of a key. A key that fills a third of the stream
-    is thereby spread over ``salts`` tasks, and sends at most one row from each to the second step.
+    The table is the state: a micro-batch is compared with what is stored for its own days, so no row is too late and
+    nothing has to be forgotten. Repeats within a batch go first, in every map task before the shuffle, so a key that
+    fills a third of the stream costs one row per task. A replayed batch replaces its own folder.
     """
-    salt = F.pmod(F.xxhash64(*stream.columns), F.lit(salts))
-    unique = (
-        stream.withColumn("__salt", salt).withWatermark(time, delay)
-        .dropDuplicatesWithinWatermark([*key, "__salt"])
-        .dropDuplicatesWithinWatermark(key)
-        .drop("__salt")
-    )
-    drain(unique.writeStream.format("parquet"), out, checkpoint)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        names = [*key, "__day"]
+        rows = batch.withColumn("__day", F.coalesce(F.to_date(time).cast("string"), F.lit("none")))
+        single = latest_per_key(rows, names, F.asc(time), *[F.asc(c) for c in batch.columns if c not in (*key, time)])
+        days = [r["__day"] for r in rows.select("__day").distinct().collect()]  # calendar days
+        stored = _read_deduplicated(spark, out, batch.schema).filter(F.col("__day").isin(days) & (F.col("__epoch") != epoch))
+        same = [single[c].eqNullSafe(stored[c]) for c in names]
+        fresh = single.join(stored.select(*names), same, "left_anti")
+        fresh.write.mode("overwrite").partitionBy("__day").parquet(f"{out}/__epoch={epoch}")
+
+    drain(stream.writeStream.foreachBatch(write), "", checkpoint)
+
+
+def _read_deduplicated(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    return read_or_empty(spark, out, T.StructType([*schema.fields, T.StructField("__day", T.StringType()), T.StructField("__epoch", T.LongType())]))
+
+
+def read_deduplicated(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """What ``deduplicate_stream`` has kept so far."""
+    return _read_deduplicated(spark, out, schema).select(*schema.names)

@@ -25,59 +25,80 @@ def _keyed(spark, sf_dir):
 
 
 def _revised(spark, sf_dir):
-    """Filings whose goods have shipped, with the shipped amount as cash flow and the last shipment as time."""
+    """Filings whose goods have shipped: the last shipment is their new date, so most change their month.
+
+    Some lack a company and some the id. Each comes again as an older row, which must lose.
+    """
     shipped = star_schema.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.max("l_shipdate").cast("timestamp").alias("shipped"), F.sum("l_quantity").alias("quantity"))
-    rows = _keyed(spark, sf_dir).join(shipped, F.col("order_key") == F.col("l_orderkey"))
-    return rows.withColumns({
+    rows = star_schema.filings(spark, sf_dir, growth=False).join(shipped, F.col("order_key") == F.col("l_orderkey"))
+    new = rows.withColumns({
+        "id": F.when(F.col("order_key") % 13 != 0, F.col("id")),
+        "company_name": F.when(F.col("order_key") % 7 != 0, F.col("company_name")),
+        "filing_date": F.to_date("shipped"),
         "operating_cash_flow": (F.col("quantity") * 1e6).cast("decimal(20,2)"), "created_at": F.col("shipped")})
+    return new.unionByName(new.withColumns({"created_at": F.timestamp_add("DAY", F.lit(-1), "shipped"), "filing_date": F.lit("2001-01-01").cast("date")}))
 
 
 def _order():
     return [F.desc("created_at"), F.desc("operating_cash_flow"), F.desc("company_name")]
 
 
-
-_RANK = "row_number() OVER (PARTITION BY uuid ORDER BY {at} DESC, {cash} DESC, company_name DESC)"
+_STATE = "strftime(filing_date, '%Y-%m-%d') AS filing_date, CAST(cash AS DOUBLE) AS operating_cash_flow, strftime(happened, '%Y-%m-%d %H:%M:%S') AS created_at"
 
 
 @query("upsert_gold", f"""
 WITH {oracle.FILINGS},
-keyed AS (SELECT *, {_UUID} AS uuid FROM filings),
-first AS (SELECT uuid, company_name, operating_cash_flow AS cash, created_at AS happened,
-  {_RANK.format(at='created_at', cash='operating_cash_flow')} AS rn FROM keyed WHERE filing_state <> 'O'),
-shipped AS (SELECT l_orderkey, max(l_shipdate) AS happened, CAST(sum(l_quantity) * 1e6 AS DECIMAL(20,2)) AS cash
+first AS (SELECT id, company_name, filing_date, operating_cash_flow AS cash, created_at AS happened FROM filings WHERE filing_state <> 'O'),
+shipped AS (SELECT l_orderkey, CAST(max(l_shipdate) AS TIMESTAMP) AS happened, CAST(sum(l_quantity) * 1e6 AS DECIMAL(20,2)) AS cash
   FROM lineitem GROUP BY l_orderkey),
-later AS (SELECT uuid, company_name, s.cash, s.happened, {_RANK.format(at='s.happened', cash='s.cash')} AS rn
-  FROM keyed JOIN shipped s ON order_key = l_orderkey),
-merged AS (
-  SELECT * FROM later WHERE rn = 1
-  UNION ALL SELECT * FROM first WHERE rn = 1 AND uuid NOT IN (SELECT uuid FROM later))
-SELECT uuid AS id, company_name, CAST(cash AS DOUBLE) AS operating_cash_flow,
-  strftime(happened, '%Y-%m-%d %H:%M:%S') AS created_at FROM merged""")
+revised AS (
+  SELECT CASE WHEN order_key % 13 <> 0 THEN id END AS id, CASE WHEN order_key % 7 <> 0 THEN company_name END AS company_name,
+    CAST(s.happened AS DATE) AS filing_date, s.cash, s.happened FROM filings JOIN shipped s ON order_key = l_orderkey),
+later AS (SELECT * FROM revised WHERE id IS NOT NULL AND company_name IS NOT NULL),
+refused AS (SELECT * FROM revised WHERE id IS NULL OR company_name IS NULL
+  UNION SELECT id, company_name, DATE '2001-01-01', cash, happened - INTERVAL 1 DAY FROM revised WHERE id IS NULL OR company_name IS NULL)
+SELECT 'stored' AS place, id, company_name, {_STATE} FROM (
+  SELECT * FROM later UNION ALL SELECT * FROM first WHERE id NOT IN (SELECT id FROM later))
+UNION ALL SELECT 'refused', id, company_name, {_STATE} FROM refused""")
 def upsert_gold(spark, sf_dir):
-    """K3: filed records first, then twice the same batch of revisions."""
+    """K3, K6: filed records first, then twice the same batch of revisions: what is stored and what was refused."""
     root = new_dir(configure(spark), "gold")
     gold.initialise(spark, root)
-    gold.upsert(_keyed(spark, sf_dir).filter("filing_state <> 'O'"), root, order=_order())
+    gold.upsert(star_schema.filings(spark, sf_dir, growth=False).filter("filing_state <> 'O'"), root, order=_order())
     revised = materialize(conform(_revised(spark, sf_dir), TRIAGE), "batch")
     gold.upsert(revised, root, order=_order())
     gold.upsert(revised, root, order=_order())
-    return gold.read_gold(spark, root).select(
-        "id", "company_name", F.col("operating_cash_flow").cast("double").alias("operating_cash_flow"),
+    stored = gold.read_gold(spark, root).withColumn("place", F.lit("stored"))
+    refused = gold.read_rejected(spark, root).drop("violations").withColumn("place", F.lit("refused"))
+    return stored.unionByName(refused).select(
+        "place", "id", "company_name", F.date_format("filing_date", "yyyy-MM-dd").alias("filing_date"),
+        F.col("operating_cash_flow").cast("double").alias("operating_cash_flow"),
         F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"))
 
 
 @query("append_gold", f"""
-WITH {oracle.FILINGS}
-SELECT id, company_name, false AS known_rule_violation, false AS ml_anomaly_flag FROM filings WHERE filing_state <> 'P'""")
+WITH {oracle.FILINGS}, batches AS (
+  SELECT 1 AS step, id, company_name, filing_date FROM filings WHERE filing_state = 'F'
+  UNION ALL SELECT 2, id, company_name, filing_date FROM filings WHERE filing_state IN ('F', 'O')
+  UNION ALL SELECT 3, id, CASE WHEN order_key % 5 <> 0 THEN company_name END, filing_date FROM filings WHERE filing_state = 'P')
+SELECT id, company_name, false AS known_rule_violation, false AS ml_anomaly_flag, CASE
+  WHEN company_name IS NULL THEN 'company_name'
+  WHEN step = 2 AND id IN (SELECT id FROM batches WHERE step = 1) THEN 'repeated id' ELSE '' END AS violations FROM batches""")
 def append_gold(spark, sf_dir):
-    """K4: two appends; columns the batch lacks take their defaults, columns the table lacks are ignored."""
+    """K4, K6: all filings in three appends; the second brings the first once more, the third lacks some names.
+
+    Columns the batch lacks take their defaults, columns the table lacks are ignored. Kept rows and refused ones.
+    """
     root = new_dir(configure(spark), "gold")
     rows = star_schema.filings(spark, sf_dir, growth=False).drop("created_at")
-    for state in ("F", "O"):
-        gold.append(rows.filter(F.col("filing_state") == state), root, as_of())
-    return gold.read_gold(spark, root).select("id", "company_name", "known_rule_violation", "ml_anomaly_flag")
+    gold.append(rows.filter("filing_state = 'F'"), root, as_of())
+    gold.append(rows.filter("filing_state IN ('F', 'O')"), root, as_of())
+    nameless = F.when(F.col("order_key") % 5 != 0, F.col("company_name"))
+    gold.append(rows.filter("filing_state = 'P'").withColumn("company_name", nameless), root, as_of())
+    kept = gold.read_gold(spark, root).withColumn("violations", F.array().cast("array<string>"))
+    return kept.unionByName(gold.read_rejected(spark, root)).select(
+        "id", "company_name", "known_rule_violation", "ml_anomaly_flag", F.array_join("violations", ",").alias("violations"))
 
 
 def _imperfect(spark, sf_dir):
@@ -103,9 +124,8 @@ SELECT {_UUID} AS id, 'company_name' AS violations FROM filings WHERE executive_
 def quarantine_rows(spark, sf_dir):
     """K6: what an upsert refuses is kept, with the reason."""
     root = new_dir(configure(spark), "gold")
-    gold.upsert(_imperfect(spark, sf_dir), root, as_of(), quarantine=f"{root}/quarantine")
-    rows = spark.read.parquet(f"{root}/quarantine")
-    return rows.select("id", F.array_join("violations", ",").alias("violations"))
+    gold.upsert(_imperfect(spark, sf_dir), root, as_of())
+    return gold.read_rejected(spark, root).select("id", F.array_join("violations", ",").alias("violations"))
 
 
 # Streams ------------------------------------------------------------------------------------------
@@ -115,7 +135,11 @@ def _stream(spark, path, schema, files=1000):
 
 
 def _table_stream(spark, sf_dir, name):
-    return _stream(spark, f"{sf_dir}/{name}.parquet*", star_schema.table(spark, sf_dir, name).schema)
+    """A stored table as a stream: its files are copied into a folder of their own first."""
+    work = new_dir(configure(spark), f"stream-{name}")
+    rows = star_schema.table(spark, sf_dir, name)
+    rows.write.parquet(work)
+    return _stream(spark, work, rows.schema)
 
 
 @query("stream_ingest", f"""
@@ -149,7 +173,7 @@ def stream_upsert(spark, sf_dir):
     work = new_dir(configure(spark), "stream-upsert")
     rows = conform(fixture.triage_rows(spark, sf_dir), TRIAGE)
     rows.repartitionByRange(3, "filing_date").write.parquet(f"{work}/in")
-    jobs.upsert_stream(_stream(spark, f"{work}/in", TRIAGE, files=2), f"{work}/gold", f"{work}/checkpoint")
+    jobs.upsert_stream(_stream(spark, f"{work}/in", TRIAGE, files=1), f"{work}/gold", f"{work}/checkpoint")
     return gold.read_gold(spark, f"{work}/gold").select(
         "id", "company_name", "known_rule_violation", "ml_anomaly_flag", "root_cause_message")
 
@@ -171,11 +195,12 @@ def stream_score(spark, sf_dir):
 @query("stream_dedupe", """
 SELECT DISTINCT user_id, event_type, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour FROM events""")
 def stream_dedupe(spark, sf_dir):
-    """ST5: one event per user, type and hour."""
+    """ST5: one event per user, type and hour. The events come in four files without any order in time, file by file."""
     work = new_dir(configure(spark), "stream-dedupe")
-    stream = _table_stream(spark, sf_dir, "events").select(
+    events = star_schema.table(spark, sf_dir, "events").select(
         "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"),
-        F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH:mm:ss").alias("hour"))
-    jobs.deduplicate_stream(
-        stream, ["user_id", "event_type", "hour"], "ts", "1 hour", f"{work}/out", f"{work}/checkpoint")
-    return spark.read.parquet(f"{work}/out").select("user_id", "event_type", "hour")
+        F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH:mm:ss").alias("hour"), "event_id")
+    events.repartition(4, "event_id").write.parquet(f"{work}/in")
+    stream = _stream(spark, f"{work}/in", events.schema, files=1)
+    jobs.deduplicate_stream(stream, ["user_id", "event_type", "hour"], "ts", f"{work}/out", f"{work}/checkpoint")
+    return jobs.read_deduplicated(spark, f"{work}/out", events.schema).select("user_id", "event_type", "hour")
