@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from filings_audit.functions.scores import min_max, no_nan, scaled_cash_flow, z_score
 
 GROWTH_LIMIT = 0.20
-# Raw scores lie in (-1, 0); at 6 decimals they take at most a million values, whatever the row count.
-SCORE_DECIMALS = 6
+# Distinct values among which a quantile is picked on the driver.
+LAST_VALUES = 10_000
 
 
 def rule_violation(growth: Column, cash_flow: Column) -> Column:
@@ -37,13 +37,41 @@ def with_features(df: DataFrame) -> DataFrame:
 
 
 def quantile(df: DataFrame, column: str, share: float) -> DataFrame:
-    """Exact quantile with linear interpolation, as a one-row DataFrame.
+    """Exact quantile with linear interpolation, as a one-row DataFrame; null without values.
 
-    Equal values are counted first, so the last task sees each distinct value once. Meant for scores of
-    fixed decimals, whose distinct values are bounded.
+    Approximate quantiles bound the wanted value from both sides; what lies between is bounded again until it is
+    few distinct values. No task sorts or holds more, and nothing is rounded. ``df`` is read a few times.
     """
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).count()
-    return counts.agg(F.percentile(column, share, F.col("count")).alias("threshold"))
+    values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    n = values.count()
+    place = (n - 1) * share
+    low, high = float("-inf"), float("inf")
+    found = None
+    while n:
+        inside = values.filter(F.col("v").between(low, high))
+        before, size = values.filter(F.col("v") < low).count(), inside.count()
+        few = inside.groupBy("v").count().limit(LAST_VALUES + 1).collect()
+        if len(few) <= LAST_VALUES:
+            found = _pick(sorted((r["v"], r["count"]) for r in few), place - before)
+            break
+        # Shares of what is inside, one step of the sketch's accuracy to either side.
+        around = [min(1.0, max(0.0, (place - before + k) / max(size - 1, 1) + d)) for k, d in ((0, -2e-4), (1, 2e-4))]
+        low, high = inside.agg(F.percentile_approx("v", around, 10_000)).first()[0]
+    return df.sparkSession.createDataFrame([(found,)], "threshold double")
+
+
+def _pick(counts: list[tuple[float, int]], place: float) -> float:
+    """The value at a fractional place of a sorted list given as values and their counts."""
+    lower, upper, seen = None, None, 0
+    first = int(place)
+    for value, n in counts:
+        seen += n
+        if lower is None and seen > first:
+            lower = value
+        if upper is None and (seen > first + 1 or place == first and lower is not None):
+            upper = value
+    upper = counts[-1][0] if upper is None else upper
+    return lower + (upper - lower) * (place - first)
 
 
 def flag_below_quantile(df: DataFrame, raw: str = "ml_raw_score", contamination: float = 0.01) -> DataFrame:

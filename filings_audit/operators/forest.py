@@ -15,12 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filings_audit.functions.scores import no_nan
-from filings_audit.operators.detection import SCORE_DECIMALS
 
 TREES_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
 HASH_RANGE = 1 << 31
-# Rows kept as candidates, as a multiple of what the trees will use.
-POOL_FACTOR = 4
 # Expected candidates per tree, as a multiple of the sample; the smallest hashes win.
 DRAW_FACTOR = 2
 
@@ -47,11 +44,12 @@ def average_path(n) -> np.ndarray:
 
 def draw_samples(df: DataFrame, key: str, vector: str, rows: int, params: ForestParams) -> DataFrame:
     """(tree, hash, vector): up to ``sample_size`` rows per tree, the same ones however ``df`` is partitioned."""
-    pool_size = min(rows, POOL_FACTOR * params.trees * params.sample_size)
-    keep = int(HASH_RANGE * pool_size / max(rows, 1))
-    draw = int(HASH_RANGE * min(1.0, DRAW_FACTOR * params.sample_size / max(pool_size, 1)))
+    share = min(1.0, DRAW_FACTOR * params.sample_size / max(rows, 1))
+    # One hash says whether any tree draws the row, so that the others need no hash per tree.
+    drawn = min(1.0, share * params.trees)
+    draw = int(HASH_RANGE * share / drawn)
     pool = df.select(key, vector).filter(
-        F.pmod(F.xxhash64(F.col(key), F.lit("pool"), F.lit(params.seed)), F.lit(HASH_RANGE)) < keep
+        F.pmod(F.xxhash64(F.col(key), F.lit("drawn"), F.lit(params.seed)), F.lit(HASH_RANGE)) < int(HASH_RANGE * drawn)
     )
     ticket = lambda tree: F.pmod(F.xxhash64(F.col(key), F.lit(params.seed), tree), F.lit(HASH_RANGE))
     chosen = F.filter(F.sequence(F.lit(0), F.lit(params.trees - 1)), lambda tree: ticket(tree) < draw)
@@ -159,7 +157,7 @@ def score(df: DataFrame, forest: Forest, vector: Column | str, out: str = "ml_ra
             return pd.Series([], dtype=float)
         return pd.Series(model.value.score(np.vstack(vectors.to_numpy())))
 
-    return df.withColumn(out, F.round(raw_score(vector), SCORE_DECIMALS))
+    return df.withColumn(out, raw_score(vector))
 
 
 def tree_depths(df: DataFrame, key: str, forest: Forest, vector: Column | str) -> DataFrame:

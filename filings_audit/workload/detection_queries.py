@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filings_audit.operators import detection, explain, forest
@@ -37,14 +40,16 @@ def rule_violation(spark, sf_dir):
 
 
 @query("score_quantiles", f"WITH {oracle.SCORED} " + " UNION ALL ".join(
-    f"SELECT CAST({q} AS DOUBLE) AS share, round(quantile_cont(raw, {q}), 6) AS threshold FROM scored" for q in ("0.01", "0.08", "0.5")))
+    f"SELECT '{name}' AS of, CAST({q} AS DOUBLE) AS share, round(quantile_cont(CAST({column} AS DOUBLE), {q}), 6) AS threshold FROM scored"
+    for name, column in (("ml_raw_score", "raw"), ("revenue_usd", "revenue_usd")) for q in ("0.01", "0.08", "0.5")))
 def score_quantiles(spark, sf_dir):
-    rows = fixture.scored(spark, sf_dir).select("ml_raw_score")
-    counts = rows.groupBy("ml_raw_score").count()
-    shares = F.array(F.lit(0.01), F.lit(0.08), F.lit(0.5))
-    found = counts.agg(F.percentile("ml_raw_score", [0.01, 0.08, 0.5], F.col("count")).alias("q"))
-    return found.select(F.inline(F.arrays_zip(shares.alias("share"), F.col("q").alias("threshold")))).withColumn(
-        "threshold", F.round("threshold", 6))
+    """A8 over the scores, and over revenues, nearly all of which are distinct."""
+    rows = fixture.scored(spark, sf_dir)
+    found = [
+        detection.quantile(rows, column, share).select(F.lit(column).alias("of"), F.lit(share).alias("share"), F.round("threshold", 6).alias("threshold"))
+        for column in ("ml_raw_score", "revenue_usd") for share in (0.01, 0.08, 0.5)
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 @query("threshold_flag", f"""
@@ -120,6 +125,38 @@ def iforest_depths(spark, sf_dir):
     return forest.tree_depths(flagged, "id", model, "vector")
 
 
+@query("iforest_check", """
+SELECT count(*) AS records, 0::BIGINT AS without_score, 0::BIGINT AS out_of_range, 150::BIGINT AS trees, true AS nodes_in_bounds,
+  true AS flagged_share_kept, 0::BIGINT AS depths_that_differ, 0::BIGINT AS scores_that_depend_on_partitions FROM orders""")
+def iforest_check(spark, sf_dir):
+    """What must hold for any forest over all filings.
+
+    The flagged share follows the contamination up to equal scores; the mean depth over the trees gives each score back;
+    the model and the scores don't depend on how the rows are dealt.
+    """
+    rows = _forest_input(spark, sf_dir)
+    scored, model = forest.fit_and_score(rows, "id", "vector")
+    scored = materialize(scored, "scored")
+    dealt, _ = forest.fit_and_score(rows.repartition(7, "revenue_growth"), "id", "vector")
+    both = scored.select("id", F.col("ml_raw_score").alias("one")).join(dealt.select("id", F.col("ml_raw_score").alias("two")), "id")
+    depths = forest.tree_depths(scored, "id", model, "vector").groupBy("id").agg(F.avg("depth").alias("mean"))
+    back = scored.join(depths, "id").filter(F.abs(F.col("ml_raw_score") + F.pow(F.lit(2.0), -F.col("mean") / model.scale)) > 1e-9)
+    nodes = forest.fit(rows, "id", "vector").groupBy("tree").count().agg(F.count("*").alias("trees"), F.max("count").alias("most"))
+    flagged = detection.flag_below_quantile(scored, contamination=0.08)
+    wanted = detection.quantile(scored, "ml_raw_score", 0.08)
+    low = wanted.scalar()
+    raw = F.col("ml_raw_score")
+    counts = flagged.agg(
+        F.count("*").alias("records"), F.count_if(raw.isNull()).alias("without_score"),
+        F.count_if((raw <= -1) | (raw >= 0)).alias("out_of_range"),
+        ((F.count_if("ml_anomaly_flag") <= 0.08 * F.count("*") + 1) & (F.count_if(raw <= low) >= 0.08 * F.count("*") - 1)).alias("flagged_share_kept"))
+    return counts.select(
+        "records", "without_score", "out_of_range", nodes.select("trees").scalar().alias("trees"),
+        (nodes.select("most").scalar() <= 2 * 256 - 1).alias("nodes_in_bounds"), "flagged_share_kept",
+        back.agg(F.count("*")).scalar().alias("depths_that_differ"),
+        both.filter("one != two").agg(F.count("*")).scalar().alias("scores_that_depend_on_partitions"))
+
+
 @query("iforest_embeddings")
 def iforest_embeddings(spark, sf_dir):
     """As many features as the vectors have."""
