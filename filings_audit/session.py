@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from filings_audit.sources.storage import settings_from
+
 # All of these can be set on a running session, so a session made elsewhere is tuned as well.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -28,32 +29,22 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def build_session(app_name: str = "filings-audit", master: str | None = None, extra: dict | None = None) -> SparkSession:
-    """Get a configured session. The master is left to spark-submit unless given."""
+    """Get a configured session that can read the storage account the environment names.
+
+    The master is left to spark-submit unless given.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in (extra or {}).items():
+    for key, value in {**settings_from(), **(extra or {})}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 
 
-_OWN_DIRS: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Where it is unset a local session gets a folder of its own; a cluster must name one.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _OWN_DIRS:
-        _OWN_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="filings-audit-")
-    return _OWN_DIRS[context.applicationId]
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or where that is unset the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return root.rstrip("/")
 
 
 def new_dir(spark: SparkSession, label: str) -> str:

@@ -28,10 +28,13 @@ def write_pii_log(entries: DataFrame, path: str) -> int:
     Returns how many were written. There is at most one entry per source, column and type, so they pass
     through the driver. A failure is logged and returns 0: auditing never stops the run it audits.
     """
+    rows = conform(entries, PII_LOG).collect()  # a failure to count is the run's own and goes on up
+    if not rows:
+        return 0
+    broken = [r for r in rows if any(r[f.name] is None for f in PII_LOG.fields)]
+    if broken:
+        raise ValueError(f"{len(broken)} audit entries lack a required field")
     try:
-        rows = conform(entries, PII_LOG).collect()
-        if not rows:
-            return 0
         (
             entries.sparkSession.createDataFrame(rows, PII_LOG).coalesce(1)
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

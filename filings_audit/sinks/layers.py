@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from filings_audit.schemas import BRONZE, SILVER, conform
 
@@ -22,8 +23,10 @@ def write_bronze(df: DataFrame, path: str) -> None:
 
 
 def write_silver(df: DataFrame, path: str) -> None:
-    """K2: the twelve declared columns."""
-    conform(df, SILVER).write.mode("overwrite").parquet(path)
+    """K2: the declared columns; of a frame that has quarters only these quarters are replaced."""
+    quarters = [c for c in ("edgar_year", "edgar_quarter") if c in df.columns]
+    rows = conform(df, T.StructType([*SILVER.fields, *[T.StructField(c, T.StringType()) for c in quarters]]))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*quarters).parquet(path)
 
 
 def write_by_form_and_month(df: DataFrame, path: str) -> None:
