@@ -10,6 +10,15 @@ from filings_audit.schemas import MINIMIZED_COLUMNS
 
 TARGET_FORMS = ("10-K", "10-Q", "8-K")
 DEFAULT_DATE = "1900-01-01"
+# Shapes of full dates and how each is read.
+DATE_FORMS = {
+    r"^\d{4}-\d{1,2}-\d{1,2}$": "yyyy-M-d",
+    r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}": "yyyy-MM-dd",
+    r"^\d{8}$": "yyyyMMdd",
+    r"^\d{1,2}/\d{1,2}/\d{4}$": "M/d/yyyy",
+    r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$": "MMM d, yyyy",
+}
+PLAIN_NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 MASKING_VERSION = "sha256-v1"
 RECORD_CAP = 500
 
@@ -84,17 +93,22 @@ def company_or_unknown(name: Column) -> Column:
 
 
 def parse_date(text: Column) -> Column:
-    """Bad or missing dates become the default date, never an error."""
-    return F.coalesce(text.try_cast("date"), F.lit(DEFAULT_DATE).cast("date"))
+    """Full dates in the usual forms; bad, partial or missing ones become the default date, never an error."""
+    plain = F.trim(text)
+    found = [
+        F.when(plain.rlike(shape), F.to_date(F.try_to_timestamp(F.substr(plain, F.lit(1), F.lit(10)) if "T" in shape else plain, F.lit(form)))) for shape, form in DATE_FORMS.items()
+    ]
+    return F.coalesce(*found, F.lit(DEFAULT_DATE).cast("date"))
 
 
 def to_number(text: Column) -> Column:
-    """Unparsable and NaN become null."""
-    return no_nan(text.try_cast("double"))
+    """Plain decimal numbers, with or without an exponent; all else, infinities and NaN become null."""
+    value = F.when(F.trim(text).rlike(PLAIN_NUMBER), F.trim(text).try_cast("double"))
+    return F.when(F.abs(value) < float("inf"), value)
 
 
-def clean_bronze(df: DataFrame) -> DataFrame:
-    """Bronze to typed silver columns."""
+def clean_bronze(df: DataFrame, *keep: str) -> DataFrame:
+    """Bronze to typed silver columns (P8-P12), and the columns of ``keep``."""
     return df.select(
         company_or_unknown(F.col("company_name")).alias("company_name"),
         parse_date(F.col("date_filed")).alias("filing_date"),
@@ -104,4 +118,5 @@ def clean_bronze(df: DataFrame) -> DataFrame:
         F.col("operating_cash_flow").try_cast("decimal(20,2)").alias("operating_cash_flow"),
         "revenue_usd",
         "executive_name",
+        *keep,
     )

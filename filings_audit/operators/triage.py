@@ -25,11 +25,13 @@ def to_records(df: DataFrame) -> DataFrame:
     ml = F.coalesce(F.col("ml_anomaly_flag"), F.lit(False))
     triage = shaping.needs_triage(rule, ml)
     score = F.coalesce(scores.no_nan(F.col("ml_anomaly_score")), F.lit(0.0))
-    ingested = F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss") if "created_at" in df.columns else F.lit(None)
+    # ISO with the zone; a record that has no time gets the present.
+    at = F.coalesce("created_at", F.current_timestamp()) if "created_at" in df.columns else F.current_timestamp()
+    ingested = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     telemetry = F.struct(
         score.alias("anomalyScore"),
         scores.risk_cluster(score).alias("isolationCluster"),
-        ingested.cast("string").alias("ingestionTs"),
+        ingested.alias("ingestionTs"),
         F.lit(shaping.MODEL_VERSION).alias("modelVersion"),
         shaping.feature_contributions(F.col("revenue_growth"), F.col("operating_cash_flow"), score).alias("featureContrib"),
         scores.score_interval(score)[2].alias("confidenceInterval"),

@@ -34,6 +34,8 @@ class LiveConfig:
     masking: MaskingConfig = MaskingConfig(mode="live")
     forms: tuple[str, ...] = cleaning.TARGET_FORMS
     features: tuple[str, ...] = tuple(LIVE_FEATURES)
+    partitions: int = 200  # a gz file is read by one task; its rows are dealt to so many
+    keep_silver: bool = True
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -44,19 +46,23 @@ class RunResult:
     silver: DataFrame
     gold: DataFrame
     pii_log: DataFrame
-    version: int
+    written: gold.Written
 
 
 def ingest_bronze(spark: SparkSession, index_path: str, facts: DataFrame, config: LiveConfig) -> DataFrame:
-    """Read index files, attach the facts of each company and write the touched quarters."""
-    rows = keyed.attach_facts(index_files.read_index(spark, index_path, config.forms).drop("operating_cash_flow"), facts)
-    layers.write_bronze(rows, config.path("bronze"))
-    return read_typed(spark, config.path("bronze"), BRONZE)
+    """Read index files, attach the facts of each company, write the quarters they hold and return these quarters."""
+    index = index_files.read_index(spark, index_path, config.forms, config.partitions)
+    layers.write_bronze(keyed.attach_facts(index.drop("operating_cash_flow"), facts), config.path("bronze"))
+    touched = index_files.quarters(spark, index_path)
+    wanted = F.lit(False)
+    for year, quarter in touched:
+        wanted = wanted | ((F.col("edgar_year") == year) & (F.col("edgar_quarter") == quarter))
+    return read_typed(spark, config.path("bronze"), BRONZE).filter(wanted)
 
 
 def clean(bronze: DataFrame, config: LiveConfig) -> DataFrame:
     """Typed, masked rows, one per filing id, with the masking trace."""
-    typed = cleaning.clean_bronze(bronze).withColumn(
+    typed = cleaning.clean_bronze(bronze, "edgar_year", "edgar_quarter").withColumn(
         "id", filing_uuid(F.col("cik"), F.col("filing_date"), F.col("form_type"))
     )
     # Values are compared before masking: the same row must win under any salt.
@@ -90,18 +96,18 @@ def run_batch(
     entries = masking.audit_entries(cleaned, config.run_id, as_of, config.masking.mode)
 
     explained = explain.with_root_cause(detect(cleaned.drop(masking.HITS), config))
-    rescanned = masking.mask_messages(explained, config.masking)  # M7
-    layers.write_silver(rescanned, config.path("silver"))
+    masking.mask_messages(explained, config.masking).write.mode("overwrite").parquet(config.path("rescanned"))  # M7
+    rescanned = spark.read.parquet(config.path("rescanned"))
+    if config.keep_silver:
+        layers.write_silver(rescanned, config.path("silver"))
     post = masking.audit_entries(rescanned, masking.post_rca(config.run_id), as_of, config.masking.mode)
     audit_log.write_pii_log(entries.unionByName(post), config.path("pii_log"))  # U1
 
-    silver = read_typed(spark, config.path("silver"), SILVER)
-    version = gold.upsert(
-        silver, config.path("gold"), as_of, quarantine=config.path("quarantine"), unique=True
-    )
+    silver = conform(rescanned, SILVER)
+    written = gold.upsert(silver, config.path("gold"), as_of, unique=True)
     return RunResult(
         silver, gold.read_gold(spark, config.path("gold")),
-        audit_log.read_pii_log(spark, config.path("pii_log")), version,
+        audit_log.read_pii_log(spark, config.path("pii_log")), written,
     )
 
 
@@ -111,10 +117,12 @@ def mask_intake(raw: DataFrame, config: MaskingConfig = MaskingConfig(), as_of:
     return cleaning.with_lineage(masking.mask_values(slim, config), as_of)
 
 
-def load_intake(raw: DataFrame, root: str, run_id: str, as_of: Column, config: MaskingConfig = MaskingConfig()) -> int:
+def load_intake(
+    raw: DataFrame, root: str, run_id: str, as_of: Column, config: MaskingConfig = MaskingConfig()
+) -> gold.Written:
     """The intake variant that ends in gold: rename, mask, upsert, audit."""
     masked = masking.mask(cleaning.to_triage_names(raw), config)
     entries = masking.audit_entries(masked, run_id, as_of, config.mode)
-    version = gold.upsert(conform(masked.withColumn("created_at", as_of), TRIAGE), f"{root}/gold", as_of)
+    written = gold.upsert(conform(masked.withColumn("created_at", as_of), TRIAGE), f"{root}/gold", as_of)
     audit_log.write_pii_log(entries, f"{root}/pii_log")
-    return version
+    return written

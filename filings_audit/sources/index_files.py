@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,8 +48,12 @@ def parse_lines(lines: DataFrame, forms=TARGET_FORMS) -> DataFrame:
             *[F.nullif(expr, F.lit("")).alias(name) for name, expr in fields.items()],
             F.regexp_extract("path", _QUARTER_IN_PATH, 1).alias("edgar_year"),
             F.regexp_extract("path", _QUARTER_IN_PATH, 2).alias("edgar_quarter"),
+            "path",
         )
-        .filter(~F.coalesce((F.col("form_type") == "Form Type") & (F.col("cik") == "CIK"), F.lit(False)))
+        .filter(F.coalesce(F.col("cik").rlike(r"^\d+$"), F.lit(False)))  # headers have no number there
+        .withColumn("edgar_year", F.when(F.col("edgar_year") != "", F.col("edgar_year")).otherwise(
+            F.raise_error(F.concat(F.lit("no quarter in the path "), "path"))))
+        .drop("path")
     )
     rows = drop_null_keys(rows).withColumn("cik", strip_cik(F.col("cik")))
     return only_forms(rows, forms) if forms else rows
@@ -59,6 +65,12 @@ def read_index(spark: SparkSession, path: str, forms=TARGET_FORMS, partitions: i
     return parse_lines(lines.repartition(partitions) if partitions else lines, forms)
 
 
+def quarters(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """The quarters of the files under ``path``, from their names alone."""
+    files = spark.read.option("recursiveFileLookup", "true").text(path).inputFiles()
+    return sorted({found.groups() for file in files if (found := re.search(_QUARTER_IN_PATH, file))})
+
+
 def format_lines(df: DataFrame) -> DataFrame:
     """The reverse of ``parse_lines``: one ``value`` column in the index layout."""
     padded = [

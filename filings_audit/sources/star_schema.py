@@ -69,18 +69,10 @@ def filings(spark: SparkSession, sf_dir: str, growth: bool = True) -> DataFrame:
     return attach_facts(submissions(spark, sf_dir, growth), facts(spark, sf_dir))
 
 
-def raw_records(spark: SparkSession, sf_dir: str, notes: bool = True) -> DataFrame:
-    """Filings in the raw intake schema, with the document of the same number as internal notes.
-
-    Without ``notes`` that column is null and the documents are not read.
-    """
-    rows = filings(spark, sf_dir, growth=False)
-    if notes:
-        text = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("order_key"), F.col("text").alias("internal_notes"))
-        rows = rows.join(text, "order_key", "left")
-    else:
-        rows = rows.withColumn("internal_notes", F.lit(None).cast("string"))
-    return rows.select(
+def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filings in the raw intake schema, with the document of the same number as internal notes."""
+    text = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("order_key"), F.col("text").alias("internal_notes"))
+    return filings(spark, sf_dir, growth=False).join(text, "order_key", "left").select(
         F.col("id").alias("filing_id"), "form_type", "filing_date", "company_name", "cik", "executive_name",
         F.when(F.col("executive_name").isNotNull(), F.lit("Officer")).alias("executive_title"),
         "revenue_usd", "internal_notes",

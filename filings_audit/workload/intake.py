@@ -37,7 +37,7 @@ SELECT id AS filing_id, form_type, {_DAY} AS filing_date, company_name, cik, exe
   CASE WHEN executive_name IS NOT NULL THEN 'Officer' END AS executive_title,
   CAST(revenue_usd AS DOUBLE) AS revenue_usd FROM filings""")
 def minimize_columns(spark, sf_dir):
-    slim = cleaning.minimize_columns(star_schema.raw_records(spark, sf_dir, notes=False))
+    slim = cleaning.minimize_columns(star_schema.raw_records(spark, sf_dir))
     return slim.withColumns({"filing_date": _day(), "revenue_usd": F.col("revenue_usd").cast("double")})
 
 
@@ -45,7 +45,7 @@ def minimize_columns(spark, sf_dir):
 WITH {oracle.FILINGS}
 SELECT id, company_name, CAST(revenue_usd AS DOUBLE) AS operating_cash_flow FROM filings""")
 def triage_names(spark, sf_dir):
-    renamed = cleaning.to_triage_names(star_schema.raw_records(spark, sf_dir, notes=False))
+    renamed = cleaning.to_triage_names(star_schema.raw_records(spark, sf_dir))
     return renamed.select("id", "company_name", F.col("operating_cash_flow").cast("double").alias("operating_cash_flow"))
 
 
@@ -125,14 +125,18 @@ def company_default(spark, sf_dir):
 
 @query("date_default", f"""
 WITH {oracle.FILINGS}
-SELECT id, strftime(coalesce(TRY_CAST(CASE filing_state WHEN 'P' THEN 'n/a'
-  WHEN 'O' THEN strftime(filing_date, '%Y-%m') || '-31' ELSE strftime(filing_date, '%Y-%m-%d') END AS DATE),
-  DATE '1900-01-01'), '%Y-%m-%d') AS filing_date FROM filings""")
+SELECT id, strftime(coalesce(CASE WHEN filing_state = 'P' THEN CASE WHEN order_key % 3 = 0 THEN filing_date END
+  WHEN filing_state = 'O' AND order_key % 2 = 0 THEN TRY_CAST(strftime(filing_date, '%Y-%m') || '-31' AS DATE)
+  ELSE filing_date END, DATE '1900-01-01'), '%Y-%m-%d') AS filing_date FROM filings""")
 def date_default(spark, sf_dir):
-    state = F.col("filing_state")
+    state, key = F.col("filing_state"), F.col("order_key")
     dirty = (
-        F.when(state == "P", F.lit("n/a"))
-        .when(state == "O", F.concat(F.date_format("filing_date", "yyyy-MM"), F.lit("-31")))
+        F.when((state == "P") & (key % 3 == 0), F.date_format("filing_date", "yyyyMMdd"))
+        .when((state == "P") & (key % 3 == 1), F.date_format("filing_date", "yyyy"))
+        .when(state == "P", F.lit("n/a"))
+        .when((state == "O") & (key % 2 == 0), F.concat(F.date_format("filing_date", "yyyy-MM"), F.lit("-31")))
+        .when((state == "O") & (key % 3 == 0), F.date_format("filing_date", "MM/dd/yyyy"))
+        .when(state == "O", F.date_format("filing_date", "MMM d, yyyy"))
         .otherwise(F.date_format("filing_date", "yyyy-MM-dd"))
     )
     rows = star_schema.submissions(spark, sf_dir).select("id", cleaning.parse_date(dirty).alias("filing_date"))
@@ -140,10 +144,12 @@ def date_default(spark, sf_dir):
 
 
 @query("numeric_coerce", """
-SELECT event_id, CASE WHEN event_type NOT IN ('error', 'signup') THEN value END AS amount FROM events""")
+SELECT event_id, CASE WHEN event_type NOT IN ('error', 'signup') AND event_id % 3 <> 0 THEN value END AS amount FROM events""")
 def numeric_coerce(spark, sf_dir):
     kind = F.col("event_type")
-    dirty = F.when(kind == "error", "n/a").when(kind == "signup", "NaN").otherwise(F.col("value").cast("string"))
+    bad = F.element_at(F.array(*map(F.lit, ("1d", "2f", "Infinity", "-Infinity", "0x1p3"))), (F.col("event_id") % 5 + 1).cast("int"))
+    dirty = F.when(kind == "error", "n/a").when(kind == "signup", "NaN").when(F.col("event_id") % 3 == 0, bad)
+    dirty = dirty.otherwise(F.concat(F.lit(" "), F.col("value").cast("string")))
     return star_schema.table(spark, sf_dir, "events").select("event_id", cleaning.to_number(dirty).alias("amount"))
 
 
@@ -238,7 +244,7 @@ SELECT id AS filing_id, form_type, {_DAY} AS filing_date, cik, CAST(revenue_usd
 def raw_source(spark, sf_dir):
     """A stored source with extra fields, read in the declared schema."""
     path = new_dir(configure(spark), "raw")
-    star_schema.raw_records(spark, sf_dir, notes=False).withColumn("status", F.lit("Pending")).write.json(path)
+    star_schema.raw_records(spark, sf_dir).withColumn("status", F.lit("Pending")).write.json(path)
     rows = tables.filings_source(spark, "intake", intake=path, fmt="json")
     assert rows.columns == RAW.names
     return rows.select("filing_id", "form_type", _day(), "cik",
@@ -253,7 +259,7 @@ FROM filings WHERE form_type = '10-K' AND strftime(filing_date, '%Y-%m') BETWEEN
 def masked_layout(spark, sf_dir):
     """Masked output by form and month; the read back touches only the wanted folders."""
     path = new_dir(configure(spark), "masked")
-    raw = star_schema.raw_records(spark, sf_dir, notes=False)
+    raw = star_schema.raw_records(spark, sf_dir)
     layers.write_by_form_and_month(medallion.mask_intake(raw, as_of=as_of()), path)
     schema = "filing_id string, executive_name string, form_type string, filing_month string"
     rows = spark.read.schema(schema).parquet(path)

@@ -133,7 +133,7 @@ WITH {oracle.FILINGS}
 SELECT id AS filing_id, form_type, company_name, {oracle.sha256('executive_name', DEFAULT.salt)} AS executive_name,
   CAST(revenue_usd AS DOUBLE) AS revenue_usd, 'sha256-v1' AS masking_version, true AS pii_masked FROM filings""")
 def masked_intake(spark, sf_dir):
-    rows = medallion.mask_intake(star_schema.raw_records(spark, sf_dir, notes=False), as_of=as_of())
+    rows = medallion.mask_intake(star_schema.raw_records(spark, sf_dir), as_of=as_of())
     return rows.select("filing_id", "form_type", "company_name", "executive_name",
                        F.col("revenue_usd").cast("double").alias("revenue_usd"), "masking_version", "pii_masked")
 

@@ -73,6 +73,11 @@ def test_batch_run_end_to_end(spark, tmp_path, facts):
     second = str(tmp_path / "full-index/2024/QTR2/company.gz")
     more = medallion.run_batch(spark, second, facts, medallion.LiveConfig(root=config.root, run_id="run-2", forest=config.forest), _as_of())
     assert more.gold.count() > 150
+    # The second run scores, logs and rewrites its own quarter only.
+    found = {(e.source_file_id, e.field_name): e.record_count for e in more.pii_log.collect()}
+    assert found[("run-1", "executive_name")] == named and found[("run-2", "executive_name")] < 40
+    later = {r.cik: r for r in more.gold.filter("filing_month < '2024-04'").collect()}
+    assert later == {cik: r for cik, r in rows.items() if r.filing_month < "2024-04"}
 
 
 def test_intake_load_twice_is_once(spark):
@@ -156,9 +161,9 @@ def test_deduplicated_stream(spark):
     frame.repartition(3).write.parquet(f"{work}/in")
     for _ in range(2):
         stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
-        jobs.deduplicate_stream(stream, ["k"], "ts", "2 hours", f"{work}/out", f"{work}/checkpoint", salts=4)
+        jobs.deduplicate_stream(stream, ["k"], "ts", f"{work}/out", f"{work}/checkpoint")
         frame.limit(50).write.mode("append").parquet(f"{work}/in")
-    kept = spark.read.parquet(f"{work}/out")
+    kept = jobs.read_deduplicated(spark, f"{work}/out", frame.schema)
     assert sorted(r.k for r in kept.collect()) == sorted({k for k, _, _ in rows})
     assert kept.columns == frame.columns
 

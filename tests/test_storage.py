@@ -46,17 +46,13 @@ def test_upsert_rewrites_only_the_months_it_touches(spark):
     assert after["2023-05"] == before["2023-05"] and after["2024-01"] != before["2024-01"]
 
 
-def test_inserts_leave_stored_files_alone_until_there_are_many(spark, monkeypatch):
-    monkeypatch.setattr(gold, "MAX_FOLDERS", 3)
+def test_a_moved_date_moves_the_row(spark):
     root = new_dir(spark, "t")
-    folders = []
-    for step in range(5):
-        gold.upsert(_frame(spark, _row(f"r{step}")), root)
-        folders.append(len(gold._current(spark, root)[1]["2024-01"]))
-    assert folders == [1, 2, 3, 2, 3]
-    gold.upsert(_frame(spark, *[_row(f"r{step}", cash=7) for step in range(5)]), root)
-    assert _state(spark, root) == {f"r{step}": ("Quill", 7) for step in range(5)}
-    assert len(gold._current(spark, root)[1]["2024-01"]) == 1  # nothing older survived
+    gold.upsert(_frame(spark, _row("a"), _row("b")), root)
+    gold.upsert(_frame(spark, _row("a", day=date(2024, 2, 5), cash=5)), root)
+    assert _state(spark, root) == {"a": ("Quill", 5), "b": ("Quill", 1)} and gold.read_gold(spark, root).count() == 2
+    gold.upsert(_frame(spark, _row("b", day=date(2024, 2, 6))), root)
+    assert set(gold._current(spark, root)[1]) == {"2024-02"}  # nothing is left in January
 
 
 def test_an_unfinished_write_is_invisible(spark):
@@ -64,7 +60,7 @@ def test_an_unfinished_write_is_invisible(spark):
     gold.upsert(_frame(spark, _row("a")), root)
     # Files without a log entry are what a writer leaves that died before its commit.
     lost = conform(_frame(spark, _row("a", cash=9), _row("z")), TRIAGE).withColumn("filing_month", F.lit("2024-01"))
-    lost.write.partitionBy("filing_month").parquet(f"{root}/data/commit=2-batch")
+    lost.write.partitionBy("filing_month").parquet(f"{root}/data/commit=2")
     assert _state(spark, root) == {"a": ("Quill", 1)}
     gold.upsert(_frame(spark, _row("b")), root)
     assert _state(spark, root) == {"a": ("Quill", 1), "b": ("Quill", 1)}
@@ -73,19 +69,23 @@ def test_an_unfinished_write_is_invisible(spark):
 def test_quarantine_keeps_what_breaks_a_constraint(spark):
     root = new_dir(spark, "t")
     batch = _frame(spark, _row("a"), _row("b", name=None), _row("c", day=None), _row(None))
-    gold.upsert(batch, root, quarantine=f"{root}/quarantine")
-    assert set(_state(spark, root)) == {"a"}
-    rejected = {r.id: list(r.violations) for r in spark.read.parquet(f"{root}/quarantine").collect()}
-    assert rejected == {"b": ["company_name"], "c": ["filing_date"], None: ["id"]}
+    for version in (1, 2):
+        assert gold.upsert(batch, root) == gold.Written(version, kept=1, rejected=3)
+        assert set(_state(spark, root)) == {"a"}
+        rejected = sorted((r.id or "", list(r.violations)) for r in gold.read_rejected(spark, root).collect())
+        assert rejected == [("", ["id"]), ("b", ["company_name"]), ("c", ["filing_date"])]
 
 
 def test_append_defaults_and_ignored_columns(spark):
     root = new_dir(spark, "t")
     slim = spark.createDataFrame([("a", "Quill", date(2024, 1, 15), 9)], "id string, company_name string, filing_date date, extra int")
-    assert gold.append(slim, root) == 1
-    assert gold.append(slim.withColumn("id", F.lit("b")), root) == 1
+    assert gold.append(slim, root) == gold.Written(1, kept=1, rejected=0)
+    assert gold.append(slim.withColumn("id", F.lit("b")), root) == gold.Written(2, kept=1, rejected=0)
+    again = slim.unionByName(slim.withColumn("id", F.lit("c"))).unionByName(slim.withColumn("id", F.lit("c")))
+    assert gold.append(again, root) == gold.Written(3, kept=1, rejected=2)
+    assert {r.id: r.violations for r in gold.read_rejected(spark, root).collect()} == {"a": ["repeated id"], "c": ["repeated id"]}
     rows = gold.read_gold(spark, root).collect()
-    assert {r.id for r in rows} == {"a", "b"}
+    assert {r.id for r in rows} == {"a", "b", "c"}
     assert all(r.known_rule_violation is False and r.ml_anomaly_flag is False and r.created_at for r in rows)
     assert gold.read_gold(spark, root).columns == [*TRIAGE.names, "filing_month"]
     with pytest.raises(ValueError, match="filing_date"):
@@ -193,18 +193,20 @@ def test_index_lines_round_trip(spark, index_root):
 
 
 def test_storage_options():
-    base = dict(account="acc", container="c", key="", client_id="", client_secret="", tenant_id="", managed_identity=False)
-    make = lambda **over: storage.StorageConfig(**{**base, **over})
-    assert make().abfss_root == "abfss://c@acc.dfs.core.windows.net"
-    assert make().wasbs_root == "wasbs://c@acc.blob.core.windows.net"
-    assert storage.index_path(make().abfss_root, "2024", "QTR1").endswith("/full-index/2024/QTR1/company.gz")
     host = "acc.dfs.core.windows.net"
-    keyed = storage.hadoop_options(make(key="k", client_id="i", managed_identity=True))
+    assert storage.container_root("acc", "c") == f"abfss://c@{host}"
+    assert storage.container_root("acc", "c", "wasbs") == "wasbs://c@acc.blob.core.windows.net"
+    assert storage.index_path(storage.container_root("acc"), "2024", "QTR1").endswith("/full-index/2024/QTR1/company.gz")
+    client = ("t", "i", "s")
+    keyed = storage.account_settings("acc", key="k", client=client, managed=True)
     assert keyed == {f"spark.hadoop.fs.azure.account.key.{host}": "k"}
-    principal = storage.hadoop_options(make(client_id="i", client_secret="s", tenant_id="t", managed_identity=True))
+    principal = storage.account_settings("acc", client=client, managed=True)
     assert principal[f"spark.hadoop.fs.azure.account.oauth2.client.id.{host}"] == "i" and len(principal) == 5
-    assert storage.hadoop_options(make(managed_identity=True)) == {f"spark.hadoop.fs.azure.account.auth.type.{host}": "ManagedIdentity"}
-    assert storage.hadoop_options(make()) == {} and storage.hadoop_options(make(account="", key="k")) == {}
+    managed = {f"spark.hadoop.fs.azure.account.auth.type.{host}": "ManagedIdentity"}
+    assert storage.account_settings("acc", managed=True) == managed
+    assert storage.account_settings("acc") == {} == storage.account_settings("", key="k")
+    assert storage.settings_from({"AZURE_STORAGE_ACCOUNT": "acc", "AZURE_MANAGED_IDENTITY": "True"}) == managed
+    assert storage.settings_from({"AZURE_STORAGE_ACCOUNT": "acc", "AZURE_STORAGE_KEY": "k"}) == keyed and storage.settings_from({}) == {}
 
 
 def test_typed_source_and_source_switch(spark):
@@ -222,33 +224,29 @@ def test_typed_source_and_source_switch(spark):
 
 def test_cleaning(spark):
     frame = spark.createDataFrame(
-        [(None, "2024-02-30", "abc", "0007"), ("  A ", None, "NaN", "000"), ("B", "2024-02-29", "1.5", " 12 ")],
+        [(None, "2024-02-30", "abc", "0007"), ("  A ", None, "NaN", "000"), ("B", "2024-02-29", "1.5", " 12 "),
+         ("B", "20240115", "1d", "1"), ("B", "01/15/2024", "Infinity", "1"), ("B", "Jan 15, 2024", " -2e3 ", "1"),
+         ("B", "2024", "2f", "1"), ("B", "2024-01-15T10:11:12Z", "1e999", "1"), ("B", "99999999", ".5", "1")],
         "n string, d string, x string, c string")
     rows = frame.select(
         cleaning.company_or_unknown(F.col("n")).alias("n"), cleaning.parse_date(F.col("d")).alias("d"),
         cleaning.to_number(F.col("x")).alias("x"), cleaning.strip_cik(F.col("c")).alias("c")).collect()
     assert [tuple(r) for r in rows] == [
-        ("Unknown", date(1900, 1, 1), None, "7"), ("A", date(1900, 1, 1), None, ""), ("B", date(2024, 2, 29), 1.5, "12")]
+        ("Unknown", date(1900, 1, 1), None, "7"), ("A", date(1900, 1, 1), None, ""), ("B", date(2024, 2, 29), 1.5, "12"),
+        ("B", date(2024, 1, 15), None, "1"), ("B", date(2024, 1, 15), None, "1"), ("B", date(2024, 1, 15), -2000.0, "1"),
+        ("B", date(1900, 1, 1), None, "1"), ("B", date(2024, 1, 15), None, "1"), ("B", date(1900, 1, 1), 0.5, "1")]
 
 
 def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
-def test_shared_dir_without_a_setting():
-    class Context:
-        applicationId, master = "app-x", "local[2]"
-
+def test_shared_dir_without_a_setting_is_in_the_warehouse():
     class Session:
-        sparkContext = Context
-
         class conf:  # noqa: N801
-            get = staticmethod(lambda name, default: default)
+            get = staticmethod(lambda name, default=None: {"spark.sql.warehouse.dir": "hdfs://x/warehouse/"}.get(name, default))
 
-    assert shared_dir(Session) == shared_dir(Session)
-    Context.master = "spark://host:7077"
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(Session)
+    assert shared_dir(Session) == "hdfs://x/warehouse"
 
 
 def test_warehouse_reads(spark):
