@@ -12,7 +12,7 @@ from filings_audit.plans import medallion
 from filings_audit.session import configure, materialize, new_dir
 from filings_audit.sources import star_schema
 from filings_audit.workload import fixture, oracle
-from filings_audit.workload.intake import write_index
+from filings_audit.workload.intake import _UUID, FORMS, INDEX, write_index
 from filings_audit.workload.registry import query
 
 
@@ -167,12 +167,43 @@ def iforest_embeddings(spark, sf_dir):
     return detection.normalise_scores(detection.flag_below_quantile(scores, contamination=0.08))
 
 
+def _facts(spark, sf_dir):
+    return star_schema.filings(spark, sf_dir).groupBy(F.regexp_replace("cik", "^0+", "").alias("cik")).agg(
+        F.max("revenue_usd").alias("revenue_usd"), F.max("operating_cash_flow").alias("operating_cash_flow"),
+        F.max_by("revenue_growth", "order_key").alias("revenue_growth"), F.max("executive_name").alias("executive_name"))
+
+
 @query("live_batch")
 def live_batch(spark, sf_dir):
     """Index files to gold in one run."""
-    index = write_index(spark, sf_dir)
-    facts = star_schema.filings(spark, sf_dir).groupBy(F.regexp_replace("cik", "^0+", "").alias("cik")).agg(
-        F.max("revenue_usd").alias("revenue_usd"), F.max("operating_cash_flow").alias("operating_cash_flow"),
-        F.max_by("revenue_growth", "order_key").alias("revenue_growth"), F.max("executive_name").alias("executive_name"))
     config = medallion.LiveConfig(root=new_dir(configure(spark), "live"), run_id="run-1")
-    return medallion.run_batch(spark, index, facts, config, fixture.as_of()).gold
+    return medallion.run_batch(spark, write_index(spark, sf_dir), _facts(spark, sf_dir), config, fixture.as_of()).gold
+
+
+@query("live_runs", f"""
+WITH {INDEX},
+facts AS (
+  SELECT ltrim(cik, '0') AS cik, max(operating_cash_flow) AS cash, arg_max_null(revenue_growth, order_key) AS growth,
+    max(executive_name) AS executive FROM filings GROUP BY 1),
+listed AS (
+  SELECT DISTINCT {_UUID} AS id, company_name, form_type, ltrim(cik, '0') AS cik, strftime(filing_date, '%Y-%m-%d') AS day,
+    CASE WHEN year(filing_date) < 1997 THEN 'run-1' ELSE 'run-2' END AS run
+  FROM filings WHERE form_type IN {FORMS}),
+known AS (SELECT * FROM listed LEFT JOIN facts USING (cik))
+SELECT 'filing' AS kind, id AS name, company_name || '|' || form_type || '|' || cik || '|' || day AS detail,
+  CAST(coalesce(growth, 0) > 0.2 AND coalesce(cash, 0) < 0 AS BIGINT) AS number FROM known
+UNION ALL SELECT 'audit', run, 'executive_name', count(*) FROM known WHERE executive IS NOT NULL GROUP BY run""")
+def live_runs(spark, sf_dir):
+    """Two runs, each over the index files of some years: what does not come from the model, and each run's own audit."""
+    index, facts = write_index(spark, sf_dir), materialize(_facts(spark, sf_dir), "facts")
+    root = new_dir(configure(spark), "live")
+    small = forest.ForestParams(trees=20)
+    for run, years in (("run-1", "199[2-6]"), ("run-2", "{199[7-9],20*}")):
+        config = medallion.LiveConfig(root=root, run_id=run, forest=small)
+        result = medallion.run_batch(spark, f"{index}/edgar_year={years}", facts, config, fixture.as_of())
+    detail = F.concat_ws("|", "company_name", "form_type", "cik", F.date_format("filing_date", "yyyy-MM-dd"))
+    filings = result.gold.select(
+        F.lit("filing").alias("kind"), F.col("id").alias("name"), detail.alias("detail"), F.col("known_rule_violation").cast("long").alias("number"))
+    audit = result.pii_log.filter("field_name = 'executive_name'")
+    return filings.unionByName(audit.select(
+        F.lit("audit").alias("kind"), F.col("source_file_id").alias("name"), F.col("field_name").alias("detail"), F.col("record_count").alias("number")))

@@ -179,7 +179,7 @@ records AS (
     CASE WHEN {NEEDS} THEN {ASSIGNEE} END AS assignee,
     CASE WHEN {NEEDS} THEN CASE WHEN hours < 24 THEN hours || 'h' ELSE (hours // 24) || 'd' END END AS alert_age,
     root_cause_message AS details, ml_anomaly_score AS score, {CLUSTER} AS cluster,
-    strftime(created_at, '%Y-%m-%dT%H:%M:%S') AS ingestion_ts, {quote(MODEL_VERSION)} AS model_version,
+    strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS ingestion_ts, {quote(MODEL_VERSION)} AS model_version,
     {GROWTH3} AS growth_delta, {RATIO} AS cash_ratio, {SHARE} AS frequency,
     CAST({LOW} AS VARCHAR) || ' – ' || CAST({HIGH} AS VARCHAR) AS interval_text, created_at
   FROM aged)"""
