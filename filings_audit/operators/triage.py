@@ -15,8 +15,7 @@ PAGE_SIZE = 10
 FILING_LIMITS = (1, 1000)
 AUDIT_LIMITS = (1, 2000)
 DEFAULT_LIMIT = 200
-TOP_K_REACH = 100_000  # rows a task may hold for a page
-MAX_RANGES = 10_000
+RANGE_ROWS = 100_000  # sort keys and ids that a task sorts for a page
 
 
 def to_records(df: DataFrame) -> DataFrame:
@@ -190,13 +189,13 @@ def clamp_page(page: int, rows: int, size: int = PAGE_SIZE) -> int:
 
 def page(
     records: DataFrame, number: int, key: str | None = None, descending: bool = False,
-    size: int = PAGE_SIZE, rows: int | None = None, collation: str | None = None, reach: int = TOP_K_REACH,
+    size: int = PAGE_SIZE, rows: int | None = None, collation: str | None = None, reach: int = RANGE_ROWS,
 ) -> DataFrame:
-    """T5: one page of the sorted view, without a global numbering.
+    """T5: one page of the sorted view, without a global numbering. Ids are unique.
 
-    The page number is clamped by the row count, which is taken only where a page beyond the first is asked.
-    Pages near either end are a top-k from that end. Others go through ranges (``_page_between``), so no
-    task holds more than ``reach`` rows or one range.
+    The first page is a top-k. Any other is found among the sort keys and ids alone: these are split into ranges of about
+    ``reach`` rows and counted, the ranges that hold the page are sorted, and its records are read by their ids. The page
+    number is clamped by the row count.
     """
     keys = sort_keys(key, descending, collation)
     if number <= 1:
@@ -206,33 +205,27 @@ def page(
     take = min(size, rows - start)
     if take <= 0:
         return records.limit(0)
-    if start + take <= reach:
-        return records.orderBy(*_order(keys)).offset(start).limit(take)
-    from_end = rows - start - take
-    if from_end + take <= reach:
-        tail = records.orderBy(*_order(keys, reverse=True)).offset(from_end).limit(take)
-        return tail.orderBy(*_order(keys))
-    return _page_between(records, _order(keys), start, take, rows, reach)
+    ids = _ids_between(records, keys, start, take, max(1, -(-rows // reach)))
+    return records.join(F.broadcast(ids), "id", "left_semi").select(*records.columns).orderBy(*_order(keys))  # one page of ids
 
 
-def _page_between(records: DataFrame, order: list[Column], start: int, take: int, rows: int, reach: int) -> DataFrame:
-    """Rows ``start .. start + take`` of the order: split into ranges, count each, sort only the ones hit.
+def _ids_between(records: DataFrame, keys: list[tuple[Column, bool]], start: int, take: int, ranges: int) -> DataFrame:
+    """Ids of rows ``start .. start + take`` of the order. The driver gets one count per range.
 
-    The ranges are written out, so that counting and reading see the same split. The driver gets one count
-    per range.
+    The ranges are written out, so that counting and reading see the same split.
     """
-    ranges = max(2, min(MAX_RANGES, -(-rows // reach)))
-    split = records.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id())
-    stored = materialize(split, "page")
-    counts = sorted(stored.groupBy("__range").count().collect())
+    names = [f"__key{i}" for i in range(len(keys))]
+    narrow = records.select("id", *[column.alias(name) for name, (column, _) in zip(names, keys)])
+    order = _order([(F.col(name), down) for name, (_, down) in zip(names, keys)])
+    stored = materialize(narrow.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id()), "page")
     hit, before, skip = [], 0, 0
-    for number, count in counts:
+    for number, count in sorted(stored.groupBy("__range").count().collect()):
         if before < start + take and before + count > start:
             skip = skip if hit else start - before
             hit.append(number)
         before += count
-    inside = stored.filter(F.col("__range").isin(hit)).drop("__range")
-    return inside.orderBy(*order).offset(skip).limit(take)
+    inside = stored.filter(F.col("__range").isin(hit))
+    return inside.orderBy(*order).offset(skip).limit(take).select("id")
 
 
 def summary(df: DataFrame, with_average: bool = False) -> DataFrame:

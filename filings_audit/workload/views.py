@@ -253,16 +253,16 @@ def _placed(rows, order):
 _VIEW = ["id", "company", "formType", "filingDate", "severity", "status", "violationDetails", "assignee", "alertAge", "mlTelemetry", "created_at"]
 
 
-def _sorted_page(spark, sf_dir, key, descending, number=1, collation=None):
+def _sorted_page(spark, sf_dir, key, descending, number=1, size=10):
     records = _records(spark, sf_dir).select(*_VIEW)
-    rows = triage.page(records, number, key, descending, collation=collation)
-    order = triage.sort_order(key, descending, collation)
+    rows = triage.page(records, number, key, descending, size)
+    order = triage.sort_order(key, descending)
     return _placed(rows, order).select("id", "company", "place", F.lit("desc" if descending else "asc").alias("direction"))
 
 
 def _sort_sql(key: str) -> str:
     one = """(SELECT id, company, row_number() OVER (ORDER BY {key} {way}, created_at DESC, id) AS place,
-      '{tag}' AS direction FROM records ORDER BY {key} {way}, created_at DESC, id LIMIT 10)"""
+      '{tag}' AS direction FROM records ORDER BY {key} {way}, created_at DESC, id LIMIT 1000)"""
     ways = [one.format(key=oracle.SORT_SQL[key], way=way, tag=way.lower()) for way in ("ASC", "DESC")]
     return f"WITH {oracle.RECORDS} SELECT * FROM {ways[0]} UNION ALL SELECT * FROM {ways[1]}"
 
@@ -277,8 +277,8 @@ _SORT_NAMES = {
 def _sort_query(key: str, name: str):
     @query(name, _sort_sql(key))
     def run(spark, sf_dir):
-        """The first page in both directions."""
-        return _sorted_page(spark, sf_dir, key, False).unionByName(_sorted_page(spark, sf_dir, key, True))
+        """A long first page in both directions."""
+        return _sorted_page(spark, sf_dir, key, False, size=1000).unionByName(_sorted_page(spark, sf_dir, key, True, size=1000))
 
 
 for _key, _name in _SORT_NAMES.items():
@@ -291,18 +291,29 @@ ranked AS (SELECT id, company, row_number() OVER (ORDER BY score DESC, created_a
 total AS (SELECT count(*) AS n FROM records)
 SELECT id, company, CAST(place - 20 AS INTEGER) AS place, 'third' AS page FROM ranked WHERE place BETWEEN 21 AND 30
 UNION ALL
+SELECT id, company, CAST(place - n // 20 * 10 AS INTEGER), 'middle' FROM ranked, total WHERE place > n // 20 * 10 AND place <= n // 20 * 10 + 10
+UNION ALL
 SELECT id, company, CAST(place - ((n - 1) // 10) * 10 AS INTEGER), 'last' FROM ranked, total WHERE place > ((n - 1) // 10) * 10""")
 def page_rows(spark, sf_dir):
-    """T5: a middle page, and a page beyond the end, which becomes the last."""
+    """T5: an early page, the one in the middle of all, and a page beyond the end, which becomes the last."""
+    half = published(spark, sf_dir).count() // 20 + 1
+    middle = _sorted_page(spark, sf_dir, "anomalyScore", True, half).withColumn("page", F.lit("middle"))
     third = _sorted_page(spark, sf_dir, "anomalyScore", True, 3).withColumn("page", F.lit("third"))
     last = _sorted_page(spark, sf_dir, "anomalyScore", True, 10**9).withColumn("page", F.lit("last"))
-    return third.unionByName(last).select("id", "company", "place", "page")
+    return third.unionByName(middle).unionByName(last).select("id", "company", "place", "page")
 
 
-@query("sort_collated")
+@query("sort_collated", f"""
+WITH {oracle.RECORDS}, mixed AS (
+  SELECT id, created_at, CASE WHEN CAST(id AS BIGINT) % 2 = 0 THEN upper(company) ELSE lower(company) END AS company FROM records)
+SELECT id, company, row_number() OVER (ORDER BY lower(company), company <> lower(company), created_at DESC, id) AS place
+FROM mixed ORDER BY place LIMIT 1000""")
 def sort_collated(spark, sf_dir):
-    """Text in locale order."""
-    return _sorted_page(spark, sf_dir, "rootCause", True, collation="UNICODE")
+    """Names in upper and lower case in locale order: letters first, and of equal letters the lower case."""
+    even = F.col("id").cast("long") % 2 == 0
+    records = _records(spark, sf_dir).select(*_VIEW).withColumn("company", F.when(even, F.upper("company")).otherwise(F.lower("company")))
+    rows = triage.page(records, 1, "company", size=1000, collation="UNICODE")
+    return _placed(rows, triage.sort_order("company", collation="UNICODE")).select("id", "company", "place")
 
 
 @query("list_filings", f"""
@@ -325,14 +336,19 @@ def triage_view(spark, sf_dir):
 # Exports ------------------------------------------------------------------------------------------
 
 @query("export_csv", f"""
-WITH {oracle.GOLD} SELECT id, company_name, root_cause_message FROM gold WHERE known_rule_violation""")
+WITH {oracle.GOLD} SELECT format, id, company_name, root_cause_message FROM gold, (VALUES ('csv'), ('json'), ('parquet')) f(format)
+WHERE known_rule_violation""")
 def export_csv(spark, sf_dir):
-    """Filtered rows out to CSV and back."""
-    path = new_dir(configure(spark), "export")
+    """Filtered rows out to each format and back."""
     rows = triage.apply_filter(published(spark, sf_dir), TriageFilter(severity="violation"))
-    layers.export(rows.select("id", "company_name", "root_cause_message"), path)
     schema = "id string, company_name string, root_cause_message string"
-    return spark.read.schema(schema).option("header", "true").option("escape", '"').csv(path)
+    found = []
+    for fmt in ("csv", "json", "parquet"):
+        path = new_dir(configure(spark), "export")
+        layers.export(rows.select("id", "company_name", "root_cause_message"), path, fmt)
+        options = {"header": "true", "escape": '"'} if fmt == "csv" else {}
+        found.append(spark.read.schema(schema).options(**options).format(fmt).load(path).withColumn("format", F.lit(fmt)))
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 @query("silver_table", f"""
