@@ -102,7 +102,25 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows, rows.where(F.col("id") % 50 == 0), 5)
 
 
-@query("op8_warc")
+# Base 32 of a SHA-1 in DuckDB: every five bits of each ten hex digits pick a letter.
+_BASE32 = " || ".join(
+    f"substr('{warc.BASE32_TO}', CAST((CAST('0x' || substr(h, {10 * i + 1}, 10) AS BIGINT) >> {35 - 5 * k}) & 31 AS INTEGER) + 1, 1)"
+    for i in range(4) for k in range(8)
+)
+
+
+@query(
+    "op8_warc",
+    f"""
+    WITH p AS (
+      SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h,
+        max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages
+    )
+    SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+      CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN page_id <> first THEN first END AS refers_to FROM p
+    """,
+)
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_dir(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
