@@ -189,11 +189,13 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
+PAD = np.uint32(2**32 - 1)
+
+
 def _estimates(sketch: np.ndarray, left: np.ndarray, right: np.ndarray, k: int) -> np.ndarray:
     """Similarity of pairs from the k smallest values of the union of their sketches (rows padded with the maximum)."""
-    pad = np.iinfo(np.uint64).max
     merged = np.sort(np.concatenate([sketch[left], sketch[right]], axis=1), axis=1)
-    real = merged != pad
+    real = merged != PAD
     same = np.zeros_like(real)
     same[:, 1:] = (merged[:, 1:] == merged[:, :-1]) & real[:, 1:]
     rank = np.cumsum(real & ~same, axis=1)
@@ -202,6 +204,8 @@ def _estimates(sketch: np.ndarray, left: np.ndarray, right: np.ndarray, k: int)
 
 
 SMALL = 48
+# Bits by which documents without any candidate are told before their sets are made: 8 MB.
+BITS = 1 << 26
 
 
 def _candidate_edges(settings: Settings):
@@ -211,9 +215,9 @@ def _candidate_edges(settings: Settings):
             ids, runs = table["doc_id"].to_numpy(), _runs(table)
             values, starts = _lists(table["sketch"])
             edges: set[tuple[int, int]] = set()
-            sketch = np.full((len(ids), k), np.iinfo(np.uint64).max)
+            sketch = np.full((len(ids), k), PAD)
             lengths = np.diff(starts)
-            sketch[np.repeat(np.arange(len(ids)), lengths), np.arange(len(values)) - np.repeat(starts[:-1], lengths)] = values.view(np.uint64)
+            sketch[np.repeat(np.arange(len(ids)), lengths), np.arange(len(values)) - np.repeat(starts[:-1], lengths)] = values.view(np.uint32) ^ np.uint32(1 << 31)
             sizes = np.diff(runs)
             # Small lists together: members against later members of the same list, by distance.
             end = np.repeat(runs[1:], sizes)
@@ -268,6 +272,33 @@ def _in_cells(rows: DataFrame, key: str, run) -> DataFrame:
     return dealt.repartition(key, "cell").sortWithinPartitions(key, "cell").mapInArrow(run, "u long, v long")
 
 
+def _sets_of(docs: DataFrame, groups: DataFrame, settings: Settings) -> DataFrame:
+    """doc_id and shingles of every member of a group, and of a few others, without a shuffle of texts.
+
+    The members' ids set bits in a table of fixed size, which the driver may hold. Rows whose bit is not set are left
+    out; a full table would let more of the others through and change nothing else.
+    """
+    bit = F.pmod(F.xxhash64("vertex"), F.lit(BITS))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 32).cast("int"))
+    found = groups.groupBy(F.floor(bit / 32).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()
+    table = np.zeros(BITS // 32, np.uint32)
+    table[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(settings.words)
+        for batch in batches:
+            bits = batch.column(2).to_numpy(zero_copy_only=False)
+            some = pa.Table.from_batches([batch]).filter(pa.array((shared.value[bits >> 5] >> (bits & 31).astype(np.uint32)) & 1 == 1))
+            if some.num_rows:
+                sets = pa.array([shingles(t).view(np.int64) for t in some["text"].to_pylist()], pa.list_(pa.int64()))
+                ids = some["doc_id"].combine_chunks()
+                yield pa.RecordBatch.from_arrays([ids, sets], names=["doc_id", "shingles"])
+
+    asked = docs.where("doc_id IS NOT NULL").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(BITS)).alias("bit"))
+    return asked.mapInArrow(run, "doc_id long, shingles array<bigint>")
+
+
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles (of the set) and component_id (smallest id reachable over links, itself included) per row.
 
@@ -275,23 +306,21 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), doc_id: st
     component of its own text. A null id has a null component and links nothing. Links are confirmed on the whole sets.
     """
     rows = materialize(sketches(docs, settings, doc_id, text), "sketches")
-    classes = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("class_id"))
-    classes = materialize(classes, "classes")
-    members = rows.join(classes, "digest").where("doc_id = class_id").dropDuplicates(["digest"]).select("doc_id", "sketch")
-    members = materialize(members, "members")
+    known = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL")
+    # The row with the smallest id stands for its class. Copies go in every map task before the shuffle.
+    first = known.groupBy("digest").agg(F.min(F.struct("doc_id", "sketch")).alias("first"))
+    members = materialize(first.select("digest", "first.doc_id", "first.sketch"), "members")
+    classes = members.select("digest", F.col("doc_id").alias("class_id"))
     keys = members.select("doc_id", F.explode(F.slice("sketch", 1, settings.keys)).alias("key"))
     sizes = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     meeting = materialize(_cells(keys, "key", sizes, settings.block), "meeting")
-    candidates = _in_cells(meeting.join(members, "doc_id"), "key", _candidate_edges(settings))
+    # The upper half of a hash does for an estimate: equal halves of different hashes only raise it.
+    halves = members.select("doc_id", F.transform("sketch", lambda x: (F.shiftrightunsigned(x, 32) - 2**31).cast("int")).alias("sketch"))
+    candidates = _in_cells(meeting.join(halves, "doc_id"), "key", _candidate_edges(settings))
     groups = materialize(components(materialize(candidates.distinct(), "candidates")), "groups")
 
-    def make():
-        shingles = Shingles(settings.words)
-        return lambda texts: [pa.array([shingles(t).view(np.int64) for t in texts], pa.list_(pa.int64()))]
-
-    chosen = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
-    chosen = chosen.join(groups.select(F.col("vertex").alias("doc_id"), F.col("component").alias("group")), "doc_id")
-    sets = map_texts(chosen, ["group", "doc_id"], "text", "shingles array<bigint>", make)
+    sets = _sets_of(docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")), groups, settings)
+    sets = sets.join(groups.select(F.col("vertex").alias("doc_id"), F.col("component").alias("group")), "doc_id")
     counts = groups.groupBy(F.col("component").alias("group")).agg(F.count("*").alias("size"))
     links = _in_cells(_cells(sets, "group", counts, settings.block), "group", _exact_edges(settings))
     found = components(materialize(links, "links"))
