@@ -3,8 +3,8 @@
 Every word has a fixed sparse index vector drawn from its hash. A word's vector is the sum of the index vectors of its
 neighbours over all documents; words that stand in like places get like vectors. Words share a fixed number of
 hash buckets, so the table of vectors has a fixed size. A document is the mean of its words' vectors and the mean step
-from each word to the next. A network with one hidden layer is fitted to a bounded sample of the labelled documents, and the temperature of
-its output to a part of that sample that the network has not seen.
+from each word to the next. A network with one hidden layer is fitted to a bounded sample of the labelled documents,
+and the temperature of its output to a part of that sample that the network has not seen.
 """
 
 from __future__ import annotations
