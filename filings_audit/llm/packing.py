@@ -26,7 +26,70 @@ from filings_audit.llm.common import WHITE_SPACE, once
 from filings_audit.session import materialize
 
 # Words kept per task. A full cache is emptied; results don't depend on it.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
+
+
+# Letters and digits among the lower-case Latin-1 characters, as regex class bodies.
+LATIN_LETTERS, LATIN_DIGITS = r"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe"
+
+
+class Words:
+    """Ids of words, packed.
+
+    The tokenizer lower-cases a text and cuts it into letters, single digits, marks and endings after an apostrophe, all
+    of which it encodes one by one. Where every character is Latin-1 the same cut is made here, so few different words
+    are left; other texts, and texts with special tokens, are cut at white space only. Letters end in one token with
+    the end sign, so many of them are encoded in one call and told apart by it.
+    """
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        for token, i in tokenizer.get_vocab(with_added_tokens=False).items():
+            self.ends[i] = token.endswith("</w>")
+        self.known: dict[str, bytes] = {}
+        latin = f"[{LATIN_LETTERS}]+|[{LATIN_DIGITS}]|[^{LATIN_LETTERS}{LATIN_DIGITS}{WHITE_SPACE}]+"
+        self.latin = re.compile(latin).findall
+        self.latin_endings = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|{latin}").findall
+        self.any = re.compile(f"[^{WHITE_SPACE}]+").findall
+
+    def of(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        lowered = text.lower()
+        try:
+            lowered.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.any(text)
+        if "<|" in lowered:
+            return self.any(text)
+        return self.latin_endings(lowered) if "'" in lowered else self.latin(lowered)
+
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """Encode the words not known yet; returns all known ones."""
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        new = words.difference(self.known)
+        letters = {word for word in new if word.isalpha()}
+        self._letters(letters)
+        self.known.update(self._each(list(new.difference(letters))))
+        return self.known
+
+    def _each(self, words: list[str]) -> dict[str, bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return {word: np.array(one.ids, "<u4").tobytes() for word, one in zip(words, found)}
+
+    def _letters(self, words: set[str]) -> None:
+        ordered = sorted(words)
+        for at in range(0, len(ordered), 1000):
+            some = ordered[at : at + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(ends) != len(some):  # not what plain letters should give
+                self.known.update(self._each(some))
+                continue
+            packed = ids.tobytes()
+            self.known.update(zip(some, (packed[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()))))
 
 
 def cut(docs: DataFrame, path: str, capacity: int, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -45,24 +108,14 @@ def cut(docs: DataFrame, path: str, capacity: int, end_id: int, doc_id: str = "d
         tokenizer = once(("tokenizer", path), lambda: Tokenizer.from_file(path))
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        words_of = re.compile(f"[^{WHITE_SPACE}]+").findall
-        known: dict[str, bytes] = {}
+        words = Words(tokenizer)
         end, step = end_id.to_bytes(4, "little"), 4 * capacity
         for batch in batches:
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            texts = [words_of(text) if text else [] for text in batch.column(1).to_pylist()]
-            new = set().union(*texts).difference(known)
-            # A mark after letters is a word of its own to the tokenizer, if they are letters in lower case too.
-            marked = [word for word in new if word[-1] in ".,!" and word[:-1].lower().isalpha()]
-            plain = list(new.difference(marked).union(w[:-1] for w in marked).union(w[-1] for w in marked).difference(known))
-            for word, found in zip(plain, tokenizer.encode_batch_fast(plain, add_special_tokens=False)):
-                known[word] = np.array(found.ids, "<u4").tobytes()
-            for word in marked:
-                known[word] = known[word[:-1]] + known[word[-1]]
+            texts = [words.of(text) for text in batch.column(1).to_pylist()]
+            known = words.learn(set().union(*texts))
             rows: list[tuple] = []
-            for name, words in zip(batch.column(0).to_pylist(), texts):
-                ids = b"".join(map(known.__getitem__, words)) + end
+            for name, found in zip(batch.column(0).to_pylist(), texts):
+                ids = b"".join(map(known.__getitem__, found)) + end
                 rows.extend(
                     (name, i, i * capacity, len(piece) // 4, piece)
                     for i, piece in enumerate(ids[at : at + step] for at in range(0, len(ids), step))
