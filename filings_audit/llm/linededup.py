@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filings_audit.session import materialize
+
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
@@ -45,9 +47,10 @@ def drop_boilerplate(
     """All columns of ``docs`` with the boilerplate lines of its host taken out of ``text``. Null texts stay null.
 
     The kept lines stand in their order, joined by line feeds. No row is dropped; a text of boilerplate only becomes empty.
-    Columns that ``docs`` has besides are carried, whatever their names.
+    Columns that ``docs`` has besides are carried; their names must not begin with two underscores.
     """
     common = boilerplate(docs, share, pages, host, text).select(F.col("host").alias("__host"), F.col("lines").alias("__lines"))
+    common = materialize(common, "boilerplate")  # with its size known, texts are shuffled only if it is large
     joined = docs.join(common, docs[host].eqNullSafe(F.col("__host")), "left")
     kept = F.filter(_lines(F.col(text)), lambda line: ~F.array_contains(F.col("__lines"), _digest(line)))
     cleaned = F.when(F.col("__lines").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
