@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 # A batch handed to Python is bounded by rows and by bytes, so long texts don't add up.
 ARROW_SETTINGS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 # The characters with the Unicode property White_Space, as a regex class body.

@@ -121,7 +121,7 @@ def pool(flat: np.ndarray, sizes: np.ndarray, vectors: np.ndarray) -> np.ndarray
     out = np.zeros((len(sizes), 2 * width))
     ends = np.cumsum(sizes)
     # Texts are taken in groups of bounded size.
-    groups = np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(ends // 500_000)) + 1)
+    groups = np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(ends // 100_000)) + 1)
     for group in groups:
         some = group[sizes[group] > 0]
         if not len(some):
