@@ -60,6 +60,8 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     again = found.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).count().where("count > 1")
     again = materialize(again.select("__id"), "repeated-ids")
     kept = docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
+    if again.isEmpty():  # no id stands in two rows: spares reading and joining the texts twice
+        return kept
     once = kept.join(again, kept["doc_id"] == again["__id"], "left_anti")
     repeated = kept.join(again, kept["doc_id"] == again["__id"], "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(repeated)
