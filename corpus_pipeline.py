@@ -46,8 +46,9 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that are boilerplate on their host; n_chars follows the text."""
-    cleaned = linededup.drop_boilerplate(docs, LINE_SHARE, LINE_PAGES)
+    """All documents, without the lines that are boilerplate on their host; n_chars follows the text. Of a text with many
+    copies one stays whole."""
+    cleaned = linededup.drop_boilerplate_keeping_texts(docs, LINE_SHARE, LINE_PAGES)
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

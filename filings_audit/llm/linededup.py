@@ -4,6 +4,9 @@ A line that many pages of one host carry is boilerplate there. The share of a li
 that contain it, divided by the number of the host's pages. Lines above a share are dropped from every page of
 that host. A host can't have more such lines than its mean number of lines per page divided by the share, so the
 list kept per host is short however large the host is.
+
+A text with many exact or near copies on a host looks like boilerplate, too. ``drop_boilerplate_keeping_texts`` counts equal
+pages once, and of the lines of which a page would lose much it leaves one copy.
 """
 
 from __future__ import annotations
@@ -34,6 +37,10 @@ def boilerplate(docs: DataFrame, share: float, pages: int, host: str = "source",
     found = F.array_distinct(F.transform(F.filter(_lines(F.col("text")), lambda l: F.trim(l) != ""), _digest))
     counts = lines.select("host", F.explode(found).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
     # Nearly all lines are rare: they go before the totals are joined.
+    return _above(counts, totals, share, pages)
+
+
+def _above(counts: DataFrame, totals: DataFrame, share: float, pages: int) -> DataFrame:
     common = counts.where(F.col("n") >= pages).alias("c").join(totals.alias("t"), F.col("c.host").eqNullSafe(F.col("t.host")))
     return (
         common.where(F.col("n") > F.col("total") * share)
@@ -57,6 +64,67 @@ def drop_boilerplate(
     return joined.withColumn(text, cleaned).select(*docs.columns)
 
 
+# A page loses much if more than half of its characters go, or more than so many.
+MUCH = 200
+
+
+def _page(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def drop_boilerplate_keeping_texts(
+    docs: DataFrame, share: float = 0.01, pages: int = 5, host: str = "source", text: str = "text"
+) -> DataFrame:
+    """As ``drop_boilerplate``, but no text is lost because a host has many copies of it.
+
+    Pages of a host with equal texts count as one page, in the total as well; pages without text are one, too. Where pages
+    lose more than half of their characters or more than ``MUCH``, each line they lose stays on the longest of them (of
+    equal lengths, that with the largest digest) and on its exact copies. So the longest of a group of copies stays whole,
+    and of a long menu one copy stays on a host.
+    """
+    each = F.transform(
+        F.filter(_lines(F.col("text")), lambda l: F.trim(l) != ""),
+        lambda l: F.struct(_digest(l).alias("line"), F.length(F.trim(l)).alias("length")),
+    )
+    rows = docs.select(docs[host].alias("host"), docs[text].alias("text"))
+    rows = rows.select("host", _page(F.col("text")).alias("page"), F.array_distinct(each).alias("found"))
+    # Digests instead of texts are shuffled; copies go in every map task before.
+    distinct = materialize(rows.groupBy("host", "page").agg(F.first("found").alias("found")), "distinct-pages")
+    totals = distinct.groupBy("host").agg(F.count("*").alias("total"))
+    lines = distinct.select("host", F.explode("found.line").alias("line"))
+    counts = lines.groupBy("host", "line").agg(F.count("*").alias("n"))
+    common = materialize(_above(counts, totals, share, pages), "boilerplate")
+
+    held = distinct.alias("p").join(common.alias("b"), F.col("p.host").eqNullSafe(F.col("b.host"))).select(
+        "p.host", "page", "found", F.filter("found", lambda l: F.array_contains("lines", l["line"])).alias("lost")
+    )
+
+    def length(name: str) -> Column:
+        return F.aggregate(name, F.lit(0).cast("long"), lambda n, l: n + l["length"])
+
+    lossy = held.select("host", "page", "lost", length("found").alias("whole"), length("lost").alias("less"))
+    lossy = lossy.where((F.col("less") > MUCH) | (2 * F.col("less") > F.col("whole")))
+    stays = lossy.select("host", F.explode("lost.line").alias("line"), F.struct("whole", "page").alias("at"))
+    stays = stays.groupBy("host", "line").agg(F.max("at").alias("at"))
+    stays = stays.groupBy("host").agg(F.collect_list(F.concat("line", "at.page")).alias("stays"))
+    both = common.alias("b").join(stays.alias("s"), F.col("b.host").eqNullSafe(F.col("s.host")), "left")
+    none = F.array().cast("array<binary>")
+    both = both.select(F.col("b.host").alias("__host"), F.col("lines").alias("__lines"), F.coalesce("stays", none).alias("__stays"))
+    both = materialize(both, "boilerplate-and-kept")
+
+    def kept(page: Column) -> Column:
+        return F.filter(
+            _lines(F.col(text)),
+            lambda line: ~F.array_contains("__lines", _digest(line)) | F.array_contains("__stays", F.concat(_digest(line), page)),
+        )
+
+    joined = docs.join(both, docs[host].eqNullSafe(F.col("__host")), "left")
+    # The digest of a text is taken once and not for each line.
+    lines = F.transform(F.array(_page(F.col(text))), kept)[0]
+    cleaned = F.when(F.col("__lines").isNull(), F.col(text)).otherwise(F.array_join(lines, "\n"))
+    return joined.withColumn(text, cleaned).select(*docs.columns)
+
+
 # What drop_boilerplate returns, in DuckDB's SQL over the table or query {docs}; hosts null or not.
 SQL = """
 WITH pages AS (SELECT *, row_number() OVER () AS page FROM {docs}),

@@ -37,6 +37,23 @@ def test_lines_stage_against_sql(spark):
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in found.collect())
 
 
+def test_one_full_text_of_many_copies_survives_lines_and_near_duplicates(spark):
+    lines = [" ".join(f"w{20 * i + j}" for j in range(20)) for i in range(30)]
+    rows = [(i, "menu\n" + " ".join(f"own{i}x{j}" for j in range(30)), "a") for i in range(100)]
+    rows += [(1000 + i, "menu\n" + "\n".join(lines), "a") for i in range(20)]
+    near = {2000 + i: "\n".join(["menu", *lines[:i], lines[i] + f" edit{i}", *lines[i + 1 :]]) for i in range(20)}
+    rows += [(i, t, "a") for i, t in near.items()]
+    rows += [(3000 + i, "\n".join(f"b{x}" for x in range(300)), "b") for i in range(20)] + [(4000, "menu", "b")]
+    cleaned = pipeline.drop_boilerplate_lines(spark, frame(spark, rows), "")
+    found = {r.doc_id: r.text for r in pipeline.keep_one_of_each_group(spark, cleaned, "").collect()}
+    texts = {i: t for i, t, _ in rows}
+    whole = [i for i, t in found.items() if "w500 " in t]  # no copy has another line there
+    assert len(whole) == 1 and found[whole[0]] == texts[whole[0]]
+    assert all(any(line in t for t in found.values()) for line in lines)
+    assert [i for i in found if i >= 3000] == [3000, 4000] and found[3000] == texts[3000]
+    assert all(found[i] == texts[i].removeprefix("menu\n") for i in range(100))
+
+
 def test_near_duplicate_stage_keeps_one_of_each_group(spark):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(9, text, "a"), (4, text + " x", "b"), (7, "other words here", "a"), (7, "other words here", "a")]
