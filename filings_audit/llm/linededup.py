@@ -11,9 +11,12 @@ pages once, and of the lines of which a page would lose much it leaves one copy.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filings_audit.llm.common import WHITE_SPACE
 from filings_audit.session import materialize
 
 
@@ -22,7 +25,7 @@ def _lines(text: Column) -> Column:
 
 
 def _digest(line: Column) -> Column:
-    """What stands for a line in shuffles: 128 bits, the same for lines that differ in white space at their ends."""
+    """What stands for a line in shuffles: 128 bits, the same for lines that differ in spaces at their ends."""
     return F.unhex(F.md5(F.trim(line).cast("binary")))
 
 
@@ -66,6 +69,12 @@ def drop_boilerplate(
 
 # A page loses much if more than half of its characters go, or more than so many.
 MUCH = 200
+# The characters of the class as a text.
+_BLANK = "".join(c for c in map(chr, range(0x3001)) if re.fullmatch(f"[{WHITE_SPACE}]", c))
+
+
+def _trimmed(line: Column) -> Column:
+    return F.trim(line, F.lit(_BLANK))
 
 
 def _page(text: Column) -> Column:
@@ -80,11 +89,11 @@ def drop_boilerplate_keeping_texts(
     Pages of a host with equal texts count as one page, in the total as well; pages without text are one, too. Where pages
     lose more than half of their characters or more than ``MUCH``, each line they lose stays on the longest of them (of
     equal lengths, that with the largest digest) and on its exact copies. So the longest of a group of copies stays whole,
-    and of a long menu one copy stays on a host.
+    and of a long menu one copy stays on a host. Lines that differ in any white space at their ends are one line.
     """
     each = F.transform(
-        F.filter(_lines(F.col("text")), lambda l: F.trim(l) != ""),
-        lambda l: F.struct(_digest(l).alias("line"), F.length(F.trim(l)).alias("length")),
+        F.filter(_lines(F.col("text")), lambda l: _trimmed(l) != ""),
+        lambda l: F.struct(_digest(_trimmed(l)).alias("line"), F.length(_trimmed(l)).alias("length")),
     )
     rows = docs.select(docs[host].alias("host"), docs[text].alias("text"))
     rows = rows.select("host", _page(F.col("text")).alias("page"), F.array_distinct(each).alias("found"))
@@ -115,7 +124,8 @@ def drop_boilerplate_keeping_texts(
     def kept(page: Column) -> Column:
         return F.filter(
             _lines(F.col(text)),
-            lambda line: ~F.array_contains("__lines", _digest(line)) | F.array_contains("__stays", F.concat(_digest(line), page)),
+            lambda line: ~F.array_contains("__lines", _digest(_trimmed(line)))
+            | F.array_contains("__stays", F.concat(_digest(_trimmed(line)), page)),
         )
 
     joined = docs.join(both, docs[host].eqNullSafe(F.col("__host")), "left")

@@ -37,3 +37,11 @@ def test_nulls_empties_repeats_and_small_hosts(spark):
 
 def test_empty_table(spark):
     assert both(spark, [], 0.1, 1) == ([], [])
+
+
+def test_any_white_space_at_the_ends_of_a_line(spark):
+    ends = ["", "\r", "\t", "\u00a0", " \r"]
+    rows = [(i, f"menu{ends[i % 5]}\n\r\nown {i}\r", "a") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = linededup.drop_boilerplate_keeping_texts(docs, 0.5, 5).collect()
+    assert {r.doc_id: r.text for r in found} == {i: f"\r\nown {i}\r" for i in range(10)}
