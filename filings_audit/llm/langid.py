@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filings_audit.llm.common import held_out, map_texts, sample_by_hash
+from filings_audit.llm.common import held_out, map_texts
 from filings_audit.session import materialize
 
 UNDETERMINED = "und"
@@ -26,7 +26,7 @@ CACHE_WORDS = 300_000
 
 @dataclass(frozen=True)
 class Limits:
-    """What bounds the model. ``documents``: about so many labelled rows are learnt from, chosen by hash."""
+    """What bounds the model. ``documents``: about so many labelled rows are learnt from, chosen by hash in each language."""
 
     documents: int = 20_000
     words: int = 30_000
@@ -57,12 +57,33 @@ def _log_frequencies(counts: list[tuple[str, str, int]], totals: dict[str, int],
     return index, np.log(found) - np.log([totals[language] + 1.0 for language in languages])
 
 
+def _quota(sizes: list[tuple[int, int]], most: int) -> float | None:
+    """The rows that each language may give, so that all give ``most`` and small ones all they have; none: no bound is
+    needed. ``sizes``: a number of rows, and how many languages have it."""
+    languages = sum(k for _, k in sizes)
+    for rows, k in sorted(sizes):
+        if rows * languages > most:
+            return most / languages
+        most, languages = most - rows * k, languages - k
+    return None
+
+
+def _sample(usable: DataFrame, most: int) -> DataFrame:
+    """All rows if there are at most ``most``, else about so many: those of small languages, and of others equally many."""
+    sizes = materialize(usable.groupBy("lang").agg(F.count("*").alias("rows")), "language-sizes")
+    quota = _quota([tuple(r) for r in sizes.groupBy("rows").count().collect()], most)
+    if quota is None:
+        return usable
+    place = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1_000_000))
+    return usable.join(sizes, "lang").where(place * F.col("rows") < 1_000_000 * quota)
+
+
 def train(docs: DataFrame, limits: Limits = Limits(), doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """Learn from the rows that are not held out and have text and language. No such row: a model without languages."""
     usable = docs.select(docs[doc_id].alias("id"), docs[text].alias("text"), docs[lang].alias("lang")).where(
         ~held_out(F.col("id")) & F.col("text").isNotNull() & F.col("lang").isNotNull()
     )
-    chosen = sample_by_hash(usable, "id", limits.documents)
+    chosen = _sample(usable, limits.documents)
     # Same words as _words below.
     word = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))).alias("word")
     counted = materialize(chosen.select("lang", word).groupBy("lang", "word").agg(F.count("*").alias("n")), "word-counts")

@@ -74,6 +74,16 @@ def test_limits_and_empty_tables(spark):
     assert langid.predict(frame(spark, [(1, "a", None)]), model, ["doc_id"]).first().lang_pred == "und"
 
 
+def test_rare_languages_are_learnt_however_many_rows_others_have(spark):
+    learnt = [i for i in range(5000) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, "the dogs", "en") for i in learnt[30:]] + [(i, f"rare{i % 10} word", f"r{i % 10}") for i in learnt[:30]]
+    model = langid.train(frame(spark, rows), langid.Limits(documents=200))
+    rare = {lang for _, _, lang in rows} - {"en"}
+    assert model.languages == ["en", *sorted(rare)]
+    assert langid._quota([(3, 10), (1000, 1)], 200) == 170 and langid._quota([(3, 10), (170, 1)], 200) is None
+    assert langid._quota([(1, 50)], 10) == 0.2 and langid._quota([], 10) is None
+
+
 def test_held_out_languages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
     found = op9_langid(spark, sf_dir).join(docs, "doc_id").where("held_out").collect()
