@@ -53,19 +53,26 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; of equal rows one. Texts without words and
-    rows without id stay."""
+    """The document with the smallest id of each group of near duplicates; of several rows of the group with that id one.
+    Texts without words and rows without id stay."""
     use_small_batches(spark)
-    found = materialize(neardup.near_duplicates(docs), "near-duplicates")
+    found = materialize(neardup.labelled(docs, neardup.Settings(), "doc_id", "text"), "near-duplicates")
     gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("__id")).distinct()
-    again = found.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).count().where("count > 1")
+    again = found.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).count().where("count > 1")
     again = materialize(again.select("__id"), "repeated-ids")
-    kept = docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
     if again.isEmpty():  # no id stands in two rows: spares reading and joining the texts twice
-        return kept
-    once = kept.join(again, kept["doc_id"] == again["__id"], "left_anti")
-    repeated = kept.join(again, kept["doc_id"] == again["__id"], "left_semi").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(repeated)
+        return docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
+    once = docs.join(gone.unionByName(again), docs["doc_id"] == F.col("__id"), "left_anti")
+    # Rows that share an id are told apart by their texts.
+    several = docs.join(again, docs["doc_id"] == again["__id"], "left_semi")
+    numbered = several.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    several = materialize(neardup.vertices(numbered, f"c{docs.columns.index('text')}"), "rows-of-repeated-ids")
+    own = F.col(f"c{docs.columns.index('doc_id')}")
+    stay = found.where("doc_id = component_id AND vertex IS NOT NULL").groupBy(F.col("doc_id").alias("__id"), "root")
+    stay = stay.agg(F.min("vertex").alias("__vertex"))
+    kept = several.join(stay, (own == F.col("__id")) & (F.col("vertex") == F.col("__vertex")), "left_semi")
+    kept = kept.dropDuplicates([f"c{docs.columns.index('doc_id')}", "vertex"]).unionByName(several.where("vertex IS NULL"))
+    return once.unionByName(kept.select(numbered.columns).toDF(*docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -81,6 +81,24 @@ class Shingles:
         return np.unique(out)
 
 
+def _digest(values: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None
+
+
+# Names a set by 64 bits of its digest, whatever ids its texts have; null for an empty one.
+VERTEX = "CASE WHEN digest IS NOT NULL THEN xxhash64(digest) END AS vertex"
+
+
+def vertices(docs: DataFrame, text: str) -> DataFrame:
+    """All columns of ``docs`` and ``vertex``, under words of ``Settings()``; no column may be called digest or vertex."""
+
+    def make():
+        shingles = Shingles(Settings().words)
+        return lambda texts: [pa.array([_digest(shingles(t)) for t in texts], pa.binary())]
+
+    return map_texts(docs, docs.columns, text, "digest binary", make).selectExpr(*docs.columns, VERTEX)
+
+
 def sketches(docs: DataFrame, settings: Settings, doc_id: str, text: str) -> DataFrame:
     """doc_id, n_shingles, digest (of the whole set; null for an empty one) and sketch, per row."""
 
@@ -92,7 +110,7 @@ def sketches(docs: DataFrame, settings: Settings, doc_id: str, text: str) -> Dat
             for text in texts:
                 values = shingles(text)
                 sizes.append(len(values))
-                digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None)
+                digests.append(_digest(values))
                 kept.append(values[: settings.sketch].view(np.int64))
             return [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(kept, pa.list_(pa.int64()))]
 
@@ -105,7 +123,7 @@ def sketches(docs: DataFrame, settings: Settings, doc_id: str, text: str) -> Dat
 def _cells(rows: DataFrame, key: str, sizes: DataFrame, block: int) -> DataFrame:
     """Deal rows into cells: one for a key with at most ``block`` rows, else one for each pair of its blocks."""
     n = F.ceil(F.col("size") / block).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = rows.join(sizes, key).withColumn("blocks", n).withColumn("own", own).withColumn("other", other)
     cell = F.least("own", "other") * 1_000_000 + F.greatest("own", "other")
@@ -212,7 +230,7 @@ def _candidate_edges(settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k, slack = settings.sketch, settings.slack
         for table in _groups(batches):
-            ids, runs = table["doc_id"].to_numpy(), _runs(table)
+            ids, runs = table["vertex"].to_numpy(), _runs(table)
             values, starts = _lists(table["sketch"])
             edges: set[tuple[int, int]] = set()
             sketch = np.full((len(ids), k), PAD)
@@ -250,7 +268,7 @@ def _edge_batch(edges) -> pa.RecordBatch:
 def _exact_edges(settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches):
-            ids, runs = table["doc_id"].to_numpy(), _runs(table)
+            ids, runs = table["vertex"].to_numpy(), _runs(table)
             values, starts = _lists(table["shingles"])
             lengths, edges = np.diff(starts), []
             for a, b in zip(runs[:-1], runs[1:]):
@@ -268,17 +286,17 @@ def _exact_edges(settings: Settings):
 
 
 def _in_cells(rows: DataFrame, key: str, run) -> DataFrame:
-    dealt = rows.select(key, "cell", "doc_id", *[c for c in rows.columns if c not in (key, "cell", "doc_id")])
+    dealt = rows.select(key, "cell", "vertex", *[c for c in rows.columns if c not in (key, "cell", "vertex")])
     return dealt.repartition(key, "cell").sortWithinPartitions(key, "cell").mapInArrow(run, "u long, v long")
 
 
 def _sets_of(docs: DataFrame, groups: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id and shingles of every member of a group, and of a few others, without a shuffle of texts.
+    """doc_id, vertex and shingles of every member of a group, and of a few others, without a shuffle of texts.
 
     The members' ids set bits in a table of fixed size, which the driver may hold. Rows whose bit is not set are left
     out; a full table would let more of the others through and change nothing else.
     """
-    bit = F.pmod(F.xxhash64("vertex"), F.lit(BITS))
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 32).cast("int"))
     found = groups.groupBy(F.floor(bit / 32).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()
     table = np.zeros(BITS // 32, np.uint32)
@@ -291,12 +309,13 @@ def _sets_of(docs: DataFrame, groups: DataFrame, settings: Settings) -> DataFram
             bits = batch.column(2).to_numpy(zero_copy_only=False)
             some = pa.Table.from_batches([batch]).filter(pa.array((shared.value[bits >> 5] >> (bits & 31).astype(np.uint32)) & 1 == 1))
             if some.num_rows:
-                sets = pa.array([shingles(t).view(np.int64) for t in some["text"].to_pylist()], pa.list_(pa.int64()))
+                found = [shingles(t) for t in some["text"].to_pylist()]
+                digests, sets = pa.array(map(_digest, found), pa.binary()), pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))
                 ids = some["doc_id"].combine_chunks()
-                yield pa.RecordBatch.from_arrays([ids, sets], names=["doc_id", "shingles"])
+                yield pa.RecordBatch.from_arrays([ids, digests, sets], names=["doc_id", "digest", "shingles"])
 
     asked = docs.where("doc_id IS NOT NULL").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(BITS)).alias("bit"))
-    return asked.mapInArrow(run, "doc_id long, shingles array<bigint>")
+    return asked.mapInArrow(run, "doc_id long, digest binary, shingles array<bigint>").selectExpr("doc_id", VERTEX, "shingles")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -305,27 +324,35 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), doc_id: st
     Texts without words are linked with nothing. Equal rows get equal results; of rows that share an id each has the
     component of its own text. A null id has a null component and links nothing. Links are confirmed on the whole sets.
     """
-    rows = materialize(sketches(docs, settings, doc_id, text), "sketches")
-    known = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL")
+    return labelled(docs, settings, doc_id, text).select("doc_id", "n_shingles", "component_id")
+
+
+def labelled(docs: DataFrame, settings: Settings, doc_id: str, text: str) -> DataFrame:
+    """The columns of ``near_duplicates``, ``vertex`` and ``root``, which tell apart sets and components under one id."""
+    rows = materialize(sketches(docs, settings, doc_id, text).selectExpr("doc_id", "n_shingles", VERTEX, "sketch"), "sketches")
+    known = rows.where("vertex IS NOT NULL AND doc_id IS NOT NULL")
     # The row with the smallest id stands for its class. Copies go in every map task before the shuffle.
-    first = known.groupBy("digest").agg(F.min(F.struct("doc_id", "sketch")).alias("first"))
-    members = materialize(first.select("digest", "first.doc_id", "first.sketch"), "members")
-    classes = members.select("digest", F.col("doc_id").alias("class_id"))
-    keys = members.select("doc_id", F.explode(F.slice("sketch", 1, settings.keys)).alias("key"))
+    first = known.groupBy("vertex").agg(F.min(F.struct("doc_id", "sketch")).alias("first"))
+    members = materialize(first.select("vertex", F.col("first.doc_id").alias("class_id"), "first.sketch"), "members")
+    classes = members.select("vertex", "class_id")
+    keys = members.select("vertex", F.explode(F.slice("sketch", 1, settings.keys)).alias("key"))
     sizes = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     meeting = materialize(_cells(keys, "key", sizes, settings.block), "meeting")
     # The upper half of a hash does for an estimate: equal halves of different hashes only raise it.
-    halves = members.select("doc_id", F.transform("sketch", lambda x: (F.shiftrightunsigned(x, 32) - 2**31).cast("int")).alias("sketch"))
-    candidates = _in_cells(meeting.join(halves, "doc_id"), "key", _candidate_edges(settings))
-    groups = materialize(components(materialize(candidates.distinct(), "candidates")), "groups")
+    halves = members.select("vertex", F.transform("sketch", lambda x: (F.shiftrightunsigned(x, 32) - 2**31).cast("int")).alias("sketch"))
+    candidates = _in_cells(meeting.join(halves, "vertex"), "key", _candidate_edges(settings))
+    groups = components(materialize(candidates.distinct(), "candidates")).withColumnRenamed("component", "group")
+    groups = materialize(groups.join(classes, "vertex").withColumnRenamed("class_id", "doc_id"), "groups")
 
     sets = _sets_of(docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")), groups, settings)
-    sets = sets.join(groups.select(F.col("vertex").alias("doc_id"), F.col("component").alias("group")), "doc_id")
-    counts = groups.groupBy(F.col("component").alias("group")).agg(F.count("*").alias("size"))
+    sets = sets.join(groups, ["doc_id", "vertex"]).drop("doc_id")
+    counts = groups.groupBy("group").agg(F.count("*").alias("size"))
     links = _in_cells(_cells(sets, "group", counts, settings.block), "group", _exact_edges(settings))
-    found = components(materialize(links, "links"))
-    labels = classes.join(found, classes["class_id"] == found["vertex"], "left").select(
-        "digest", F.coalesce("component", "class_id").alias("component_id")
+    found = materialize(components(materialize(links, "links")).join(classes, "vertex"), "linked")
+    least = materialize(found.groupBy("component").agg(F.min("class_id").alias("component_id")), "least-ids")
+    named = found.join(least, "component").select("vertex", "component", "component_id")
+    labels = classes.join(named, "vertex", "left").select(
+        "vertex", F.coalesce("component", "vertex").alias("root"), F.coalesce("component_id", "class_id").alias("component_id")
     )
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return rows.join(labels, "digest", "left").select("doc_id", "n_shingles", component.alias("component_id"))
+    return rows.join(labels, "vertex", "left").select("doc_id", "n_shingles", "vertex", "root", component.alias("component_id"))

@@ -102,6 +102,13 @@ def test_repeated_rows_and_null_ids(spark):
     assert got == {(None, 48, None), (7, 48, 7)}
 
 
+def test_different_texts_under_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(50)) for x in "abc")
+    rows = [(3, a), (5, a + " x"), (5, b), (5, c), (8, c + " x"), (9, b)]
+    assert found(spark, rows) == by_hand(rows)
+    assert {r[2] for r in found(spark, rows) if r[0] in (5, 8, 9)} == {3, 5}
+
+
 def test_empty_table(spark):
     assert found(spark, []) == []
 

@@ -63,6 +63,13 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark):
     assert sorted([r.doc_id for r in found.collect()], key=str) == [1, 2, 3, 4, 7, None]
 
 
+def test_near_duplicate_stage_tells_rows_of_one_id_apart(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, c, "a"), (3, a, "a"), (5, a + " x", "a"), (5, b, "a"), (5, b, "a"), (5, "", "a"), (6, b + " x", "a"), (7, "", "a")]
+    found = pipeline.keep_one_of_each_group(spark, frame(spark, rows), "")
+    assert sorted((r.doc_id, r.text) for r in found.collect()) == sorted([(3, a), (5, b), (5, c), (5, ""), (7, "")])
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     docs = frame(spark, [])
