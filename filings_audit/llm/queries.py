@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filings_audit.llm import bpe, imatch, langid, linededup, neardup, packing, quality, tokencount, topk, warc
+from filings_audit.llm import bpe, imatch, langid, linededup, neardup, packing, quality, resample, tokencount, topk, warc
 from filings_audit.llm.common import held_out, table
 from filings_audit.session import new_dir
 
@@ -146,3 +146,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     packed = packing.pack(digests, 4096, ["doc_id", "piece", "start", "length", "ids_crc32"])
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op13_resample", resample.SQL)
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
