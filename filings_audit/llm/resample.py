@@ -266,7 +266,7 @@ def resample(
 
 
 # Values of SQL below: lists and texts that DuckDB has no function for.
-_CRC_TABLE = "list_transform(range(256), n -> list_reduce(list_concat([n], [0, 0, 0, 0, 0, 0, 0, 0]), (c, x) -> xor(c >> 1, 3988292384 * (c & 1))))"
+_CRC_TABLE = "list_transform(range(256), lambda n: list_reduce(list_concat([n], [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, x: xor(c >> 1, 3988292384 * (c & 1))))"
 _WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
     " '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -279,7 +279,7 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM docu
   crc AS (
     SELECT w, s, t, xor(4294967295, list_reduce(
       list_concat([4294967295], [CAST('0x' || substr(hex(w), 2 * i + 1, 2) AS BIGINT) FOR i IN range(strlen(w))]),
-      (c, b) -> xor(c >> 8, crc_table[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
+      lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
     FROM w, (SELECT {_CRC_TABLE} AS crc_table)
   ),
   gain AS (
