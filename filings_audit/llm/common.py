@@ -73,4 +73,5 @@ def sample_by_hash(rows: DataFrame, key: str, most: int) -> DataFrame:
     n = rows.count()
     if n <= most:
         return rows
-    return rows.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1_000_000)) < round(1_000_000 * most / n))
+    wide = 1 << 62  # so fine that no size of table makes the share 0
+    return rows.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(wide)) < F.lit(int(wide * most / n)))

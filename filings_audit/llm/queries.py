@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filings_audit.llm import bpe, imatch, langid, linededup, neardup, packing, quality, resample, tokencount, topk, warc
+from filings_audit.llm import ann, bpe, imatch, langid, linededup, neardup, packing, quality, resample, tokencount, topk, warc
 from filings_audit.llm.common import held_out, table
 from filings_audit.session import new_dir
 
@@ -152,3 +152,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op12_ann")
+def op12_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return ann.nearest(rows, rows.where(F.col("id") % 50 == 0), 5)
