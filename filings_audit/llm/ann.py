@@ -30,15 +30,17 @@ SLACK = 1e-5  # of squared distances in single precision
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` rows (and ``sample_bytes`` of them) at most fit the index; there are at most ``lists`` lists of a width.
+    """There are about as many lists as the root of the rows, ``lists`` at most. The index is fitted on ``sample`` rows,
+    or on ``per_list`` for each list if these are more, but never on more than ``sample_bytes`` of them.
 
     ``aim`` is the share of the sample's true neighbours whose lists are read. A candidate is left wrongly with a
     chance that falls with ``epsilon``. A part has about ``part_rows`` vectors or queries and ``part_bytes``.
     """
 
     sample: int = 16_384
-    sample_bytes: int = 32 << 20
-    lists: int = 1024
+    per_list: int = 16
+    sample_bytes: int = 64 << 20
+    lists: int = 8192
     aim: float = 0.98
     epsilon: float = 2.1
     part_rows: int = 8192
@@ -64,6 +66,12 @@ def rotation(width: int, seed: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def closest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The nearest centre of every row, some rows at a time."""
+    found = [np.argmax(x[at : at + 1024] @ centres.T, axis=1) for at in range(0, len(x), 1024)]
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
 def fit(x: np.ndarray, rows: int, k: int, settings: Settings) -> tuple[np.ndarray, int]:
     """Centres for ``rows`` vectors from a sample of them, and how many lists a query reads."""
     scaled, norms = unit(x)
@@ -72,26 +80,31 @@ def fit(x: np.ndarray, rows: int, k: int, settings: Settings) -> tuple[np.ndarra
     random = np.random.default_rng(settings.seed)
     centres = x[random.permutation(len(x))[:number]]
     for _ in range(settings.rounds):
-        own = np.argmax(x @ centres.T, axis=1)
+        own = closest(x, centres)
         order = np.argsort(own, kind="stable")
         used, firsts = np.unique(own[order], return_index=True)
         sums = np.add.reduceat(x[order], firsts, axis=0)
         centres[used] = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
-    own = np.argmax(x @ centres.T, axis=1)
-    asked = random.permutation(len(x))[:256]
-    near = x[asked] @ x.T
-    near[np.arange(len(asked)), asked] = -np.inf
-    best = np.argsort(-near, axis=1)[:, : min(k, len(x) - 1)]
-    place = np.argsort(np.argsort(-(x[asked] @ centres.T), axis=1), axis=1)
-    needed = np.sort(np.take_along_axis(place, own[best], axis=1).ravel())
+    own, needed = closest(x, centres), []
+    for row in random.permutation(len(x))[:256].tolist():
+        near = x @ x[row]
+        near[row] = -np.inf
+        best = np.argsort(-near, kind="stable")[: min(k, len(x) - 1)]
+        place = np.empty(number, np.int64)
+        place[np.argsort(-(centres @ x[row]), kind="stable")] = np.arange(number)
+        needed.extend(place[own[best]].tolist())
+    needed.sort()
     return centres, int(needed[min(len(needed) - 1, int(settings.aim * len(needed)))]) + 1 if len(needed) else 1
 
 
 def probed(units: np.ndarray, centres: np.ndarray, probes: int, sizes: np.ndarray, least: int) -> list[np.ndarray]:
     """The lists that each query reads, nearest first: ``probes`` of them, or more until they hold ``least`` rows."""
-    order = np.argsort(-(units.astype(np.float32) @ centres.T), axis=1, kind="stable")
-    held = np.cumsum(sizes[order], axis=1)
-    return [lists[: max(probes, int(np.searchsorted(h, least)) + 1)] for lists, h in zip(order, held)]
+    out = []
+    for at in range(0, len(units), 256):
+        order = np.argsort(-(units[at : at + 256].astype(np.float32) @ centres.T), axis=1, kind="stable")
+        held = np.cumsum(sizes[order], axis=1)
+        out.extend(lists[: max(probes, int(np.searchsorted(h, least)) + 1)].copy() for lists, h in zip(order, held))
+    return out
 
 
 def column_blocks(width: int) -> list[tuple[int, int]]:
@@ -178,7 +191,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, settings: Settings =
     an id the smallest vector counts. A query's own id is no candidate, nor are vectors of other widths. Ties go
     by the smaller id. A query gets k rows wherever there are k candidates. Empty tables give no rows.
 
-    The driver receives the sample and one count per list (at most ``lists`` a width), and sends centres, a rotation of
+    The driver receives the sample and one count per list (at most as many as ``lists`` a width), and sends centres, a rotation of
     width * width and these counts; none of them grows with the rows.
     """
     spark = vectors.sparkSession
@@ -189,9 +202,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, settings: Settings =
         return rows.groupBy("id").agg(F.min("vector").alias("vector")).select("id", F.size("vector").alias("width"), "vector")
 
     base = materialize(single(vectors), "vectors")
-    widest = base.agg(F.max("width")).first()[0] or 1
-    sample = sample_by_hash(base, "id", max(64, min(settings.sample, settings.sample_bytes // (8 * widest)))).toArrow()
     counts = {row["width"]: row["count"] for row in base.groupBy("width").count().collect()}
+    lists = min(settings.lists, int(sum(counts.values()) ** 0.5))
+    most = min(max(settings.sample, settings.per_list * lists), settings.sample_bytes // (8 * max(counts, default=1)))
+    sample = sample_by_hash(base, "id", max(64, most)).toArrow()
     turns, models = {}, {}
     seen = {width: (rows, x) for batch in sample.combine_chunks().to_batches() for width, rows, x in _by_width(batch)}
     for width, rows in counts.items():
@@ -205,7 +219,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, settings: Settings =
             own = np.zeros(batch.num_rows, np.int32)
             for width, rows, x in _by_width(batch):
                 scaled, norms = unit(x)
-                own[rows] = np.argmax((scaled / norms[:, None]).astype(np.float32) @ shared.value[width][0].T, axis=1)
+                own[rows] = closest((scaled / norms[:, None]).astype(np.float32), shared.value[width][0])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own)], names=["id", "width", "vector", "list"])
 
     kind = base.schema["vector"].dataType.simpleString()
