@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filings_audit.llm import ann, bpe, imatch, langid, linededup, neardup, packing, quality, resample, tokencount, topk, warc
+from filings_audit.llm import ann, bpe, imatch, langid, linededup, neardup, packing, quality, repair, resample, tokencount, topk, warc
 from filings_audit.llm.common import held_out, table
 from filings_audit.session import new_dir
 
@@ -158,3 +158,17 @@ def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
     return ann.nearest(rows, rows.where(F.col("id") % 50 == 0), 5)
+
+
+@query("op11_repair")
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found, pieces = repair.repair(repair.damaged(rows))
+    hashed = repair.digests(pieces).withColumnRenamed("conv_id", "__id")
+    found = found.join(hashed, found["conv_id"].eqNullSafe(hashed["__id"])).drop("__id")
+    # Conversations whose rows were all dropped.
+    ids = rows.select(F.col("conv_id").alias("__id")).distinct()
+    gone = ids.join(found.select("conv_id"), F.col("__id").eqNullSafe(F.col("conv_id")), "left_anti")
+    zeros = [F.lit(0).cast("long").alias(c) for c in repair.COUNTS]
+    empty = gone.select(F.col("__id").alias("conv_id"), *zeros, F.lit("").alias("audit"), F.sha2(F.lit("").cast("binary"), 256).alias("repaired_sha256"))
+    return found.unionByName(empty)
