@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from filings_audit.functions.identity import filing_uuid
@@ -40,6 +40,10 @@ class LiveConfig:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def work(self, name: str) -> str:
+        """Tables between the steps of this run; other runs have their own."""
+        return f"{self.root}/runs/{self.run_id}/{name}"
+
 
 @dataclass
 class RunResult:
@@ -47,12 +51,25 @@ class RunResult:
     gold: DataFrame
     pii_log: DataFrame
     written: gold.Written
+    events: DataFrame
+
 
+def ingest_bronze(
+    spark: SparkSession, index_path: str, facts: DataFrame, config: LiveConfig, watch: layers.Watch = layers.unwatched
+) -> DataFrame:
+    """Read index files, attach the facts of each company, write the quarters they hold and return these quarters.
 
-def ingest_bronze(spark: SparkSession, index_path: str, facts: DataFrame, config: LiveConfig) -> DataFrame:
-    """Read index files, attach the facts of each company, write the quarters they hold and return these quarters."""
-    index = index_files.read_index(spark, index_path, config.forms, config.partitions)
-    layers.write_bronze(keyed.attach_facts(index.drop("operating_cash_flow"), facts), config.path("bronze"))
+    Damaged lines go to a table of their own. The read counts them, so the files are read again only where there are any.
+    """
+    lines = index_files.read_lines(spark, index_path)
+    classified = index_files.classify_lines(lines.repartition(config.partitions))
+    seen = Observation()
+    index = index_files.entries(classified.observe(seen, F.count_if(F.col("kind") == "damaged").alias("damaged")), config.forms)
+    layers.write_bronze(keyed.attach_facts(index.drop("operating_cash_flow"), facts), config.path("bronze"), watch)
+    if seen.get["damaged"]:
+        rows = index_files.damaged_lines(classified).hint("rebalance", "edgar_year", "edgar_quarter")
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("edgar_year", "edgar_quarter").parquet(config.path("index_damaged"))
     touched = index_files.quarters(spark, index_path)
     wanted = F.lit(False)
     for year, quarter in touched:
@@ -81,8 +98,8 @@ def detect(cleaned: DataFrame, config: LiveConfig) -> DataFrame:
     vector = forest.feature_vector(list(config.features))
     features = detection.with_features(cleaned).withColumn("vector", vector)
     scored, _ = forest.fit_and_score(features, "id", "vector", config.forest)
-    scored.drop("vector").write.mode("overwrite").parquet(config.path("scored"))
-    return detection.live_flags(cleaned.sparkSession.read.parquet(config.path("scored")), config.contamination)
+    scored.drop("vector").write.mode("overwrite").parquet(config.work("scored"))
+    return detection.live_flags(cleaned.sparkSession.read.parquet(config.work("scored")), config.contamination)
 
 
 def run_batch(
@@ -90,24 +107,27 @@ def run_batch(
 ) -> RunResult:
     """One run: ingest, clean, mask, detect, explain, re-scan, then write silver, gold and the audit log."""
     as_of = F.current_timestamp() if as_of is None else as_of
-    bronze = ingest_bronze(spark, index_path, facts, config)
-    clean(bronze, config).write.mode("overwrite").parquet(config.path("cleaned"))
-    cleaned = spark.read.parquet(config.path("cleaned"))
+    steps = {name: audit_log.Step(name, config.forms) for name in ("INGEST", "MASK", "VALIDATE", "EXPORT")}  # X10
+    bronze = ingest_bronze(spark, index_path, facts, config, steps["INGEST"].watch)
+    steps["MASK"].watch(clean(bronze, config)).write.mode("overwrite").parquet(config.work("cleaned"))
+    cleaned = spark.read.parquet(config.work("cleaned"))
     entries = masking.audit_entries(cleaned, config.run_id, as_of, config.masking.mode)
 
     explained = explain.with_root_cause(detect(cleaned.drop(masking.HITS), config))
-    masking.mask_messages(explained, config.masking).write.mode("overwrite").parquet(config.path("rescanned"))  # M7
-    rescanned = spark.read.parquet(config.path("rescanned"))
+    masking.mask_messages(explained, config.masking).write.mode("overwrite").parquet(config.work("rescanned"))  # M7
+    rescanned = spark.read.parquet(config.work("rescanned"))
     if config.keep_silver:
-        layers.write_silver(rescanned, config.path("silver"))
+        layers.write_silver(rescanned, config.path("silver"), steps["EXPORT"].watch)
     post = masking.audit_entries(rescanned, masking.post_rca(config.run_id), as_of, config.masking.mode)
     audit_log.write_pii_log(entries.unionByName(post), config.path("pii_log"))  # U1
 
     silver = conform(rescanned, SILVER)
-    written = gold.upsert(silver, config.path("gold"), as_of, unique=True)
+    written = gold.upsert(silver, config.path("gold"), as_of, unique=True, watch=steps["VALIDATE"].watch)
+    done = [step for name, step in steps.items() if name != "EXPORT" or config.keep_silver]
+    audit_log.write_run_events(spark, done, config.run_id, cleaning.MASKING_VERSION, as_of, config.path("events"))
     return RunResult(
         silver, gold.read_gold(spark, config.path("gold")),
-        audit_log.read_pii_log(spark, config.path("pii_log")), written,
+        audit_log.read_pii_log(spark, config.path("pii_log")), written, audit_log.read_run_events(spark, config.path("events")),
     )
 
 

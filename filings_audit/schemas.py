@@ -73,6 +73,9 @@ EVENT_LOG = _fields(
     ]
 )
 
+# An event of a run speaks for many filings: it has no filing_id, and says how many.
+RUN_EVENTS = T.StructType([*EVENT_LOG.fields, T.StructField("record_count", T.LongType())])
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select ``schema``'s columns by name, cast to its types; absent columns become null, extras go."""

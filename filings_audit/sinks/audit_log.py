@@ -8,10 +8,11 @@ from datetime import datetime, timezone
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from filings_audit.schemas import EVENT_LOG, PII_LOG, conform
+from filings_audit.operators.keyed import latest_per_key
+from filings_audit.schemas import EVENT_LOG, PII_LOG, RUN_EVENTS, conform
 from filings_audit.sources.tables import read_or_empty
 
 logger = logging.getLogger(__name__)
@@ -56,6 +57,41 @@ def append_events(events: DataFrame, path: str) -> None:
     conform(events, EVENT_LOG).write.mode("append").parquet(path)
 
 
+class Step:
+    """What one step of a run has written, per form type, counted by the write itself."""
+
+    def __init__(self, event_type: str, forms: tuple[str, ...]):
+        self.event_type, self.forms, self.seen = event_type, forms, Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        """``df``, to be written directly: counts of a stage that Spark repeats would be taken twice."""
+        counts = [F.count_if(F.col("form_type") == form).alias(f"f{i}") for i, form in enumerate(self.forms)]
+        return df.observe(self.seen, F.count("*").alias("all"), *counts)
+
+    def counts(self) -> dict[str | None, int]:
+        """Rows of each form that came, and of all others under None."""
+        found = self.seen.get
+        known = {form: found[f"f{i}"] for i, form in enumerate(self.forms)}
+        return {form: n for form, n in {**known, None: found["all"] - sum(known.values())}.items() if n}
+
+
+def write_run_events(spark: SparkSession, steps: list[Step], run_id: str, masking_version: str, at: Column, path: str) -> None:
+    """An event per step and form. A run that is repeated writes the same ids: the later event counts."""
+    rows = [(step.event_type, form, n) for step in steps for form, n in step.counts().items()]
+    events = spark.createDataFrame(rows, "event_type string, form_type string, record_count long").withColumns({
+        "log_id": F.md5(F.concat_ws("|", F.lit(run_id), "event_type", F.coalesce("form_type", F.lit("")))),
+        "event_ts": at, "created_at": F.current_timestamp(), "pipeline_run_id": F.lit(run_id),
+        "masking_version": F.when(F.col("event_type") == "MASK", F.lit(masking_version)),
+    })
+    month = F.date_format("event_ts", "yyyy-MM")
+    conform(events, RUN_EVENTS).withColumn("event_month", month).coalesce(1).write.mode("append").partitionBy("event_month").parquet(path)
+
+
+def read_run_events(spark: SparkSession, path: str) -> DataFrame:
+    """The last event of each id; ``query_events`` filters them."""
+    return latest_per_key(read_or_empty(spark, path, RUN_EVENTS).select(*RUN_EVENTS.names), "log_id", F.desc("created_at"))
+
+
 @dataclass(frozen=True)
 class EventFilter:
     event_type: str | None = None

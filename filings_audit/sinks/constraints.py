@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +15,8 @@ def require_columns(df: DataFrame, required=TRIAGE_REQUIRED) -> None:
         raise ValueError(f"missing required columns: {missing}")
 
 
-def with_defaults(df: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """K6: flags default to false, the creation time to now; only declared columns remain (K4)."""
+def with_defaults(df: DataFrame, as_of: Column | None = None, keep: list[str] | None = None) -> DataFrame:
+    """K6: flags default to false, the creation time to now; only declared columns (and ``keep``) remain (K4)."""
     require_columns(df)
     have = set(df.columns)
     now = F.current_timestamp() if as_of is None else as_of
@@ -30,7 +28,7 @@ def with_defaults(df: DataFrame, as_of: Column | None = None) -> DataFrame:
         if field.name in defaults:
             value = F.coalesce(value, defaults[field.name])
         columns.append(value.alias(field.name))
-    return df.select(*columns)
+    return df.select(*columns, *(keep or []))
 
 
 def violations(not_null=TRIAGE_NOT_NULL) -> Column:
@@ -38,14 +36,6 @@ def violations(not_null=TRIAGE_NOT_NULL) -> Column:
     return F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in not_null]))
 
 
-def split_valid(df: DataFrame, not_null=TRIAGE_NOT_NULL) -> tuple[DataFrame, DataFrame]:
-    """K6: rows that keep the constraints, and the others with their reasons. Nothing is lost."""
-    # Plain null tests: they reach the file scan, and vanish where a column cannot be null.
-    valid = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in not_null])
-    broken = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in not_null])
-    return df.filter(valid), df.filter(broken).withColumn("violations", violations(not_null))
-
-
 def constraint_report(df: DataFrame, key: str = TRIAGE_KEY, not_null=TRIAGE_NOT_NULL) -> DataFrame:
     """K6: rows, duplicated keys and null counts in one job, pre-aggregated per key before the shuffle."""
     columns = [c for c in not_null if c in df.columns]

@@ -2,31 +2,40 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filings_audit.schemas import BRONZE, SILVER, conform
 
+Watch = Callable[[DataFrame], DataFrame]
+
+
+def unwatched(df: DataFrame) -> DataFrame:
+    return df
+
 
 def month_of(day: str):
     return F.date_format(F.col(day), "yyyy-MM")
 
 
-def write_bronze(df: DataFrame, path: str) -> None:
-    """K1: replaces only the quarters in ``df``. Rows are spread so that no quarter is one task."""
+def write_bronze(df: DataFrame, path: str, watch: Watch = unwatched) -> None:
+    """K1: replaces only the quarters in ``df``. Rows are spread so that no quarter is one task. ``watch`` may observe the rows as
+    they are written."""
     (
-        conform(df, BRONZE).hint("rebalance", "edgar_year", "edgar_quarter")
+        watch(conform(df, BRONZE).hint("rebalance", "edgar_year", "edgar_quarter"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("edgar_year", "edgar_quarter").parquet(path)
     )
 
 
-def write_silver(df: DataFrame, path: str) -> None:
+def write_silver(df: DataFrame, path: str, watch: Watch = unwatched) -> None:
     """K2: the declared columns; of a frame that has quarters only these quarters are replaced."""
     quarters = [c for c in ("edgar_year", "edgar_quarter") if c in df.columns]
     rows = conform(df, T.StructType([*SILVER.fields, *[T.StructField(c, T.StringType()) for c in quarters]]))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*quarters).parquet(path)
+    watch(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*quarters).parquet(path)
 
 
 def write_by_form_and_month(df: DataFrame, path: str) -> None:

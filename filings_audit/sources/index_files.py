@@ -18,6 +18,8 @@ LAYOUT = {
     "filename": (99, None),
 }
 ENCODING = "ISO-8859-1"
+# How the lines before the entries begin, and the titles of the columns.
+HEADER = r"^\s*(Description|Last Data Received|Comments|Anonymous FTP|Cloud HTTP):|^Company Name\s+Form Type\s"
 # Both .../2024/QTR1/company.gz and .../edgar_year=2024/edgar_quarter=QTR1/part.gz name their quarter.
 _QUARTER_IN_PATH = r"/(?:edgar_year=)?(\d{4})/(?:edgar_quarter=)?(QTR[1-4])/[^/]+$"
 
@@ -34,31 +36,49 @@ def read_lines(spark: SparkSession, path: str, streaming: bool = False, **option
     return reader.text(path).select("value", F.col("_metadata.file_path").alias("path"))
 
 
-def parse_lines(lines: DataFrame, forms=TARGET_FORMS) -> DataFrame:
-    """Typed-as-text index rows tagged with their quarter.
+def classify_lines(lines: DataFrame) -> DataFrame:
+    """S3: every line with its fields and what it is: ``blank``, ``header``, ``entry`` or ``damaged``.
 
-    Headers are told by content, not by position, so a file may be split or joined at will. ``forms=None``
-    keeps every form. The text source hands lines over as raw bytes, so they are decoded here.
+    Headers are told by content, not by position, so a file may be split or joined at will. An entry has a number as its
+    cik; any other line that is no header is damaged. The text source hands lines over as raw bytes, so they are
+    decoded here.
     """
     fields = {name: _cut(F.col("line"), *span) for name, span in LAYOUT.items()}
-    rows = (
-        lines.filter((F.trim("value") != "") & ~F.col("value").startswith("---"))
-        .select(F.decode(F.col("value").cast("binary"), ENCODING).alias("line"), "path")
-        .select(
-            *[F.nullif(expr, F.lit("")).alias(name) for name, expr in fields.items()],
-            F.regexp_extract("path", _QUARTER_IN_PATH, 1).alias("edgar_year"),
-            F.regexp_extract("path", _QUARTER_IN_PATH, 2).alias("edgar_quarter"),
-            "path",
-        )
-        .filter(F.coalesce(F.col("cik").rlike(r"^\d+$"), F.lit(False)))  # headers have no number there
-        .withColumn("edgar_year", F.when(F.col("edgar_year") != "", F.col("edgar_year")).otherwise(
-            F.raise_error(F.concat(F.lit("no quarter in the path "), "path"))))
-        .drop("path")
+    decoded = lines.select(F.decode(F.col("value").cast("binary"), ENCODING).alias("line"), "path")
+    kind = (
+        F.when(F.trim("line") == "", "blank")
+        .when(F.col("line").startswith("---") | F.col("line").rlike(HEADER), "header")
+        .when(F.coalesce(F.col("cik").rlike(r"^\d+$"), F.lit(False)), "entry")
+        .otherwise("damaged")
+    )
+    rows = decoded.select(
+        "line",
+        *[F.nullif(expr, F.lit("")).alias(name) for name, expr in fields.items()],
+        F.regexp_extract("path", _QUARTER_IN_PATH, 1).alias("edgar_year"),
+        F.regexp_extract("path", _QUARTER_IN_PATH, 2).alias("edgar_quarter"),
+        "path",
     )
+    return rows.withColumn("kind", kind)
+
+
+def entries(classified: DataFrame, forms=TARGET_FORMS) -> DataFrame:
+    """Typed-as-text index rows tagged with their quarter; ``forms=None`` keeps every form."""
+    year = F.when(F.col("edgar_year") != "", F.col("edgar_year")).otherwise(
+        F.raise_error(F.concat(F.lit("no quarter in the path "), "path")))
+    rows = classified.filter("kind = 'entry'").withColumn("edgar_year", year).drop("path", "line", "kind")
     rows = drop_null_keys(rows).withColumn("cik", strip_cik(F.col("cik")))
     return only_forms(rows, forms) if forms else rows
 
 
+def parse_lines(lines: DataFrame, forms=TARGET_FORMS) -> DataFrame:
+    return entries(classify_lines(lines), forms)
+
+
+def damaged_lines(classified: DataFrame) -> DataFrame:
+    """S3: lines that can be no header and have no number as their cik, as they were found."""
+    return classified.filter("kind = 'damaged'").select("line", "cik", "path", "edgar_year", "edgar_quarter")
+
+
 def read_index(spark: SparkSession, path: str, forms=TARGET_FORMS, partitions: int | None = None) -> DataFrame:
     """Index rows under ``path``. A gz file is one task; ``partitions`` spreads the rows for later stages."""
     lines = read_lines(spark, path)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from filings_audit.operators import detection, explain, forest
 from filings_audit.plans import medallion
 from filings_audit.session import configure, materialize, new_dir
+from filings_audit.sinks import audit_log
 from filings_audit.sources import star_schema
 from filings_audit.workload import fixture, oracle
 from filings_audit.workload.intake import _UUID, FORMS, INDEX, write_index
@@ -180,6 +181,16 @@ def live_batch(spark, sf_dir):
     return medallion.run_batch(spark, write_index(spark, sf_dir), _facts(spark, sf_dir), config, fixture.as_of()).gold
 
 
+def _two_runs(spark, sf_dir):
+    index, facts = write_index(spark, sf_dir), materialize(_facts(spark, sf_dir), "facts")
+    root = new_dir(configure(spark), "live")
+    results = []
+    for run, years in (("run-1", "199[2-6]"), ("run-2", "{199[7-9],20*}")):
+        config = medallion.LiveConfig(root=root, run_id=run, forest=forest.ForestParams(trees=20))
+        results.append(medallion.run_batch(spark, f"{index}/edgar_year={years}", facts, config, fixture.as_of()))
+    return results
+
+
 @query("live_runs", f"""
 WITH {INDEX},
 facts AS (
@@ -195,15 +206,27 @@ SELECT 'filing' AS kind, id AS name, company_name || '|' || form_type || '|' ||
 UNION ALL SELECT 'audit', run, 'executive_name', count(*) FROM known WHERE executive IS NOT NULL GROUP BY run""")
 def live_runs(spark, sf_dir):
     """Two runs, each over the index files of some years: what does not come from the model, and each run's own audit."""
-    index, facts = write_index(spark, sf_dir), materialize(_facts(spark, sf_dir), "facts")
-    root = new_dir(configure(spark), "live")
-    small = forest.ForestParams(trees=20)
-    for run, years in (("run-1", "199[2-6]"), ("run-2", "{199[7-9],20*}")):
-        config = medallion.LiveConfig(root=root, run_id=run, forest=small)
-        result = medallion.run_batch(spark, f"{index}/edgar_year={years}", facts, config, fixture.as_of())
+    result = _two_runs(spark, sf_dir)[-1]
     detail = F.concat_ws("|", "company_name", "form_type", "cik", F.date_format("filing_date", "yyyy-MM-dd"))
     filings = result.gold.select(
         F.lit("filing").alias("kind"), F.col("id").alias("name"), detail.alias("detail"), F.col("known_rule_violation").cast("long").alias("number"))
     audit = result.pii_log.filter("field_name = 'executive_name'")
     return filings.unionByName(audit.select(
         F.lit("audit").alias("kind"), F.col("source_file_id").alias("name"), F.col("field_name").alias("detail"), F.col("record_count").alias("number")))
+
+
+@query("run_events", f"""
+WITH {INDEX},
+listed AS (
+  SELECT {_UUID} AS id, form_type, CASE WHEN year(filing_date) < 1997 THEN 'run-1' ELSE 'run-2' END AS run
+  FROM filings WHERE form_type IN {FORMS}),
+counted AS (SELECT run, form_type, count(*) AS lines, count(DISTINCT id) AS records FROM listed GROUP BY run, form_type)
+SELECT run AS pipeline_run_id, form_type, 'INGEST' AS event_type, lines AS record_count FROM counted
+UNION ALL SELECT run, form_type, step, records FROM counted, (VALUES ('MASK'), ('VALIDATE'), ('EXPORT')) AS steps(step)
+UNION ALL SELECT 'filtered', form_type, 'MASK', records FROM counted WHERE run = 'run-2' AND form_type = '10-K'""")
+def run_events(spark, sf_dir):
+    """What each step of two runs has written, by form, and one filter over it. The writes have counted."""
+    log = _two_runs(spark, sf_dir)[-1].events
+    wanted = audit_log.query_events(log, audit_log.EventFilter("MASK", "10-K")).filter("pipeline_run_id = 'run-2'")
+    columns = ["pipeline_run_id", "form_type", "event_type", "record_count"]
+    return log.select(columns).unionByName(wanted.withColumn("pipeline_run_id", F.lit("filtered")).select(columns))

@@ -22,6 +22,7 @@ index_rows AS (
     'edgar/data/' || id || '.txt' AS filename,
     strftime(filing_date, '%Y') AS edgar_year, 'QTR' || quarter(filing_date) AS edgar_quarter
   FROM filings)"""
+HEADS = ["Description:           Index of filings", "Company Name".ljust(62) + "Form Type".ljust(12) + "CIK", "-" * 120, " "]
 FORMS = oracle.in_list(cleaning.TARGET_FORMS)
 SALT = MaskingConfig().salt
 _DAY = "strftime(filing_date, '%Y-%m-%d')"
@@ -223,6 +224,29 @@ def write_index(spark, sf_dir) -> str:
     return path
 
 
+@query("index_damaged", f"""
+WITH {INDEX}
+SELECT CASE WHEN order_key % 7 = 3 THEN 'damaged' ELSE 'entry' END AS kind, edgar_year, edgar_quarter, count(*) AS lines,
+  count(DISTINCT f.id) AS filings
+FROM filings f JOIN index_rows ON filename = 'edgar/data/' || f.id || '.txt' GROUP BY ALL
+UNION ALL SELECT 'header', edgar_year, edgar_quarter, count(*) * 3, 0 FROM (SELECT DISTINCT edgar_year, edgar_quarter FROM index_rows) GROUP BY ALL
+UNION ALL SELECT 'blank', edgar_year, edgar_quarter, count(*), 0 FROM (SELECT DISTINCT edgar_year, edgar_quarter FROM index_rows) GROUP BY ALL""")
+def index_damaged(spark, sf_dir):
+    """S3: every line of the index files is an entry, a header, blank, or damaged; damaged ones keep their text."""
+    path = new_dir(configure(spark), "index")
+    rows = star_schema.index_rows(spark, sf_dir)
+    key = F.regexp_extract("filename", r"(\d+)\.txt$", 1).cast("long")
+    broken = F.when(key % 7 == 3, F.concat(F.lit("x"), F.substring("cik", 2, 20))).otherwise(F.col("cik"))
+    lines = index_files.format_lines(rows.withColumn("cik", broken))
+    quarters = rows.select("edgar_year", "edgar_quarter").distinct()
+    heads = quarters.select(F.explode(F.array(*[F.lit(x) for x in HEADS])).alias("value"), "edgar_year", "edgar_quarter")
+    lines.unionByName(heads).write.partitionBy("edgar_year", "edgar_quarter").option("compression", "gzip").text(path)
+    found = index_files.classify_lines(index_files.read_lines(spark, path))
+    named = F.regexp_extract("line", r"edgar/data/(\d+)\.txt", 1)
+    return found.groupBy("kind", "edgar_year", "edgar_quarter").agg(
+        F.count("*").alias("lines"), F.count_distinct(F.nullif(named, F.lit(""))).alias("filings"))
+
+
 @query("bronze_quarters", f"""
 WITH {INDEX}
 SELECT ltrim(cik, '0') AS cik, company_name, form_type, date_filed, filename, edgar_year, edgar_quarter

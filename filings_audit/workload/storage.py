@@ -128,6 +128,40 @@ def quarantine_rows(spark, sf_dir):
     return gold.read_rejected(spark, root).select("id", F.array_join("violations", ",").alias("violations"))
 
 
+_FATE = """
+SELECT 'refused' AS place, id, company_name, CASE WHEN order_key % 3 = 0 THEN 'company_name' ELSE violations END AS violations FROM told
+  WHERE order_key % 3 = 0 OR violations <> ''
+UNION ALL SELECT 'stored', id, company_name, '' FROM told WHERE order_key % 3 <> 0 AND violations = ''"""
+
+
+def _fate(spark, root):
+    """Every row that a table was given: stored, or refused with its reasons."""
+    stored = gold.read_gold(spark, root).select(F.lit("stored").alias("place"), "id", "company_name", F.lit("").alias("violations"))
+    refused = gold.read_rejected(spark, root).select(F.lit("refused").alias("place"), "id", "company_name", F.array_join("violations", ",").alias("violations"))
+    return stored.unionByName(refused)
+
+
+def _nameless(spark, sf_dir):
+    """Filings; a third of them lack the name."""
+    return conform(star_schema.filings(spark, sf_dir, growth=False).withColumn(
+        "company_name", F.when(F.col("order_key") % 3 != 0, F.col("company_name"))), TRIAGE)
+
+
+@query("rejected_batches", f"""
+WITH {oracle.FILINGS}, told AS (
+  SELECT order_key, id, CASE WHEN order_key % 3 <> 0 THEN company_name END AS company_name, '' AS violations FROM filings
+  UNION ALL SELECT order_key, id, company_name, 'repeated id' FROM filings WHERE order_key % 3 = 1)
+{_FATE}""")
+def rejected_batches(spark, sf_dir):
+    """K3, K4, K6: a batch without a valid row first, then one without a fault, then an append of stored ids only."""
+    root = new_dir(configure(spark), "gold")
+    rows = _nameless(spark, sf_dir)
+    gold.upsert(rows.filter("company_name IS NULL"), root, as_of())
+    gold.upsert(rows.filter("company_name IS NOT NULL"), root, as_of())
+    gold.append(rows.filter("company_name IS NOT NULL AND CAST(id AS BIGINT) % 3 = 1"), root, as_of())
+    return _fate(spark, root)
+
+
 # Streams ------------------------------------------------------------------------------------------
 
 def _stream(spark, path, schema, files=1000):
@@ -178,6 +212,21 @@ def stream_upsert(spark, sf_dir):
         "id", "company_name", "known_rule_violation", "ml_anomaly_flag", "root_cause_message")
 
 
+@query("stream_rejects", f"""
+WITH {oracle.FILINGS}, told AS (
+  SELECT order_key, id, CASE WHEN order_key % 3 <> 0 THEN company_name END AS company_name, '' AS violations FROM filings)
+{_FATE}""")
+def stream_rejects(spark, sf_dir):
+    """ST3, K6: one of the micro-batches holds nothing but rejects, another none; each input row is found once."""
+    work = new_dir(configure(spark), "stream-rejects")
+    rows = _nameless(spark, sf_dir)
+    rows.filter("company_name IS NULL").coalesce(1).write.parquet(f"{work}/in")
+    rows.filter("company_name IS NOT NULL").coalesce(1).write.mode("append").parquet(f"{work}/in")
+    for _ in range(2):
+        jobs.upsert_stream(_stream(spark, f"{work}/in", TRIAGE, files=1), f"{work}/gold", f"{work}/checkpoint", as_of())
+    return _fate(spark, f"{work}/gold")
+
+
 @query("stream_score")
 def stream_score(spark, sf_dir):
     """ST4: a model fitted once and stored scores the stream."""

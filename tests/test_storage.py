@@ -76,6 +76,21 @@ def test_quarantine_keeps_what_breaks_a_constraint(spark):
         assert rejected == [("", ["id"]), ("b", ["company_name"]), ("c", ["filing_date"])]
 
 
+def test_rejects_stay_when_a_batch_has_no_valid_row(spark):
+    root = new_dir(spark, "t")
+    bad = _frame(spark, _row("x", name=None), _row("x", name=None))
+    assert gold.upsert(bad, root) == gold.Written(1, kept=0, rejected=2)
+    assert gold.upsert(_frame(spark, _row("a")), root) == gold.Written(2, kept=1, rejected=0)
+    assert gold.append(_frame(spark, _row("a"), _row("y", name=None)), root) == gold.Written(3, kept=0, rejected=2)
+    assert gold.append(_frame(spark, _row("b")), root) == gold.Written(4, kept=1, rejected=0)
+    rejected = sorted((r.id, list(r.violations)) for r in gold.read_rejected(spark, root).collect())
+    assert rejected == [("a", ["repeated id"]), ("x", ["company_name"]), ("x", ["company_name"]), ("y", ["company_name"])]
+    assert set(_state(spark, root)) == {"a", "b"}
+    # What a writer left that died before its commit is no reject.
+    gold._check(_frame(spark, _row("z", name=None)), root, "lost", None)
+    assert gold.read_rejected(spark, root).count() == 4
+
+
 def test_append_defaults_and_ignored_columns(spark):
     root = new_dir(spark, "t")
     slim = spark.createDataFrame([("a", "Quill", date(2024, 1, 15), 9)], "id string, company_name string, filing_date date, extra int")
