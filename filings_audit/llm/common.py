@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 from collections.abc import Callable, Hashable, Iterator
@@ -38,14 +39,32 @@ def once(key: Hashable, build: Callable):
     return kept[key]
 
 
+SPACE = re.compile(r"\s")
+
+
+def pieces(text: str, size: int = 1 << 20) -> Iterator[str]:
+    """The whole text in pieces of about ``size`` characters that end before white space, so no word is cut."""
+    at = 0
+    while at < len(text):
+        found = SPACE.search(text, at + size) if at + size < len(text) else None
+        end = found.start() if found else len(text)
+        yield text[at:end]
+        at = end
+
+
 def map_texts(
     frame: DataFrame, keep: list[str], source: str, schema: str, make: Callable[[], Callable[[list], list]]
 ) -> DataFrame:
     """Run Python over one column, without a shuffle.
 
     ``make()`` is called once a task and returns a function from the list of a batch's values to one list per
-    column of ``schema``. The columns of ``keep`` pass unchanged; others are not sent to Python.
+    column of ``schema``. The columns of ``keep`` pass unchanged; others are not sent to Python. No column of ``keep`` may have the
+    name of a made one.
     """
+    names = [part.split()[0] for part in schema.split(", ")]
+    clashing = {c.lower() for c in keep} & {n.lower() for n in names}
+    if clashing:
+        raise ValueError(f"columns to keep are named like results: {sorted(clashing)}")
     at = keep.index(source) if source in keep else len(keep)
     chosen = frame.select(*[frame[c] for c in keep], *([frame[source]] if at == len(keep) else []))
     kept = ", ".join(f"`{c}` {frame.schema[c].dataType.simpleString()}" for c in keep)
@@ -59,7 +78,6 @@ def map_texts(
             arrays = [m if isinstance(m, pa.Array) else pa.array(m) for m in made]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *arrays], names=keep + names)
 
-    names = [part.split()[0] for part in schema.split(", ")]
     return chosen.mapInArrow(run, f"{kept}, {schema}")
 
 

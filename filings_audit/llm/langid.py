@@ -8,53 +8,75 @@ any adds the mean over those it knows. The model holds a bounded number of words
 from __future__ import annotations
 
 import re
+import sys
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filings_audit.llm.common import held_out, map_texts
+from filings_audit.llm.common import held_out, map_texts, once, pieces
 from filings_audit.session import materialize
 
 UNDETERMINED = "und"
 ORDERS = (5, 4, 3, 2, 1)
-# Words kept per task. A full cache is emptied; results don't depend on it.
-CACHE_WORDS = 300_000
+# Words kept per task, and numbers in their rows. A full cache is emptied; results don't depend on it.
+CACHE_WORDS, CACHE_NUMBERS = 300_000, 6_000_000
+SLICE = 8192
 
 
 @dataclass(frozen=True)
 class Limits:
-    """What bounds the model. ``documents``: about so many labelled rows are learnt from, chosen by hash in each language."""
+    """What bounds the model. ``documents``: about so many labelled rows are learnt from, chosen by hash in each language.
+
+    A language has at most ``words`` words and ``grams`` n-grams of each order, and fewer where all languages together would
+    exceed ``entries``, of which three eighths may be words.
+    """
 
     documents: int = 20_000
     words: int = 30_000
     grams: int = 10_000
-    languages: int = 200
+    entries: int = 1_000_000
+
+    def of_each(self, languages: int) -> tuple[int, int]:
+        """The words of a language, and its n-grams of one order."""
+        share = self.entries // max(1, languages)
+        return max(1, min(self.words, share * 3 // 8)), max(1, min(self.grams, share // 8))
+
+
+class Table(NamedTuple):
+    """Log frequencies of entries: what a language scores that lacks the entry, and the others of each entry in a row."""
+
+    lacking: np.ndarray
+    starts: np.ndarray
+    places: np.ndarray
+    values: np.ndarray
 
 
-@dataclass
-class Model:
-    """Sorted languages; for words and for n-grams a row of log frequencies, one per language."""
+class Model(NamedTuple):
+    """Sorted languages; words and n-grams by their numbers in a table each."""
 
     languages: list[str]
     words: dict[str, int]
-    word_scores: np.ndarray
+    word_table: Table
     grams: dict[str, int]
-    gram_scores: np.ndarray
+    gram_table: Table
 
 
-def _log_frequencies(counts: list[tuple[str, str, int]], totals: dict[str, int], languages: list[str]):
-    """Rows of log frequencies; a language that lacks the entry counts half an occurrence."""
-    place = {language: i for i, language in enumerate(languages)}
-    index: dict[str, int] = {}
-    for entry in sorted({entry for _, entry, _ in counts}):
-        index[entry] = len(index)
-    found = np.full((len(index), len(languages)), 0.5)
-    for language, entry, n in counts:
-        found[index[entry], place[language]] = n
-    return index, np.log(found) - np.log([totals[language] + 1.0 for language in languages])
+def _log_frequencies(counts: pa.Table, totals: dict[str, int], languages: list[str]) -> tuple[dict[str, int], Table]:
+    """Entries by number, and their table; a language that lacks the entry counts half an occurrence."""
+    totalled = np.log([totals[language] + 1.0 for language in languages])
+    order = {language: i for i, language in enumerate(languages)}
+    place = np.array([order[language] for language in counts["lang"].to_pylist()], np.int32)
+    entries = counts["word"].to_pylist()
+    index = {entry: i for i, entry in enumerate(sorted(set(entries)))}
+    number = np.array([index[entry] for entry in entries], np.int64)
+    sort = np.lexsort((place, number))
+    starts = np.searchsorted(number[sort], np.arange(len(index) + 1))
+    values = np.log(counts["n"].to_numpy()[sort].astype(float)) - totalled[place[sort]] if len(sort) else np.zeros(0)
+    return index, Table(np.log(0.5) - totalled, starts, place[sort], values)
 
 
 def _quota(sizes: list[tuple[int, int]], most: int) -> float | None:
@@ -84,13 +106,11 @@ def train(docs: DataFrame, limits: Limits = Limits(), doc_id: str = "doc_id", te
         ~held_out(F.col("id")) & F.col("text").isNotNull() & F.col("lang").isNotNull()
     )
     chosen = _sample(usable, limits.documents)
-    # Same words as _words below.
+    # Runs of letters, as letters_of cuts them below.
     word = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))).alias("word")
     counted = materialize(chosen.select("lang", word).groupBy("lang", "word").agg(F.count("*").alias("n")), "word-counts")
     letters = F.sum(F.col("n") * (F.length("word") + 2)).alias("letters")
     sums = counted.groupBy("lang").agg(F.sum("n").alias("n"), letters).collect()
-    if len(sums) > limits.languages:
-        raise ValueError(f"{len(sums)} languages; the limit is {limits.languages}")
     padded = F.concat(F.lit("_"), "word", F.lit("_"))
     grams = None
     for order in ORDERS:
@@ -101,10 +121,10 @@ def train(docs: DataFrame, limits: Limits = Limits(), doc_id: str = "doc_id", te
     grams = grams.groupBy("lang", "size", "word").agg(F.sum("n").alias("n"))
     languages = sorted(r["lang"] for r in sums)
     of_words, of_letters = ({r["lang"]: r[name] for r in sums} for name in ("n", "letters"))
-    kept = _most_frequent(counted.where("n > 1"), ["lang"], limits.words)
-    words, word_scores = _log_frequencies(kept, of_words, languages)
-    gram_index, gram_scores = _log_frequencies(_most_frequent(grams, ["lang", "size"], limits.grams), of_letters, languages)
-    return Model(languages, words, word_scores, gram_index, gram_scores)
+    most_words, most_grams = limits.of_each(len(languages))
+    words, word_table = _log_frequencies(_most_frequent(counted.where("n > 1"), ["lang"], most_words), of_words, languages)
+    found = _most_frequent(grams, ["lang", "size"], most_grams)
+    return Model(languages, words, word_table, *_log_frequencies(found, of_letters, languages))
 
 
 def _cut(text: Column, order: int) -> Column:
@@ -112,28 +132,44 @@ def _cut(text: Column, order: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(text) - order + 1), lambda at: F.substr(text, at, F.lit(order)))
 
 
-def _most_frequent(counts: DataFrame, group: list[str], most: int) -> list[tuple[str, str, int]]:
-    """The ``most`` most frequent entries of each group, ties by the entry."""
+def _most_frequent(counts: DataFrame, group: list[str], most: int) -> pa.Table:
+    """The ``most`` most frequent entries of each group, ties by the entry. The limits bound them in all."""
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("n"), "word"))
-    rows = counts.withColumn("rank", rank).where(F.col("rank") <= most).select("lang", "word", "n").collect()
-    return [(r["lang"], r["word"], r["n"]) for r in rows]
+    return counts.withColumn("rank", rank).where(F.col("rank") <= most).select("lang", "word", "n").toArrow()
 
 
-_words = re.compile(r"[^\W\d_]+").findall
+def _numerals() -> str:
+    """Characters that count as part of a word in Python's patterns and are no letters: numerals such as halves and Roman ones."""
+    found = (chr(c) for c in range(sys.maxunicode + 1) if chr(c).isalnum() and not chr(c).isalpha() and not chr(c).isdecimal())
+    return "".join(found)
 
 
-def word_scores(model: Model, word: str) -> np.ndarray:
+def letters_of():
+    """A function from a text to its runs of letters, the characters of Unicode's categories L."""
+    return once("letters", lambda: re.compile(rf"[^\W\d_{_numerals()}]+")).findall
+
+
+def _row(table: Table | tuple, entry: int) -> np.ndarray:
+    lacking, starts, places, values = table
+    out = lacking.copy()
+    some = slice(starts[entry], starts[entry + 1])
+    out[places[some]] = values[some]
+    return out
+
+
+def word_scores(model: Model | tuple, word: str) -> np.ndarray:
     """Log frequency of a word in each language, by the backoff."""
-    known = model.words.get(word)
+    languages, words, word_table, grams, gram_table = model
+    known = words.get(word)
     if known is not None:
-        return model.word_scores[known]
+        return _row(word_table, known)
     padded = f"_{word}_"
     for order in ORDERS:
         cut = [padded[i : i + order] for i in range(len(padded) - order + 1)] if order > 1 else word  # "_" tells nothing
-        rows = [model.grams[g] for g in cut if g in model.grams]
+        rows = [_row(gram_table, grams[g]) for g in cut if g in grams]
         if rows:
-            return model.gram_scores[rows].mean(axis=0)
-    return np.zeros(len(model.languages))
+            return np.mean(rows, axis=0)
+    return np.zeros(len(languages))
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text", evidence: int = 20) -> DataFrame:
@@ -143,33 +179,45 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text",
     number if that is smaller. Ties go to the first language in order. ``und`` with score 0 for null
     texts, texts without a letter, and a model without languages.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain tuples: an executor need not know the classes of the model.
+    plain = model._replace(word_table=tuple(model.word_table), gram_table=tuple(model.gram_table))
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(plain))
 
     def make():
-        model = shared.value
+        model, words_of = shared.value, letters_of()
+        languages = model[0]
+        most = max(2048, min(CACHE_WORDS, CACHE_NUMBERS // max(1, len(languages))))
+        scores = np.empty((most + SLICE, max(1, len(languages))))
         place: dict[str, int] = {}
-        scores = np.empty((1 << 16, max(1, len(model.languages))))
+
+        def total(words: list[str]) -> np.ndarray:
+            """The sum of the words' scores, some words at a time."""
+            out = np.zeros(len(languages))
+            for at in range(0, len(words), SLICE):
+                some = words[at : at + SLICE]
+                if len(place) > most:
+                    place.clear()
+                for word in set(some).difference(place):
+                    scores[len(place)] = word_scores(model, word)
+                    place[word] = len(place)
+                out += scores[[place[word] for word in some]].sum(axis=0)
+            return out
 
         def classify(texts: list) -> list:
-            nonlocal scores
-            found = [_words(t.lower()) if t else [] for t in texts]
-            if len(place) > CACHE_WORDS:
-                place.clear()
-            for word in set().union(*found).difference(place) if model.languages else ():
-                if len(place) == len(scores):
-                    scores = np.concatenate([scores, np.empty_like(scores)])
-                scores[len(place)] = word_scores(model, word)
-                place[word] = len(place)
             names, shares = [], []
-            for words in found:
-                if not words or not model.languages:
+            for text in texts:
+                n, sums = 0, 0.0
+                for piece in pieces(text or "") if languages else ():
+                    words = words_of(piece.lower())
+                    n, sums = n + len(words), sums + total(words)
+                if not n:
                     names.append(UNDETERMINED)
                     shares.append(0.0)
                     continue
-                mean = scores[[place[word] for word in words]].mean(axis=0)
-                weight = np.exp((mean - mean.max()) * min(len(words), evidence))
+                mean = sums / n
+                weight = np.exp((mean - mean.max()) * min(n, evidence))
                 best = int(np.argmax(weight))
-                names.append(model.languages[best])
+                names.append(languages[best])
                 shares.append(float(weight[best] / weight.sum()))
             return [pa.array(names, pa.string()), pa.array(shares, pa.float64())]
 

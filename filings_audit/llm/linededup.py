@@ -1,12 +1,12 @@
 """Line deduplication by site-relative frequency.
 
 A line that many pages of one host carry is boilerplate there. The share of a line is the number of the host's pages
-that contain it, divided by the number of the host's pages. Lines above a share are dropped from every page of
-that host. A host can't have more such lines than its mean number of lines per page divided by the share, so the
-list kept per host is short however large the host is.
+that contain it, divided by the number of the host's pages; pages with equal texts are one page. Lines above a share are
+dropped from every page of that host. A host can't have more such lines than its mean number of lines per page divided
+by the share, so the list kept per host is short however large the host is.
 
-A text with many exact or near copies on a host looks like boilerplate, too. ``drop_boilerplate_keeping_texts`` counts equal
-pages once, and of the lines of which a page would lose much it leaves one copy.
+A text with many near copies on a host looks like boilerplate, too. ``drop_boilerplate_keeping_texts`` leaves one copy of the
+lines of which a page would lose most of its text.
 """
 
 from __future__ import annotations
@@ -19,28 +19,50 @@ from pyspark.sql import functions as F
 from filings_audit.llm.common import WHITE_SPACE
 from filings_audit.session import materialize
 
+# The characters of the class as a text.
+BLANK = "".join(c for c in map(chr, range(0x3001)) if re.fullmatch(f"[{WHITE_SPACE}]", c))
+
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _trimmed(line: Column) -> Column:
+    return F.trim(line, F.lit(BLANK))
+
+
 def _digest(line: Column) -> Column:
-    """What stands for a line in shuffles: 128 bits, the same for lines that differ in spaces at their ends."""
-    return F.unhex(F.md5(F.trim(line).cast("binary")))
+    """What stands for a line in shuffles: 128 bits, the same for lines that differ in white space at their ends."""
+    return F.unhex(F.md5(_trimmed(line).cast("binary")))
+
+
+def _page(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
+
 
+def distinct_pages(docs: DataFrame, host: str, text: str) -> DataFrame:
+    """host, page (digest of the whole text) and found: digest and length of each distinct line that is not blank.
 
-def boilerplate(docs: DataFrame, share: float, pages: int, host: str = "source", text: str = "text") -> DataFrame:
+    Digests instead of texts are shuffled; copies go in every map task before. Pages without text are one page.
+    """
+    each = F.transform(
+        F.filter(_lines(F.col("text")), lambda l: _trimmed(l) != ""),
+        lambda l: F.struct(_digest(l).alias("line"), F.length(_trimmed(l)).alias("length")),
+    )
+    rows = docs.select(docs[host].alias("host"), docs[text].alias("text"))
+    rows = rows.select("host", _page(F.col("text")).alias("page"), F.array_distinct(each).alias("found"))
+    return materialize(rows.groupBy("host", "page").agg(F.first("found").alias("found")), "distinct-pages")
+
+
+def boilerplate(distinct: DataFrame, share: float, pages: int) -> DataFrame:
     """``host`` and ``lines``: digests of each host's lines on more than ``share`` of its pages and on at least ``pages``.
 
-    A null host is a host of its own. Lines of white space only are never boilerplate. Repeated rows are pages each; a
-    page without text is a page, too. Counts are partial before any shuffle, so a large host costs no more than others.
+    A null host is a host of its own. Counts are partial before any shuffle, so a large host costs no more than others.
     """
-    lines = docs.select(docs[host].alias("host"), docs[text].alias("text"))
-    totals = lines.groupBy("host").agg(F.count("*").alias("total"))
-    found = F.array_distinct(F.transform(F.filter(_lines(F.col("text")), lambda l: F.trim(l) != ""), _digest))
-    counts = lines.select("host", F.explode(found).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
+    totals = distinct.groupBy("host").agg(F.count("*").alias("total"))
+    counts = distinct.select("host", F.explode("found.line").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
     # Nearly all lines are rare: they go before the totals are joined.
-    return _above(counts, totals, share, pages)
+    return materialize(_above(counts, totals, share, pages), "boilerplate")  # its size decides whether texts are shuffled
 
 
 def _above(counts: DataFrame, totals: DataFrame, share: float, pages: int) -> DataFrame:
@@ -52,57 +74,32 @@ def _above(counts: DataFrame, totals: DataFrame, share: float, pages: int) -> Da
 
 
 def drop_boilerplate(
-    docs: DataFrame, share: float = 0.01, pages: int = 5, host: str = "source", text: str = "text"
+    docs: DataFrame, share: float = 0.1, pages: int = 2, host: str = "source", text: str = "text"
 ) -> DataFrame:
     """All columns of ``docs`` with the boilerplate lines of its host taken out of ``text``. Null texts stay null.
 
     The kept lines stand in their order, joined by line feeds. No row is dropped; a text of boilerplate only becomes empty.
-    Columns that ``docs`` has besides are carried; their names must not begin with two underscores.
+    Blank lines are never boilerplate. Columns that ``docs`` has besides are carried; their names must not begin
+    with two underscores.
     """
-    common = boilerplate(docs, share, pages, host, text).select(F.col("host").alias("__host"), F.col("lines").alias("__lines"))
-    common = materialize(common, "boilerplate")  # with its size known, texts are shuffled only if it is large
+    common = boilerplate(distinct_pages(docs, host, text), share, pages)
+    common = common.select(F.col("host").alias("__host"), F.col("lines").alias("__lines"))
     joined = docs.join(common, docs[host].eqNullSafe(F.col("__host")), "left")
     kept = F.filter(_lines(F.col(text)), lambda line: ~F.array_contains(F.col("__lines"), _digest(line)))
     cleaned = F.when(F.col("__lines").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     return joined.withColumn(text, cleaned).select(*docs.columns)
 
 
-# A page loses much if more than half of its characters go, or more than so many.
-MUCH = 200
-# The characters of the class as a text.
-_BLANK = "".join(c for c in map(chr, range(0x3001)) if re.fullmatch(f"[{WHITE_SPACE}]", c))
-
-
-def _trimmed(line: Column) -> Column:
-    return F.trim(line, F.lit(_BLANK))
-
-
-def _page(text: Column) -> Column:
-    return F.unhex(F.md5(text.cast("binary")))
-
-
 def drop_boilerplate_keeping_texts(
-    docs: DataFrame, share: float = 0.01, pages: int = 5, host: str = "source", text: str = "text"
+    docs: DataFrame, share: float = 0.1, pages: int = 2, host: str = "source", text: str = "text"
 ) -> DataFrame:
-    """As ``drop_boilerplate``, but no text is lost because a host has many copies of it.
+    """As ``drop_boilerplate``, but no text is lost because a host has many near copies of it.
 
-    Pages of a host with equal texts count as one page, in the total as well; pages without text are one, too. Where pages
-    lose more than half of their characters or more than ``MUCH``, each line they lose stays on the longest of them (of
-    equal lengths, that with the largest digest) and on its exact copies. So the longest of a group of copies stays whole,
-    and of a long menu one copy stays on a host. Lines that differ in any white space at their ends are one line.
+    Where pages lose more than half of their characters, each line they lose stays on the longest of them (of equal lengths,
+    that with the largest digest) and on its exact copies. So the longest of a group of copies stays whole. Columns as there.
     """
-    each = F.transform(
-        F.filter(_lines(F.col("text")), lambda l: _trimmed(l) != ""),
-        lambda l: F.struct(_digest(_trimmed(l)).alias("line"), F.length(_trimmed(l)).alias("length")),
-    )
-    rows = docs.select(docs[host].alias("host"), docs[text].alias("text"))
-    rows = rows.select("host", _page(F.col("text")).alias("page"), F.array_distinct(each).alias("found"))
-    # Digests instead of texts are shuffled; copies go in every map task before.
-    distinct = materialize(rows.groupBy("host", "page").agg(F.first("found").alias("found")), "distinct-pages")
-    totals = distinct.groupBy("host").agg(F.count("*").alias("total"))
-    lines = distinct.select("host", F.explode("found.line").alias("line"))
-    counts = lines.groupBy("host", "line").agg(F.count("*").alias("n"))
-    common = materialize(_above(counts, totals, share, pages), "boilerplate")
+    distinct = distinct_pages(docs, host, text)
+    common = boilerplate(distinct, share, pages)
 
     held = distinct.alias("p").join(common.alias("b"), F.col("p.host").eqNullSafe(F.col("b.host"))).select(
         "p.host", "page", "found", F.filter("found", lambda l: F.array_contains("lines", l["line"])).alias("lost")
@@ -112,7 +109,7 @@ def drop_boilerplate_keeping_texts(
         return F.aggregate(name, F.lit(0).cast("long"), lambda n, l: n + l["length"])
 
     lossy = held.select("host", "page", "lost", length("found").alias("whole"), length("lost").alias("less"))
-    lossy = lossy.where((F.col("less") > MUCH) | (2 * F.col("less") > F.col("whole")))
+    lossy = lossy.where(2 * F.col("less") > F.col("whole"))
     stays = lossy.select("host", F.explode("lost.line").alias("line"), F.struct("whole", "page").alias("at"))
     stays = stays.groupBy("host", "line").agg(F.max("at").alias("at"))
     stays = stays.groupBy("host").agg(F.collect_list(F.concat("line", "at.page")).alias("stays"))
@@ -124,8 +121,8 @@ def drop_boilerplate_keeping_texts(
     def kept(page: Column) -> Column:
         return F.filter(
             _lines(F.col(text)),
-            lambda line: ~F.array_contains("__lines", _digest(_trimmed(line)))
-            | F.array_contains("__stays", F.concat(_digest(_trimmed(line)), page)),
+            lambda line: ~F.array_contains("__lines", _digest(line))
+            | F.array_contains("__stays", F.concat(_digest(line), page)),
         )
 
     joined = docs.join(both, docs[host].eqNullSafe(F.col("__host")), "left")
@@ -136,24 +133,26 @@ def drop_boilerplate_keeping_texts(
 
 
 # What drop_boilerplate returns, in DuckDB's SQL over the table or query {docs}; hosts null or not.
-SQL = """
+_TRIM = "trim(line, " + " || ".join(f"chr({ord(c)})" for c in BLANK) + ")"
+SQL = (
+    """
 WITH pages AS (SELECT *, row_number() OVER () AS page FROM {docs}),
-lines AS (
-  SELECT page, source, i, string_split(text, chr(10))[i] AS line
-  FROM (SELECT page, source, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM pages)
-),
+cut AS (SELECT page, source, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM pages),
+lines AS (SELECT page, source, text, i, string_split(text, chr(10))[i] AS line FROM cut),
 common AS (
   SELECT t.source, line
-  FROM (SELECT source, trim(line, ' ') AS line, count(DISTINCT page) AS n FROM lines GROUP BY ALL) c
-  JOIN (SELECT source, count(*) AS total FROM pages GROUP BY source) t ON c.source IS NOT DISTINCT FROM t.source
+  FROM (SELECT source, {trim} AS line, count(DISTINCT text) AS n FROM lines GROUP BY ALL) c
+  JOIN (SELECT source, count(*) AS total FROM (SELECT DISTINCT source, text FROM pages) GROUP BY source) t
+    ON c.source IS NOT DISTINCT FROM t.source
   WHERE line <> '' AND n >= {pages} AND n > total * {share}
 ),
 kept AS (
   SELECT page, string_agg(line, chr(10) ORDER BY i) AS text
   FROM lines l
-  WHERE NOT EXISTS (SELECT 1 FROM common c WHERE c.source IS NOT DISTINCT FROM l.source AND c.line = trim(l.line, ' '))
+  WHERE NOT EXISTS (SELECT 1 FROM common c WHERE c.source IS NOT DISTINCT FROM l.source AND c.line = {trim_l})
   GROUP BY page
 )
 SELECT pages.* REPLACE (CASE WHEN pages.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text)
 FROM pages LEFT JOIN kept USING (page)
 """
+).replace("{trim}", _TRIM).replace("{trim_l}", _TRIM.replace("(line,", "(l.line,"))

@@ -3,7 +3,7 @@
 1. Every document becomes the set of the hashes of its word shingles. Documents with equal sets are one class from here on.
 2. The sketch of a set is its k smallest hashes, all from one hash function. The first few of them are keys of inverted
    lists. Linked sets share a share t of their union, so all of the first m values of the union would have to fall into
-   the rest for two linked sets to meet in no list: (1 - t)^m, 6e-9 for the defaults.
+   the rest for two linked sets to meet in no list: (1 - t)^m, 1e-7 for the defaults.
 3. Within a list the union of two sketches, cut to its k smallest values, estimates the similarity. Pairs whose estimate is
    further below the threshold than sampling explains (five standard deviations) are not looked at again. Of the
    rest a task emits a spanning forest only, so a list never emits more edges than it has members.
@@ -33,8 +33,8 @@ from filings_audit.session import materialize
 class Settings:
     """Sets are linked if 100 * intersection >= ``percent`` * union. ``block``: members of a list or group per block."""
 
-    words: int = 3
-    percent: int = 85
+    words: int = 5
+    percent: int = 80
     keys: int = 10
     sketch: int = 64
     block: int = 1024

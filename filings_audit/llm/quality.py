@@ -13,13 +13,14 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filings_audit.llm.common import held_out, map_texts, sample_by_hash
+from filings_audit.llm.common import held_out, map_texts, pieces, sample_by_hash
 
 
 @dataclass(frozen=True)
@@ -35,8 +36,7 @@ class Settings:
     seed: int = 7
 
 
-@dataclass
-class Model:
+class Model(NamedTuple):
     vectors: np.ndarray
     mean: np.ndarray
     scale: np.ndarray
@@ -45,25 +45,35 @@ class Model:
 
 
 _tokens = re.compile(r"\w+|[^\w\s]").findall
+CACHE = 32 << 20  # characters and numbers of the chunks that a task remembers
 
 
 class Buckets:
-    """Words of a batch of texts as bucket numbers."""
+    """Texts as bucket numbers. Tokens never span white space, so each distinct chunk between it is cut once."""
 
     def __init__(self, number: int):
-        self.number, self.known = number, {}
+        self.number, self.known, self.size = number, {}, 0
+
+    def _learn(self, chunks: set[str]) -> None:
+        for chunk in chunks:
+            numbers = [zlib.crc32(word.encode()) % self.number for word in _tokens(chunk)]
+            self.known[chunk] = np.array(numbers, "<i4").tobytes()
+            self.size += 150 + len(chunk) + 4 * len(numbers)
 
     def __call__(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """All bucket numbers in a row, and how many each text has."""
-        if len(self.known) > 300_000:
-            self.known.clear()
-        found = [_tokens(text) if text else [] for text in texts]
-        for word in set().union(*found).difference(self.known):
-            self.known[word] = zlib.crc32(word.encode()) % self.number
-        known = self.known.__getitem__
-        sizes = np.array([len(words) for words in found], np.int64)
-        flat = np.fromiter((known(w) for words in found for w in words), np.int64, int(sizes.sum()))
-        return flat, sizes
+        out = []
+        for text in texts:
+            own = []
+            for piece in pieces(text or ""):
+                chunks = piece.split()
+                if self.size > CACHE:
+                    self.known.clear()
+                    self.size = 0
+                self._learn(set(chunks).difference(self.known))
+                own.append(b"".join(map(self.known.__getitem__, chunks)))
+            out.append(b"".join(own))
+        return np.frombuffer(b"".join(out), "<i4"), np.array([len(numbers) // 4 for numbers in out], np.int64)
 
 
 def index_vectors(settings: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -92,7 +102,7 @@ def word_vectors(docs: DataFrame, settings: Settings = Settings(), text: str = "
             inside = np.ones(len(flat) - 1, bool)  # both neighbours in one text
             ends = np.cumsum(sizes)
             inside[ends[(ends > 0) & (ends < len(flat))] - 1] = False
-            left, right = flat[:-1][inside], flat[1:][inside]
+            left, right = flat[:-1][inside].astype(np.int64), flat[1:][inside].astype(np.int64)
             # Count pairs of buckets first: frequent pairs are added once.
             pairs, counts = np.unique(left * number + right, return_counts=True)
             left, right = pairs // number, pairs % number
@@ -199,7 +209,9 @@ def train(
     sample = F.broadcast(sample_by_hash(known, "id", settings.labelled))
     vectors = word_vectors(docs, settings, text)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
+    # Of several texts under one id one is learnt from, so the sample stays bounded.
     chosen = docs.select(docs[doc_id].alias("id"), docs[text].alias("text")).join(sample, "id")
+    chosen = chosen.groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
 
     def make():
         buckets = Buckets(settings.buckets)
@@ -231,17 +243,19 @@ def score(docs: DataFrame, model: Model | None, keep: list[str], text: str = "te
     Null and empty texts are scored as texts without words. Without a model every score is 0.5. Repeated rows
     are scored each.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # A plain tuple of arrays: an executor need not know the class of the model.
+    shared = docs.sparkSession.sparkContext.broadcast(None if model is None else tuple(model))
 
     def make():
-        model = shared.value
+        plain = shared.value
         buckets = Buckets(settings.buckets)
 
         def scores(texts: list) -> list:
-            if model is None:
+            if plain is None:
                 return [pa.array([0.5] * len(texts), pa.float64())]
-            x = np.clip((pool(*buckets(texts), model.vectors) - model.mean) / model.scale, -8, 8)
-            logits = np.clip(_logits(model.layers, x) / model.temperature, -500, 500)
+            vectors, mean, scale, layers, temperature = plain
+            x = np.clip((pool(*buckets(texts), vectors) - mean) / scale, -8, 8)
+            logits = np.clip(_logits(layers, x) / temperature, -500, 500)
             return [pa.array(1 / (1 + np.exp(-logits)), pa.float64())]
 
         return scores

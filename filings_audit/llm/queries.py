@@ -36,11 +36,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_minhash")
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Settings(words=3, percent=85))
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
-LINE_SHARE, LINE_PAGES = 0.005, 5
+# On more than a tenth of a host's distinct pages; a line of a single page is no repeat.
+LINE_SHARE, LINE_PAGES = 0.1, 2
 
 
 @query(

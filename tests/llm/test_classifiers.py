@@ -1,11 +1,13 @@
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from filings_audit.llm import langid, quality
-from filings_audit.llm.common import held_out
+from filings_audit.llm.common import held_out, pieces
 from filings_audit.llm.queries import op4_quality, op9_langid
 
 SCHEMA = "doc_id long, text string, lang string, source string, score double, lang_pred string, id string, y string"
@@ -44,7 +46,7 @@ def test_words_first_then_shorter_and_shorter_ngrams(spark):
     grams = [g for g in ("_dog", "dogx", "ogx_") if g in model.grams]
     five = [g for g in ("_dogx", "dogx_") if g in model.grams]
     assert not five and grams == ["_dog"]
-    assert np.allclose(langid.word_scores(model, "dogx"), model.gram_scores[model.grams["_dog"]])
+    assert np.allclose(langid.word_scores(model, "dogx"), langid._row(model.gram_table, model.grams["_dog"]))
 
 
 def model_total(model, language):
@@ -67,8 +69,8 @@ def test_predictions_of_odd_texts(spark):
 def test_limits_and_empty_tables(spark):
     small = trained(spark, words=3, grams=4)
     assert len(small.words) <= 6 and len(small.grams) <= 2 * 4 * len(langid.ORDERS)
-    with pytest.raises(ValueError, match="languages"):
-        trained(spark, languages=1)
+    few = trained(spark, entries=32)
+    assert len(few.words) <= 2 * 6 and len(few.grams) <= 2 * 2 * len(langid.ORDERS)
     model = langid.train(frame(spark, []))
     assert model.languages == [] and langid.predict(frame(spark, []), model, ["doc_id"]).collect() == []
     assert langid.predict(frame(spark, [(1, "a", None)]), model, ["doc_id"]).first().lang_pred == "und"
@@ -95,6 +97,77 @@ def test_labels_of_held_out_rows_are_not_learnt(spark):
     assert langid.train(frame(spark, rows)).languages == ["en"]
 
 
+def by_hand(rows, evidence=20):
+    """Language and score of every row, from the counts of the rows that are not held out."""
+
+    def cut(text):
+        low = text.lower() if text else ""
+        return "".join(c if unicodedata.category(c).startswith("L") else " " for c in low).split()
+
+    words, grams = {}, {}
+    for i, text, lang in rows:
+        if lang is None or text is None or i is None or zlib.crc32(str(i).encode()) % 5 == 0:
+            continue
+        for word in cut(text):
+            words.setdefault(lang, Counter())[word] += 1
+    languages = sorted(words)
+    for lang, counts in words.items():
+        grams[lang] = Counter()
+        for word, n in counts.items():
+            padded = f"_{word}_"
+            for order in langid.ORDERS:
+                for at in range(len(padded) - order + 1):
+                    grams[lang][padded[at : at + order]] += n
+    n_words = {lang: sum(c.values()) + 1 for lang, c in words.items()}
+    n_letters = {lang: sum(n * (len(w) + 2) for w, n in c.items()) + 1 for lang, c in words.items()}
+    known = {w for c in words.values() for w, n in c.items() if n > 1}
+    all_grams = {g for c in grams.values() for g in c}
+
+    def one(word):
+        if word in known:
+            return [np.log((words[lang][word] if words[lang][word] > 1 else 0.5) / n_words[lang]) for lang in languages]
+        padded = f"_{word}_"
+        for order in langid.ORDERS:
+            some = [padded[i : i + order] for i in range(len(padded) - order + 1)] if order > 1 else list(word)
+            some = [g for g in some if g in all_grams]
+            if some:
+                return np.mean([[np.log((grams[lang][g] or 0.5) / n_letters[lang]) for lang in languages] for g in some], axis=0)
+        return np.zeros(len(languages))
+
+    out = []
+    for i, text, _ in rows:
+        found = cut(text)
+        if not found or not languages:
+            out.append((i, "und", 0.0))
+            continue
+        mean = np.mean([one(w) for w in found], axis=0)
+        weight = np.exp((mean - mean.max()) * min(len(found), evidence))
+        out.append((i, languages[int(np.argmax(weight))], float(weight.max() / weight.sum())))
+    return out
+
+
+def test_whole_texts_against_plain_counts(spark):
+    """300 languages, numerals that are no letters, combining marks, letters of other scripts."""
+    r = np.random.default_rng(9)
+    odd = ["½ ² Ⅷ", "e\u0301te\u0301 x²y", "日本 語", "٣ ४", "ªº ʰ", "Straße ǅ", "don't", "a_b c1d", "", "𝔄𝔟 𝟙"]
+    rows = []
+    for i in range(900):
+        lang = f"l{i % 300:03d}"
+        own = [f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i % 6]}{'aeiou'[k]}" for k in range(5)]
+        rows.append((i, " ".join([*r.choice(own, 6), odd[i % 10]]), lang))
+    rows += [(900 + i, text, None) for i, text in enumerate([*odd, None, "unknown zzz", "akua akua"])] + [(None, "akua", "l000")]
+    got = langid.identify(frame(spark, rows), ["doc_id"], langid.Limits(entries=10**9)).collect()
+    wanted = by_hand(rows)
+    assert [(g.doc_id, g.lang_pred) for g in got] == [(i, lang) for i, lang, _ in wanted]
+    assert np.allclose([g.score for g in got], [score for *_, score in wanted])
+    assert {g.doc_id: g.lang_pred for g in got}[900] == "und"
+
+
+def test_results_must_not_clash_with_kept_columns(spark):
+    with pytest.raises(ValueError, match="lang_pred"):
+        langid.predict(frame(spark, []), trained(spark), ["lang_pred"])
+
+
 # Quality --------------------------------------------------------------------------------------------
 
 def corpus(n=400):
@@ -143,6 +216,33 @@ def test_word_vectors_against_plain_sums(spark):
     assert np.allclose(got, wanted, atol=1e-6)
 
 
+def test_quality_of_whole_texts_against_plain_loops(spark):
+    """Scores of every row from the model, token by token."""
+    rows, labels = corpus(60)
+    rows += [(10**6, "w1 w2!!w3\tÉté ½ x_y\n" * 30, "en"), (10**6 + 1, None, "en"), (10**6 + 2, "", "en"), (10**6 + 3, "w7" * 5000, "en")]
+    docs = frame(spark, rows)
+    model = quality.train(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    got = {r.doc_id: r.score for r in quality.score(docs, model, ["doc_id"]).collect()}
+    for i, text, _ in rows:
+        found = [zlib.crc32(w.encode()) % quality.Settings().buckets for w in quality._tokens(text or "")]
+        x = np.zeros(2 * 32)
+        if found:
+            vectors = model.vectors[found].astype(float)
+            x[:32] = vectors.mean(axis=0)
+            x[32:] = np.abs(np.diff(vectors, axis=0)).sum(axis=0) / len(found)
+        x = np.clip((x - model.mean) / model.scale, -8, 8)
+        w1, b1, w2, b2 = model.layers
+        logit = (np.maximum(x @ w1 + b1, 0) @ w2 + b2[0]) / model.temperature
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-4)
+
+
+def test_pieces_end_before_white_space():
+    text = "ab cd\u00a0efgh  i" * 50
+    for size in (1, 7, 100, 10**6):
+        some = list(pieces(text, size))
+        assert "".join(some) == text and sum((p.split() for p in some), []) == text.split()
+
+
 def test_pool_and_temperature():
     vectors = np.array([[1.0, 0.0], [0.0, 2.0]], np.float32)
     pooled = quality.pool(np.array([0, 1, 1, 0]), np.array([2, 0, 1, 1]), vectors)

@@ -45,3 +45,15 @@ def test_any_white_space_at_the_ends_of_a_line(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     found = linededup.drop_boilerplate_keeping_texts(docs, 0.5, 5).collect()
     assert {r.doc_id: r.text for r in found} == {i: f"\r\nown {i}\r" for i in range(10)}
+    got, wanted = both(spark, rows, 0.5, 2)
+    assert got == wanted and dict(got)[7] == "\r\nown 7\r"
+
+
+def test_copies_are_one_page(spark):
+    """Six copies of a text on a host of 50 pages are one page in fifty; a menu on all of four pages goes."""
+    text = "\n".join(f"sentence {i} of the text" for i in range(20))
+    rows = [(i, text, "a") for i in range(6)] + [(100 + i, f"page {i}", "a") for i in range(50)]
+    rows += [(200 + i, f"menu\nown {i}", "b") for i in range(4)]
+    got, wanted = both(spark, rows, 0.1, 2)
+    texts = dict(got)
+    assert got == wanted and texts[3] == text and [texts[200 + i] for i in range(4)] == [f"own {i}" for i in range(4)]

@@ -9,17 +9,17 @@ from filings_audit.llm.components import components
 from filings_audit.llm.queries import op1_minhash
 
 
-def shingle_set(text):
+def shingle_set(text, size=3):
     lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
     if not words:
         return frozenset()
-    return frozenset(tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2)))
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1)))
 
 
-def by_hand(rows):
+def by_hand(rows, size=3, percent=85):
     """(doc_id, set size, smallest id of the component), comparing all pairs of sets that share a shingle."""
-    ids, sets = [i for i, _ in rows], [shingle_set(t) for _, t in rows]
+    ids, sets = [i for i, _ in rows], [shingle_set(t, size) for _, t in rows]
     parent = list(range(len(rows)))
 
     def root(x):
@@ -38,7 +38,7 @@ def by_hand(rows):
                 pair = members[b], members[a]
                 common[pair] = common.get(pair, 0) + 1
     for (a, b), n in common.items():
-        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
             parent[root(a)] = root(b)
     least = {}
     for x in range(len(rows)):
@@ -49,7 +49,7 @@ def by_hand(rows):
 
 def found(spark, rows, **settings):
     docs = spark.createDataFrame([(i, t, "a", 1) for i, t in rows], "doc_id long, text string, sketch string, u int")
-    result = neardup.near_duplicates(docs.repartition(3), neardup.Settings(**settings))
+    result = neardup.near_duplicates(docs.repartition(3), neardup.Settings(**{"words": 3, "percent": 85} | settings))
     return sorted(tuple(r) for r in result.collect())
 
 
@@ -99,7 +99,7 @@ def test_repeated_rows_and_null_ids(spark):
     assert found(spark, rows) == by_hand(rows)
     docs = spark.createDataFrame([(None, text), (7, text)], "doc_id long, text string")
     got = {tuple(r) for r in neardup.near_duplicates(docs).collect()}
-    assert got == {(None, 48, None), (7, 48, 7)}
+    assert got == {(None, 46, None), (7, 46, 7)}  # five words by default
 
 
 def test_different_texts_under_one_id(spark):
@@ -133,3 +133,13 @@ def test_query(spark, sf_dir):
     got = op1_minhash(spark, sf_dir).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == by_hand(docs)
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
+def test_defaults_are_five_words_and_80_percent(spark):
+    """A block of new text in a copy: between 0.80 and 0.85 by five words, and just below 0.80."""
+    base = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join([*base[:200], *[f"new{i}x{j}" for j in range(n)], *base[200:]])) for i, n in ((2, 80), (3, 90), (4, 105))]
+    rows += [(1, " ".join(base)), (9, "unlike " * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in neardup.near_duplicates(docs).collect())
+    assert got == by_hand(rows, 5, 80) and [c for *_, c in got] == [1, 1, 1, 4, 9]
