@@ -8,18 +8,17 @@ from pyspark.sql import functions as F
 from filings_audit.functions.identity import md5_mod
 from filings_audit.functions.scores import decimal_text
 
+# What the rule has found: growth above its limit while operations lose cash.
 RULE_TEXTS = [
-    "Revenue is growing fast on negative operating cash flow; check recognition under ASC 606.",
-    "Growth above 20% comes with cash outflow from operations; review internal controls under SOX 404.",
-    "Reported growth is not backed by cash; reconcile the balance sheet.",
+    "Sales rose by more than a fifth while operations used up cash.",
+    "Operating cash flow is below zero in a period of growth above the 20% limit; ask what has been collected.",
 ]
-# Numbers of a message, in the order they are measured: growth, sigma, ratio, score.
+# What the model has found. Numbers of a message: growth, sigma, ratio, score.
 MODEL_TEXTS = [
-    "Revenue growth of {growth}% lies {sigma} standard deviations from the mean.",
-    "A cash flow ratio of {ratio} is unusual next to growth of {growth}%.",
-    "Growth of {growth}% and a cash flow ratio of {ratio} point in different directions.",
-    "The record isolates quickly (score {score}) with a cash flow ratio of {ratio}.",
-    "The record stands apart from its peers: score {score}, {sigma} standard deviations.",
+    "Score {score}: few random splits part this filing from the others.",
+    "Growth is {sigma} standard deviations away from that of other filings ({growth}%).",
+    "Cash flow ratio {ratio} at growth of {growth}% is a rare pair of values.",
+    "Anomaly score {score} with growth of {growth}% and a cash flow ratio of {ratio}.",
 ]
 
 

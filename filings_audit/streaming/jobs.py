@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +11,7 @@ from filings_audit.operators import masking
 from filings_audit.operators.keyed import latest_per_key
 from filings_audit.operators.masking import MaskingConfig
 from filings_audit.schemas import PII_LOG
+from filings_audit.session import path_exists
 from filings_audit.sinks import gold
 from filings_audit.sources import index_files
 from filings_audit.sources.tables import read_or_empty
@@ -71,33 +72,76 @@ def score_stream(
 
 
 def deduplicate_stream(
-    stream: DataFrame, key: list[str], time: str, out: str, checkpoint: str
+    stream: DataFrame, key: list[str], time: str, out: str, checkpoint: str, days: int = 1
 ) -> None:
     """ST5: one row of each key and day of ``time``; the first that arrives stays, however late it is.
 
-    The table is the state: a micro-batch is compared with what is stored for its own days, so no row is too late and
-    nothing has to be forgotten. Repeats within a batch go first, in every map task before the shuffle, so a key that
-    fills a third of the stream costs one row per task. A replayed batch replaces its own folder.
+    Rows in time, no more than ``days`` older than the newest row of earlier micro-batches, pass through a state store that
+    forgets a key when the watermark has passed it; a day of a key is over by then. Late rows, and rows without time,
+    are compared with the stored rows of their own days instead, so nothing is lost; a micro-batch without any reads no
+    stored row. Repeats within a batch go first, in every map task before the shuffle, so a key that fills a third of
+    the stream costs one row per task. A replayed batch replaces its own folders.
     """
-
-    def write(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        names = [*key, "__day"]
+    if days < 1:
+        raise ValueError("a key must be remembered for a day at least")
+    spark = stream.sparkSession
+    names, moment = [*key, "__day"], F.unix_micros(F.col(time).cast("timestamp"))
+
+    def put(rows: DataFrame, path: str, *folders: str) -> None:
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*folders).parquet(path)
+
+    def split(batch: DataFrame, epoch: int) -> None:
+        seen = read_or_empty(spark, f"{out}/newest", _NEWEST).filter(F.col("__epoch") < epoch)
+        newest = seen.agg(F.max("moment")).first()[0]  # one number per micro-batch
+        late = moment <= newest - days * 86_400_000_000 if newest is not None else F.lit(False)
         rows = batch.withColumn("__day", F.coalesce(F.to_date(time).cast("string"), F.lit("none")))
         single = latest_per_key(rows, names, F.asc(time), *[F.asc(c) for c in batch.columns if c not in (*key, time)])
-        days = [r["__day"] for r in rows.select("__day").distinct().collect()]  # calendar days
-        stored = _read_deduplicated(spark, out, batch.schema).filter(F.col("__day").isin(days) & (F.col("__epoch") != epoch))
-        same = [single[c].eqNullSafe(stored[c]) for c in names]
-        fresh = single.join(stored.select(*names), same, "left_anti")
-        fresh.write.mode("overwrite").partitionBy("__day").parquet(f"{out}/__epoch={epoch}")
+        single = single.withColumns({"__late": F.coalesce(late, F.lit(True)) | F.col(time).isNull(), "__epoch": F.lit(epoch).cast("long")})
+        met = Observation()
+        put(single.observe(met, F.count_if("__late").alias("late"), F.max(moment).alias("newest")), f"{out}/arrived", "__late", "__epoch", "__day")
+        if met.get["late"]:
+            arrived = read_or_empty(spark, f"{out}/arrived", _stored(batch.schema, "__late"))
+            fresh = arrived.filter(F.col("__late") & (F.col("__epoch") == epoch)).drop("__late")
+            wanted = [r["__day"] for r in fresh.select("__day").distinct().collect()]  # calendar days
+            before = arrived.filter(~F.col("__late") & (F.col("__epoch") <= epoch)).select(*names)
+            stored = _late(spark, out, batch.schema).filter(F.col("__epoch") != epoch).select(*names)
+            put(_without(fresh, before.unionByName(stored).filter(F.col("__day").isin(wanted)), names), f"{out}/late", "__epoch", "__day")
+        row = spark.createDataFrame([(epoch, met.get["newest"])], _NEWEST)
+        put(row, f"{out}/newest", "__epoch")
 
-    drain(stream.writeStream.foreachBatch(write), "", checkpoint)
+    def keep(batch: DataFrame, epoch: int) -> None:
+        rows = batch.drop("__epoch").withColumn("__epoch", F.lit(epoch).cast("long"))
+        if path_exists(spark, f"{out}/late"):  # a late row may have come before the first in time
+            rows = _without(rows, _late(spark, out, stream.schema), names)
+        put(rows, f"{out}/kept", "__epoch", "__day")
+
+    drain(stream.writeStream.foreachBatch(split), "", f"{checkpoint}/split")
+    if path_exists(spark, f"{out}/arrived/__late=false"):
+        source = spark.readStream.schema(_stored(stream.schema)).option("maxFilesPerTrigger", 1000)
+        in_time = source.parquet(f"{out}/arrived/__late=false").withWatermark(time, f"{days} days")
+        drain(in_time.dropDuplicatesWithinWatermark(names).writeStream.foreachBatch(keep), "", f"{checkpoint}/state")
+
+
+_NEWEST = T.StructType([T.StructField("__epoch", T.LongType()), T.StructField("moment", T.LongType())])
+
+
+def _stored(schema: T.StructType, *flags: str) -> T.StructType:
+    extra = [T.StructField("__day", T.StringType()), T.StructField("__epoch", T.LongType())]
+    return T.StructType([*schema.fields, *extra, *(T.StructField(f, T.BooleanType()) for f in flags)])
+
+
+def _without(rows: DataFrame, known: DataFrame, names: list[str]) -> DataFrame:
+    other = known.select(*[F.col(c).alias(f"__known{i}") for i, c in enumerate(names)])
+    same = [rows[c].eqNullSafe(other[f"__known{i}"]) for i, c in enumerate(names)]
+    return rows.join(other, same, "left_anti")
 
 
-def _read_deduplicated(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
-    return read_or_empty(spark, out, T.StructType([*schema.fields, T.StructField("__day", T.StringType()), T.StructField("__epoch", T.LongType())]))
+def _late(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    return read_or_empty(spark, f"{out}/late", _stored(schema))
 
 
 def read_deduplicated(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
     """What ``deduplicate_stream`` has kept so far."""
-    return _read_deduplicated(spark, out, schema).select(*schema.names)
+    kept = read_or_empty(spark, f"{out}/kept", _stored(schema))
+    return kept.unionByName(_late(spark, out, schema)).select(*schema.names)

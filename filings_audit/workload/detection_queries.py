@@ -53,6 +53,32 @@ def score_quantiles(spark, sf_dir):
     return reduce(DataFrame.unionByName, found)
 
 
+@query("quarter_quantiles", f"""
+WITH {oracle.FILINGS}, v AS (
+  SELECT year(filing_date) * 4 + quarter(filing_date) AS q, CAST(revenue_usd AS DOUBLE) / 7 AS v FROM filings),
+steps AS (SELECT DISTINCT q AS upto FROM v WHERE q >= (SELECT max(q) - 1 FROM v))
+""" + " UNION ALL ".join(
+    f"SELECT upto - (SELECT max(q) FROM v) AS step, {q}::DOUBLE AS share, quantile_cont(v, {q}) AS threshold FROM steps, v WHERE q <= upto GROUP BY upto"
+    for q in ("0.01", "0.5", "0.999")))
+def quarter_quantiles(spark, sf_dir):
+    """A8 over a table that grows by a quarter: its sketches are stored, and the new quarter's is made from itself alone."""
+    path = new_dir(configure(spark), "quarters")
+    rows = star_schema.filings(spark, sf_dir, growth=False).select(
+        (F.year("filing_date") * 4 + F.quarter("filing_date")).alias("quarter"), (F.col("revenue_usd").cast("double") / 7).alias("v"))
+    rows = materialize(rows, "values")
+    last = rows.agg(F.max("quarter")).first()[0]
+    found = []
+    for step in (-1, 0):
+        upto = last + step
+        new = rows.filter(F.col("quarter") <= upto if step else F.col("quarter") == upto)
+        detection.sketches(new, "v", ["quarter"]).write.mode("append").parquet(path)
+        stored = spark.read.parquet(path)
+        for share in (0.01, 0.5, 0.999):
+            one = detection.quantile(rows.filter(F.col("quarter") <= upto), "v", share, stored)
+            found.append(one.select(F.lit(step).cast("long").alias("step"), F.lit(share).alias("share"), "threshold"))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("threshold_flag", f"""
 WITH {oracle.triage(0.08)} SELECT id, ml_anomaly_flag FROM triage""")
 def threshold_flag(spark, sf_dir):
@@ -158,6 +184,29 @@ def iforest_check(spark, sf_dir):
         both.filter("one != two").agg(F.count("*")).scalar().alias("scores_that_depend_on_partitions"))
 
 
+@query("iforest_contributions", """
+SELECT count(*) + 2 AS records, 0::BIGINT AS sums_that_differ, 2::BIGINT AS planted_found, true AS flagged_are_shallower FROM orders""")
+def iforest_contributions(spark, sf_dir):
+    """F17, T8 from the model: contributions add up to the difference in depth; of two planted records each leads by its own feature."""
+    rows = _forest_input(spark, sf_dir).select("id", "vector")
+    mean = rows.agg(F.avg(F.col("vector")[0]).alias("a"), F.avg(F.col("vector")[1]).alias("b"), F.max(F.abs(F.col("vector")[0])).alias("x"),
+                    F.max(F.abs(F.col("vector")[1])).alias("y"))
+    planted = mean.select(F.explode(F.array(
+        F.struct(F.lit(medallion.LIVE_FEATURES[0]).alias("id"), F.array(F.col("x") * 3 + 1, F.col("b")).alias("vector")),
+        F.struct(F.lit(medallion.LIVE_FEATURES[1]).alias("id"), F.array(F.col("a"), F.col("y") * 3 + 1).alias("vector")))).alias("r"))
+    rows = materialize(rows.unionByName(planted.select("r.id", "r.vector")), "planted")
+    scored, model = forest.fit_and_score(rows, "id", "vector")
+    told = materialize(forest.contributions(scored, model, "vector", medallion.LIVE_FEATURES), "contributions")
+    total = F.aggregate(F.map_values("contributions"), F.lit(0.0), lambda a, x: a + x)
+    depth = -F.log2(-F.col("ml_raw_score")) * model.scale
+    leading = forest.leading_feature(F.col("contributions"))
+    flagged = detection.flag_below_quantile(told, contamination=0.01)
+    return flagged.agg(
+        F.count("*").alias("records"), F.count_if(F.abs(total - (depth - model.mean_depth)) > 1e-9).alias("sums_that_differ"),
+        F.count_if(F.col("id") == leading).alias("planted_found"),
+        (F.max(F.when(F.col("ml_anomaly_flag"), total)) < 0).alias("flagged_are_shallower"))
+
+
 @query("iforest_embeddings")
 def iforest_embeddings(spark, sf_dir):
     """As many features as the vectors have."""

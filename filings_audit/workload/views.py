@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filings_audit.functions import scores, shaping
-from filings_audit.operators import keyed, triage
+from filings_audit.operators import keyed, search, triage
 from filings_audit.operators.triage import TriageFilter
 from filings_audit.plans import reads
 from filings_audit.session import configure, new_dir
@@ -202,6 +203,20 @@ def _filter_query(name: str, wanted: TriageFilter, condition: str):
         return rows.select("id", "company_name", F.date_format("filing_date", "yyyy-MM-dd").alias("filing_date"))
 
 
+SEARCHES = ["Customer#00000001", "0#", "%", "_", "9", "#00000012", "no such name", "r#000000"]
+
+
+@query("search_index", f"WITH {oracle.triage()}, searches AS (SELECT unnest({SEARCHES!r}) AS wanted) "
+       "SELECT wanted, id, company_name FROM triage, searches WHERE contains(lower(company_name), lower(wanted))")
+def search_index(spark, sf_dir):
+    """P13 by the inverted table: long and short texts, literal wildcards, texts that no name holds."""
+    table = published(spark, sf_dir)
+    path = new_dir(spark, "search")
+    search.write_index(table, path)
+    found = [search.search(table, path, text).select(F.lit(text).alias("wanted"), "id", "company_name") for text in SEARCHES]
+    return reduce(DataFrame.unionByName, found)
+
+
 _SPAN = (date(1997, 3, 15), date(1998, 6, 30))
 _IN_SPAN = "filing_date BETWEEN DATE '1997-03-15' AND DATE '1998-06-30'"
 _filter_query("search_company", TriageFilter(search="CUSTOMER#00000001"), "contains(lower(company_name), 'customer#00000001')")

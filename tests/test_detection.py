@@ -140,3 +140,29 @@ def test_a_hot_key_is_split_in_the_join(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("kind", ["plain", "ties", "few", "one"])
+def test_quantiles_from_sketches_are_exact(spark, monkeypatch, kind):
+    monkeypatch.setattr(detection, "LAST_VALUES", 60)
+    monkeypatch.setattr(detection, "SKETCH", 64)
+    monkeypatch.setattr(detection, "MARGIN", 0.02)  # below the error of so small a sketch: bounds must be widened
+    r = np.random.default_rng(5)
+    values = {"plain": r.normal(size=20_000), "ties": np.round(r.normal(size=20_000) * 4), "few": np.array([3.0, -1.0, 2.0]), "one": np.full(9000, 7.0)}[kind]
+    rows = [(float(v),) for v in values] + [(None,), (float("nan"),)]
+    frame = spark.createDataFrame(rows, "v double").repartition(6).cache()
+    for share in (0.0, 0.01, 0.5, 0.77, 1.0):
+        found = detection.quantile(frame, "v", share).first()[0]
+        assert found == pytest.approx(np.quantile(values, share), abs=1e-12), share
+    assert detection.quantile(frame.limit(0), "v", 0.5).first()[0] is None
+
+
+def test_a_new_partition_adds_its_own_sketch(spark):
+    r = np.random.default_rng(6)
+    frame = spark.createDataFrame([(i % 3, float(v)) for i, v in enumerate(r.normal(size=9000))], "q int, v double").cache()
+    stored = detection.sketches(frame.filter("q < 2"), "v", ["q"]).unionByName(detection.sketches(frame.filter("q = 2"), "v", ["q"]))
+    assert sorted((row.q, row.n) for row in stored.collect()) == [(0, 3000), (1, 3000), (2, 3000)]
+    for upto in (1, 2):
+        some = frame.filter(F.col("q") <= upto)
+        wanted = np.quantile([row.v for row in some.collect()], 0.08)
+        assert detection.quantile(some, "v", 0.08, stored.filter(F.col("q") <= upto)).first()[0] == pytest.approx(wanted, abs=1e-12)

@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -114,3 +118,65 @@ def test_depths_average_to_the_score(spark, table):
 def test_missing_features_count_as_zero(one):
     row = one((None, float("nan"), 2), "a double, b double, c int", v=forest.feature_vector(["a", "b", "c"]))
     assert row["v"] == [0.0, 0.0, 2.0]
+
+
+def test_contributions_add_up_and_name_what_is_odd(table):
+    names = ["revenue_growth", "operating_cash_flow", "leverage"]
+    scored, model = forest.fit_and_score(table, "id", "vector", PARAMS)
+    told = forest.contributions(scored, model, "vector", names).withColumn("lead", forest.leading_feature(F.col("contributions")))
+    rows = {r.id: r for r in told.collect()}
+    for r in rows.values():
+        depth = -np.log2(-r.ml_raw_score) * model.scale
+        assert sum(r.contributions.values()) == pytest.approx(depth - model.mean_depth, abs=1e-9)
+    assert rows["out2"].lead in ("revenue_growth", "operating_cash_flow") and rows["out3"].lead != "revenue_growth"
+    # By hand for one record: the nodes on its path in every tree.
+    nodes = forest.fit(table, "id", "vector", PARAMS).toPandas()
+    point, total = rows["out1"].vector, np.zeros(3)
+    for _, tree in nodes.groupby("tree"):
+        tree = tree.set_index("node")
+
+        def mean(at):
+            n = tree.loc[at]
+            if n.feature < 0:
+                return n.path
+            a, b = int(n.left), int(n.right)
+            return (tree.loc[a].points * mean(a) + tree.loc[b].points * mean(b)) / n.points
+
+        at = 0
+        while tree.loc[at].feature >= 0:
+            n = tree.loc[at]
+            after = int(n.left if point[int(n.feature)] <= n.threshold else n.right)
+            total[int(n.feature)] += mean(after) - mean(at)
+            at = after
+    assert np.allclose(total / PARAMS.trees, [rows["out1"].contributions[n] for n in names], atol=1e-9)
+
+
+SCRIPT = """
+import sys
+sys.path.insert(0, {repo!r})  # of the driver alone
+from filings_audit.session import build_session
+from filings_audit.operators import forest
+spark = build_session("alone", "local[2]", {{"spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false"}})
+probe = spark.range(1).select(forest.F.lit(1)).mapInPandas(lambda b: ([__import__("pandas").DataFrame({{"n": [int(bool(__import__("importlib.util").util.find_spec("filings_audit")))]}})]), "n int")
+assert probe.first()[0] == 0, "the workers see the package"
+rows = spark.range(400).selectExpr("string(id) AS id", "array(double(id), double(id % 7)) AS vector")
+scored, model = forest.fit_and_score(rows, "id", "vector", forest.ForestParams(trees=5, sample_size=32))
+told = forest.contributions(scored, model, "vector", ["a", "b"])
+assert told.filter("ml_raw_score < 0 AND size(contributions) = 2").count() == 400
+assert forest.tree_depths(rows, "id", model, "vector").count() == 2000
+{more}
+print("done")
+"""
+
+
+def run_alone(tmp_path, more=""):
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "alone.py"
+    script.write_text(SCRIPT.format(repo=repo, more=more))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "done" in done.stdout, done.stderr[-3000:]
+
+
+def test_executors_need_not_have_the_package(tmp_path):
+    run_alone(tmp_path)

@@ -168,6 +168,26 @@ def test_deduplicated_stream(spark):
     assert kept.columns == frame.columns
 
 
+def test_deduplicated_stream_with_late_rows(spark):
+    """Late rows of new keys stay, those of known keys go; a key that came late first goes when it comes in time again."""
+    work = new_dir(spark, "s")
+    at = lambda day, hour: datetime(2024, 1, day, hour)
+    batches = [
+        [("a", at(1, 1), 1), ("b", at(1, 2), 2), ("none", None, 3)],
+        [("c", at(9, 1), 4), ("a", at(9, 2), 5)],
+        [("a", at(1, 3), 6), ("late", at(1, 4), 7), ("c", at(9, 5), 8), ("none", None, 9), (None, at(2, 1), 10)],
+        [("late", at(1, 5), 11), (None, at(2, 3), 12), ("edge", at(8, 1), 13)],
+        [("edge", at(8, 2), 14), ("c", at(9, 9), 15), ("d", at(9, 9), 16), ("edge", at(8, 23), 17)],
+    ]
+    schema = "k string, ts timestamp, n int"
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{work}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{work}/in")
+        jobs.deduplicate_stream(stream, ["k"], "ts", f"{work}/out", f"{work}/checkpoint")
+    found = jobs.read_deduplicated(spark, f"{work}/out", spark.createDataFrame([], schema).schema)
+    assert sorted(r.n for r in found.collect()) == [1, 2, 3, 4, 5, 7, 10, 13, 16]
+
+
 # Registered queries ---------------------------------------------------------------------------------
 
 def test_entry(spark):
