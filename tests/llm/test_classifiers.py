@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from filings_audit.llm import langid, quality
 from filings_audit.llm.common import held_out, pieces
 from filings_audit.llm.queries import op4_quality, op9_langid
+from tests.test_forest import run_alone
 
 SCHEMA = "doc_id long, text string, lang string, source string, score double, lang_pred string, id string, y string"
 
@@ -257,3 +258,13 @@ def test_held_out_quality(spark, sf_dir):
     assert found.where("predicted != int(score >= 0.3)").count() == 0
     rows = found.join(labels, "doc_id").collect()
     assert np.mean([r.predicted == r.quality for r in rows]) > 0.9
+
+
+def test_executors_need_not_have_the_package(tmp_path):
+    run_alone(tmp_path, """
+from filings_audit.llm import langid, quality
+texts = spark.range(200).selectExpr("id AS doc_id", "CASE WHEN id % 2 = 0 THEN 'the cat sat' ELSE 'der hund lief' END AS text", "CASE WHEN id % 2 = 0 THEN 'en' ELSE 'de' END AS lang")
+assert langid.identify(texts, ["doc_id"]).where("lang_pred IN ('en', 'de')").count() == 200
+labels = texts.selectExpr("doc_id", "int(doc_id % 2) AS quality")
+assert quality.score(texts, quality.train(texts, labels), ["doc_id"]).where("score BETWEEN 0 AND 1").count() == 200
+""")
