@@ -8,7 +8,6 @@ any adds the mean over those it knows. The model holds a bounded number of words
 from __future__ import annotations
 
 import re
-import sys
 from dataclasses import dataclass
 from typing import NamedTuple
 
@@ -17,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filings_audit.llm.common import held_out, map_texts, once, pieces
+from filings_audit.llm.common import held_out, map_texts, pieces
 from filings_audit.session import materialize
 
 UNDETERMINED = "und"
@@ -138,15 +137,17 @@ def _most_frequent(counts: DataFrame, group: list[str], most: int) -> pa.Table:
     return counts.withColumn("rank", rank).where(F.col("rank") <= most).select("lang", "word", "n").toArrow()
 
 
-def _numerals() -> str:
-    """Characters that count as part of a word in Python's patterns and are no letters: numerals such as halves and Roman ones."""
-    found = (chr(c) for c in range(sys.maxunicode + 1) if chr(c).isalnum() and not chr(c).isalpha() and not chr(c).isdecimal())
-    return "".join(found)
+_words = re.compile(r"[^\W\d_]+").findall
 
 
-def letters_of():
-    """A function from a text to its runs of letters, the characters of Unicode's categories L."""
-    return once("letters", lambda: re.compile(rf"[^\W\d_{_numerals()}]+")).findall
+def letters_of(text: str) -> list[str]:
+    """Runs of letters, the characters of Unicode's categories L. What the pattern takes besides are numerals such as halves
+    and Roman ones, at which its words are cut again."""
+    found = _words(text)
+    if text.isascii() or all(map(str.isalpha, odd := set(found))):
+        return found
+    cut = {word: "".join(c if c.isalpha() else " " for c in word).split() for word in odd if not word.isalpha()}
+    return [part for word in found for part in cut.get(word, (word,))]
 
 
 def _row(table: Table | tuple, entry: int) -> np.ndarray:
@@ -184,7 +185,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text",
     shared = docs.sparkSession.sparkContext.broadcast(tuple(plain))
 
     def make():
-        model, words_of = shared.value, letters_of()
+        model = shared.value
         languages = model[0]
         most = max(2048, min(CACHE_WORDS, CACHE_NUMBERS // max(1, len(languages))))
         scores = np.empty((most + SLICE, max(1, len(languages))))
@@ -208,7 +209,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text",
             for text in texts:
                 n, sums = 0, 0.0
                 for piece in pieces(text or "") if languages else ():
-                    words = words_of(piece.lower())
+                    words = letters_of(piece.lower())
                     n, sums = n + len(words), sums + total(words)
                 if not n:
                     names.append(UNDETERMINED)
