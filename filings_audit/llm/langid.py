@@ -140,14 +140,10 @@ def _most_frequent(counts: DataFrame, group: list[str], most: int) -> pa.Table:
 _words = re.compile(r"[^\W\d_]+").findall
 
 
-def letters_of(text: str) -> list[str]:
-    """Runs of letters, the characters of Unicode's categories L. What the pattern takes besides are numerals such as halves
-    and Roman ones, at which its words are cut again."""
-    found = _words(text)
-    if text.isascii() or all(map(str.isalpha, odd := set(found))):
-        return found
-    cut = {word: "".join(c if c.isalpha() else " " for c in word).split() for word in odd if not word.isalpha()}
-    return [part for word in found for part in cut.get(word, (word,))]
+def letters_of(word: str) -> list[str]:
+    """The runs of letters, the characters of Unicode's categories L, in what the pattern takes for a word: it also takes
+    numerals such as halves and Roman ones."""
+    return "".join(c if c.isalpha() else " " for c in word).split()
 
 
 def _row(table: Table | tuple, entry: int) -> np.ndarray:
@@ -191,26 +187,32 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text",
         scores = np.empty((most + SLICE, max(1, len(languages))))
         place: dict[str, int] = {}
 
-        def total(words: list[str]) -> np.ndarray:
-            """The sum of the words' scores, some words at a time."""
-            out = np.zeros(len(languages))
+        def total(words: list[str]) -> tuple[int, np.ndarray]:
+            """How many words there are, and the sum of their scores, some at a time."""
+            n, out = 0, np.zeros(len(languages))
             for at in range(0, len(words), SLICE):
                 some = words[at : at + SLICE]
                 if len(place) > most:
                     place.clear()
-                for word in set(some).difference(place):
+                new = set(some).difference(place)
+                cut = {word: letters_of(word) for word in new if not word.isalpha()}
+                if cut:  # such words have no scores themselves, so they are always new
+                    some = [part for word in some for part in cut.get(word, (word,))]
+                    new = set(some).difference(place)
+                for word in new:
                     scores[len(place)] = word_scores(model, word)
                     place[word] = len(place)
-                out += scores[[place[word] for word in some]].sum(axis=0)
-            return out
+                rows = np.fromiter(map(place.__getitem__, some), np.intp, len(some))
+                n, out = n + len(some), out + scores.take(rows, axis=0).sum(axis=0)
+            return n, out
 
         def classify(texts: list) -> list:
             names, shares = [], []
             for text in texts:
                 n, sums = 0, 0.0
                 for piece in pieces(text or "") if languages else ():
-                    words = letters_of(piece.lower())
-                    n, sums = n + len(words), sums + total(words)
+                    more, part = total(_words(piece.lower()))
+                    n, sums = n + more, sums + part
                 if not n:
                     names.append(UNDETERMINED)
                     shares.append(0.0)
