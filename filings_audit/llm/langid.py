@@ -154,18 +154,30 @@ def _row(table: Table | tuple, entry: int) -> np.ndarray:
     return out
 
 
-def word_scores(model: Model | tuple, word: str) -> np.ndarray:
-    """Log frequency of a word in each language, by the backoff."""
+def _rows(table: Table | tuple):
+    """A function from numbers of entries to their rows; a table that is small when written out is written out."""
+    lacking, starts, places, values = table
+    n = len(starts) - 1
+    if n * len(lacking) > CACHE_NUMBERS:
+        return lambda entries: np.stack([_row(table, entry) for entry in entries])
+    whole = np.tile(lacking, (n, 1))
+    whole[np.repeat(np.arange(n), np.diff(starts)), places] = values
+    return lambda entries: whole[entries]
+
+
+def word_scores(model: Model | tuple, word: str, read: tuple | None = None) -> np.ndarray:
+    """Log frequency of a word in each language, by the backoff. ``read``: ``_rows`` of both tables, if at hand."""
     languages, words, word_table, grams, gram_table = model
+    read_words, read_grams = read or (_rows(word_table), _rows(gram_table))
     known = words.get(word)
     if known is not None:
-        return _row(word_table, known)
+        return read_words([known])[0]
     padded = f"_{word}_"
     for order in ORDERS:
         cut = [padded[i : i + order] for i in range(len(padded) - order + 1)] if order > 1 else word  # "_" tells nothing
-        rows = [_row(gram_table, grams[g]) for g in cut if g in grams]
-        if rows:
-            return np.mean(rows, axis=0)
+        entries = [grams[g] for g in cut if g in grams]
+        if entries:
+            return read_grams(entries).mean(axis=0)
     return np.zeros(len(languages))
 
 
@@ -182,7 +194,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text",
 
     def make():
         model = shared.value
-        languages = model[0]
+        languages, read = model[0], (_rows(model[2]), _rows(model[4]))
         most = max(2048, min(CACHE_WORDS, CACHE_NUMBERS // max(1, len(languages))))
         scores = np.empty((most + SLICE, max(1, len(languages))))
         place: dict[str, int] = {}
@@ -200,7 +212,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text",
                     some = [part for word in some for part in cut.get(word, (word,))]
                     new = set(some).difference(place)
                 for word in new:
-                    scores[len(place)] = word_scores(model, word)
+                    scores[len(place)] = word_scores(model, word, read)
                     place[word] = len(place)
                 rows = np.fromiter(map(place.__getitem__, some), np.intp, len(some))
                 n, out = n + len(some), out + scores.take(rows, axis=0).sum(axis=0)
