@@ -4,7 +4,8 @@ For each dimension a block of vectors has a list sorted by that component. The l
 query's sign favours. What has been read gives each vector a lower bound (unread components count as the worst of
 their list) and an upper bound (they count as the last value read). Reading stops for a query once few vectors remain
 whose upper bound reaches the k-th best lower bound; their scores are then resolved. Bounds of many queries are two
-matrix products.
+matrix products. Where components are so large that these would round, each bound is widened by the most that it can
+have been rounded, and scores are resolved in whole numbers of any size: results are exact for all longs.
 
 Vectors and queries are dealt into blocks, and every block of queries meets every block of vectors once, in a task
 of bounded size. Only k rows per query leave it.
@@ -42,9 +43,8 @@ def _bounds(lists: np.ndarray, order: np.ndarray, depth: int, x_shape: tuple, re
 def best(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, int, int]]:
     """(query id, id, score) of the k best vectors other than the query's own id, ties by the smaller id."""
     n, width = x.shape
-    largest = int(np.abs(x).max(initial=0)) * int(np.abs(queries).max(initial=0)) * max(1, width)
-    if largest >= 2**53:
-        return _best_of_large(ids, x, query_ids, queries, k)
+    largest = _largest(x) * _largest(queries) * max(1, width)
+    rounds = largest >= 2**53
     kind = np.float32 if largest < 2**24 else np.float64  # sums stay exact
     order = np.argsort(x, axis=0, kind="stable")
     rising = np.take_along_axis(x, order, axis=0).astype(kind)
@@ -61,6 +61,9 @@ def best(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndar
             q = queries[waiting].astype(kind)
             plus, minus = np.maximum(q, 0).T, np.minimum(q, 0).T
             upper, lower = up_high @ plus + down_high @ minus, up_low @ plus + down_low @ minus
+            if rounds:
+                upper += _rounding(up_high, down_high, plus, minus)
+                lower -= _rounding(up_low, down_low, plus, minus)
             own = ids[:, None] == query_ids[waiting][None, :]
             upper[own] = lower[own] = -np.inf
             place = max(0, n - k)
@@ -69,7 +72,7 @@ def best(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndar
             done = (open_to.sum(axis=0) <= 8 * k) | (depth == n)
             for column in np.flatnonzero(done):
                 some = np.flatnonzero(open_to[:, column])
-                scores = x[some] @ queries[waiting[column]]
+                scores = _products(x[some], queries[waiting[column]], rounds)
                 chosen = np.lexsort((ids[some], -scores))[:k]
                 found.extend((int(query_ids[waiting[column]]), int(ids[some[c]]), int(scores[c])) for c in chosen)
             waiting = waiting[~done]
@@ -78,15 +81,20 @@ def best(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndar
     return found
 
 
-def _best_of_large(ids, x, query_ids, queries, k):
-    """The same by whole numbers of any size, for components so large that sums of floats would not be exact."""
-    found = []
-    rows = [[int(v) for v in row] for row in x]
-    for query_id, query in zip(query_ids.tolist(), queries):
-        q = [int(v) for v in query]
-        scored = sorted((-sum(a * b for a, b in zip(row, q)), i) for i, row in zip(ids.tolist(), rows) if i != query_id)
-        found.extend((query_id, i, -score) for score, i in scored[:k])
-    return found
+def _largest(values: np.ndarray) -> int:
+    return max(int(values.max(initial=0)), -int(values.min(initial=0)))
+
+
+def _rounding(high: np.ndarray, low: np.ndarray, plus: np.ndarray, minus: np.ndarray) -> np.ndarray:
+    """The most that ``high @ plus + low @ minus`` can be off: a rounding per factor, product and sum, on the sum of absolute
+    values. Twice the usual bound, which pays for the roundings of this sum itself."""
+    size = np.abs(high) @ plus - np.abs(low) @ minus
+    return size * ((high.shape[1] + 4) * 2.0**-51)
+
+
+def _products(x: np.ndarray, query: np.ndarray, large: bool) -> np.ndarray:
+    """Exact scores, large ones as Python integers."""
+    return x.astype(object) @ query.astype(object) if large else x @ query
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
@@ -94,7 +102,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     Both have ``id`` (long) and ``vector`` (array of long); nulls in either take no part. An id is one vector: of rows that
     share an id the smallest vector counts. A query's own id is no candidate. Vectors of other lengths
-    than the query's are none either. Fewer candidates give fewer rows. Scores must fit a long.
+    than the query's are none either. Fewer candidates give fewer rows. A score among the best that doesn't fit a long ends the
+    job with an error.
     """
 
     def dealt(rows: DataFrame, size: int) -> tuple[DataFrame, int]:

@@ -42,6 +42,38 @@ def test_large_components_stay_exact(spark):
     assert run(spark, list(vectors.items()), [(3, vectors[3])]) == by_hand(vectors, {3: vectors[3]}, 5)
 
 
+def test_one_large_component_among_small_ones(spark):
+    r = random.Random(5)
+    vectors = {i: [r.randint(-128, 128) for _ in range(6)] for i in range(400)}
+    vectors[400] = [-(2**55), 256, 0, 0, 0, 1]
+    vectors[401] = [2**55 + 1, 256, 0, 0, 0, 1]
+    vectors[402] = [-(2**55), 256, 0, 0, 0, 2]
+    queries = {i: vectors[i] for i in range(0, 400, 20)}
+    assert run(spark, list(vectors.items()), list(queries.items())) == by_hand(vectors, queries, 5)
+
+
+def test_the_lowest_long(spark):
+    vectors = {1: [-(2**63), 1], 2: [3, 4], 3: [-(2**63), 2], 4: [2**63 - 1, 0]}
+    queries = {9: [0, 1], 8: [-1, 0]}
+    two = {i: v for i, v in vectors.items() if i in (2, 4)}
+    assert run(spark, list(vectors.items()), [(9, [0, 1])]) == by_hand(vectors, {9: [0, 1]}, 5)
+    assert run(spark, list(two.items()), list(queries.items())) == by_hand(two, queries, 5)
+    with pytest.raises(Exception, match="(?i)int|long|overflow"):
+        run(spark, list(vectors.items()), [(8, [-1, 0])])
+
+
+def test_bounds_of_large_components_leave_few(monkeypatch):
+    r = np.random.default_rng(2)
+    x, queries = (r.integers(-(2**28), 2**28, (n, 8)) for n in (3000, 5))
+    seen, exact = [], topk._products
+    monkeypatch.setattr(topk, "_products", lambda some, q, large: seen.append((len(some), large)) or exact(some, q, large))
+    asked = {-1 - i: q for i, q in enumerate(queries.tolist())}
+    found = topk.best(np.arange(3000), x, np.array(list(asked)), queries, 5)
+    order = {(q, i): rank for q, rank, i, _ in by_hand(dict(enumerate(x.tolist())), asked, 5)}
+    assert sorted((q, order[q, i], i, score) for q, i, score in found) == by_hand(dict(enumerate(x.tolist())), asked, 5)
+    assert len(seen) == 5 and all(n <= 40 and large for n, large in seen)
+
+
 def test_repeated_ids_other_lengths_and_nulls(spark):
     rows = [(1, [1, 1]), (1, [1, 1]), (2, [3, 0]), (2, [1, 0]), (3, [9]), (None, [9, 9]), (4, None), (5, []), (6, [])]
     vectors = {1: [1, 1], 2: [1, 0], 3: [9], 5: [], 6: []}
