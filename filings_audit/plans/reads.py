@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from filings_audit.operators import triage
 from filings_audit.operators.triage import TriageFilter
+from filings_audit.plans import standing
 from filings_audit.sinks.audit_log import read_pii_log
 from filings_audit.sinks.gold import read_gold
 
@@ -36,10 +37,6 @@ def get_filing(table: DataFrame, record_id: str) -> DataFrame:
     return found
 
 
-def filing_stats(table: DataFrame) -> dict[str, int]:
-    return triage.summary(table).first().asDict()
-
-
 class Warehouse:
     """The stored triage table and audit log under one root."""
 
@@ -51,7 +48,7 @@ class Warehouse:
         return read_gold(self.spark, f"{self.root}/gold")
 
     def filings(self, limit: int = triage.DEFAULT_LIMIT) -> DataFrame:
-        return list_filings(self.table, limit)
+        return triage.to_records(standing.newest(self.spark, f"{self.root}/gold", limit))
 
     def filing(self, record_id: str) -> DataFrame:
         return get_filing(self.table, record_id)
@@ -60,7 +57,7 @@ class Warehouse:
         return triage_view(self.table, *args, **options)
 
     def stats(self) -> dict[str, int]:
-        return filing_stats(self.table)
+        return standing.summary(self.spark, f"{self.root}/gold").first().asDict()
 
     def pii_audit(self, limit: int = triage.DEFAULT_LIMIT) -> DataFrame:
         return triage.newest_audit(read_pii_log(self.spark, f"{self.root}/pii_log"), limit)

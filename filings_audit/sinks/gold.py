@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from filings_audit.operators.keyed import latest_per_key
 from filings_audit.schemas import TRIAGE
 from filings_audit.session import file_system, path_exists
+from filings_audit.sinks import months as month_counts
 from filings_audit.sinks.constraints import violations, with_defaults
 from filings_audit.sinks.layers import Watch, month_of, unwatched
 from filings_audit.sources.tables import read_or_empty
@@ -45,11 +46,19 @@ class Written:
     rejected: int
 
 
+def _last(spark: SparkSession, root: str) -> DataFrame:
+    log = read_or_empty(spark, f"{root}/log", LOG)
+    return log.groupBy("filing_month").agg(F.max_by("location", "version").alias("location"), F.max("version").alias("version"))
+
+
+def current_folders(spark: SparkSession, root: str) -> DataFrame:
+    """The folder (``location``) of each month that has rows."""
+    return _last(spark, root).filter("filing_month IS NOT NULL AND location IS NOT NULL").select("filing_month", "location")
+
+
 def _current(spark: SparkSession, root: str) -> tuple[int, dict[str, str]]:
     """Last version, and the folder of each month: one short string per calendar month."""
-    log = read_or_empty(spark, f"{root}/log", LOG)
-    rows = log.groupBy("filing_month").agg(F.max_by("location", "version").alias("location"), F.max("version").alias("version"))
-    found = rows.collect()
+    found = _last(spark, root).collect()
     months = {r.filing_month: r.location for r in found if r.filing_month and r.location}
     return max((r.version for r in found), default=0), months
 
@@ -61,6 +70,16 @@ def _read(spark: SparkSession, root: str, locations: list[str]) -> DataFrame:
     return stored.select(*STORED.names)
 
 
+def read_folders(spark: SparkSession, root: str, locations: list[str]) -> DataFrame:
+    """The rows of these month folders, each with its ``location``."""
+    commit = F.regexp_extract(F.col("_metadata.file_path"), r"/data/(commit=\d+)/filing_month=[^/]*/[^/]*$", 1)
+    if not locations:
+        return _read(spark, root, []).withColumn("location", F.lit(None).cast("string"))
+    stored = spark.read.schema(STORED).option("basePath", f"{root}/data").parquet(*sorted(locations))
+    place = F.concat(F.lit(f"{root}/data/"), commit, F.lit("/filing_month="), F.col("filing_month"))
+    return stored.select(*STORED.names, place.alias("location"))
+
+
 def read_gold(spark: SparkSession, root: str) -> DataFrame:
     """The current rows; empty when nothing was written yet (K7)."""
     return _read(spark, root, list(_current(spark, root)[1].values()))
@@ -123,7 +142,10 @@ def _commit(
         # The bloom filter lets a lookup by id (P16) skip files, which its month can't tell.
         writer = rows.hint("rebalance", "filing_month").write.mode("overwrite").option("parquet.bloom.filter.enabled#id", "true")
         writer.partitionBy("filing_month").parquet(path)
-        log += [(version, m, place if path_exists(spark, place) else None, batch) for m in touched for place in [f"{path}/filing_month={m}"]]
+        places = {m: f"{path}/filing_month={m}" for m in touched}
+        written = {m: place for m, place in places.items() if path_exists(spark, place)}
+        month_counts.note(read_folders(spark, root, list(written.values())), root, version)
+        log += [(version, m, written.get(m), batch) for m in touched]
     spark.createDataFrame(log, LOG).coalesce(1).write.mode("append").parquet(f"{root}/log")
     for name in (folder, f"{folder}-single", f"{folder}-again"):  # copies of what is now stored
         fs, target = file_system(spark, f"{root}/batches/{name}/refused=false")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filings_audit.operators import forest as forest_ops
-from filings_audit.operators import masking
+from filings_audit.operators import masking, models
 from filings_audit.operators.keyed import latest_per_key
 from filings_audit.operators.masking import MaskingConfig
 from filings_audit.schemas import PII_LOG
@@ -71,6 +71,38 @@ def score_stream(
     drain(forest_ops.score(stream, model, vector).writeStream.format("parquet"), out, checkpoint)
 
 
+_CHOICE = T.StructType([T.StructField("model_version", T.LongType()), T.StructField("epoch", T.LongType())])
+
+
+def score_by_newest(stream: DataFrame, models_root: str, vector: Column, out: str, checkpoint: str) -> None:
+    """ST4 with a model that may change: each micro-batch takes the newest fit that is stored when it begins, so a job picks
+    up a new one without a restart, and each row names the ``model_version`` that scored it.
+
+    The choice is stored before the batch is scored: a batch that is replayed keeps its model and replaces its own rows.
+    Without any model the stream stops and its rows wait.
+    """
+    spark = stream.sparkSession
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        chosen = read_or_empty(spark, f"{out}/models", _CHOICE).filter(F.col("epoch") == epoch).first()
+        version = chosen.model_version if chosen else models.newest(spark, models_root)
+        if version is None:
+            raise LookupError(f"no model is stored below {models_root}")
+        if not chosen:
+            row = spark.createDataFrame([(version,)], "model_version long")
+            row.coalesce(1).write.mode("overwrite").parquet(f"{out}/models/epoch={epoch}")
+        scored = forest_ops.score(batch, models.load(spark, models_root, version), vector)
+        scored.withColumn("model_version", F.lit(version).cast("long")).write.mode("overwrite").parquet(f"{out}/rows/epoch={epoch}")
+
+    drain(stream.writeStream.foreachBatch(write), "", checkpoint)
+
+
+def read_scored(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """What ``score_by_newest`` has scored so far; ``schema`` is that of the stream. ``epoch`` is the micro-batch."""
+    extra = [("ml_raw_score", T.DoubleType()), ("model_version", T.LongType()), ("epoch", T.LongType())]
+    return read_or_empty(spark, f"{out}/rows", T.StructType([*schema.fields, *[T.StructField(n, t) for n, t in extra]]))
+
+
 def deduplicate_stream(
     stream: DataFrame, key: list[str], time: str, out: str, checkpoint: str, days: int = 1
 ) -> None:

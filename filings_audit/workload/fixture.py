@@ -55,11 +55,14 @@ def publish(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
-def published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored triage table. Written once per application and input; views only read it."""
+def published_root(spark: SparkSession, sf_dir: str) -> str:
+    """Where the triage table is stored. Written once per application and input; views only read it."""
     key = (spark.sparkContext.applicationId, sf_dir, _fingerprint(spark, sf_dir))
-    table = gold.read_if_written(configure(spark), _PUBLISHED[key]) if key in _PUBLISHED else None
-    if table is None:
+    if key not in _PUBLISHED or gold.read_if_written(configure(spark), _PUBLISHED[key]) is None:
         _PUBLISHED[key] = publish(spark, sf_dir)
-        table = gold.read_gold(spark, _PUBLISHED[key])
-    return table
+    return _PUBLISHED[key]
+
+
+def published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored triage table."""
+    return gold.read_gold(spark, published_root(spark, sf_dir))

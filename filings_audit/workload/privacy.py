@@ -8,8 +8,9 @@ from filings_audit.functions.patterns import NAME_HINTS, PII_PATTERNS
 from filings_audit.operators import masking
 from filings_audit.operators.masking import MaskingConfig
 from filings_audit.plans import medallion
+from filings_audit.schemas import BRONZE
 from filings_audit.session import configure, new_dir
-from filings_audit.sinks import audit_log
+from filings_audit.sinks import audit_log, layers, rotation
 from filings_audit.operators.triage import newest_audit
 from filings_audit.sources import star_schema
 from filings_audit.workload import fixture, oracle
@@ -88,7 +89,13 @@ def pii_counts(spark, sf_dir):
     return masking.pattern_counts(_documents(spark, sf_dir), ["text"], ALL_TYPES)
 
 
-SCANNED = {"documents": ["text", "lang", "source"], "pages": ["url", "html"], "conversations": ["role", "text"], "customer": ["c_name", "c_mktsegment"]}
+# The string columns of the given tables; tables without any have no row.
+SCANNED = {
+    "region": ["r_name"], "nation": ["n_name"], "customer": ["c_name", "c_mktsegment"], "supplier": ["s_name"],
+    "part": ["p_name", "p_brand", "p_type"], "orders": ["o_orderstatus", "o_orderpriority"],
+    "lineitem": ["l_returnflag", "l_linestatus"], "events": ["event_type", "props"], "documents": ["text", "lang", "source"],
+    "pages": ["url", "html"], "benchmark": ["text"], "conversations": ["role", "text"],
+}
 _HINT = " OR ".join(f"contains(lower(field_name), '{hint}')" for hint in NAME_HINTS)
 
 
@@ -113,6 +120,25 @@ def remask_salt(spark, sf_dir):
     return masking.remask(raw, DEFAULT, "salt-v2", "sha256-v2")
 
 
+@query("rotate_salt", f"""
+WITH {oracle.FILINGS}
+SELECT id AS filename, strftime(filing_date, '%Y') AS edgar_year, 'QTR' || quarter(filing_date) AS edgar_quarter,
+  {oracle.sha256('executive_name', 'salt-v2')} AS executive_name, 'sha256-v2' AS masking_version FROM filings""")
+def rotate_salt(spark, sf_dir):
+    """M9: a masked table is brought to a new salt; the run stops after one quarter and is taken up again."""
+    work = new_dir(configure(spark), "rotation")
+    rows = star_schema.submissions(spark, sf_dir).select(
+        F.col("id").alias("filename"), "executive_name", F.date_format("filing_date", "yyyy").alias("edgar_year"),
+        F.concat(F.lit("QTR"), F.quarter("filing_date").cast("string")).alias("edgar_quarter"))
+    layers.write_bronze(rows, f"{work}/bronze")
+    raw = spark.read.schema(BRONZE).parquet(f"{work}/bronze").select("filename", "executive_name", *rotation.QUARTERS)
+    rotation.rotate(raw, f"{work}/masked", DEFAULT, DEFAULT.salt, "sha256-v1")
+    rotation.rotate(raw, f"{work}/masked", DEFAULT, "salt-v2", "sha256-v2", at_most=1)
+    rotation.rotate(raw, f"{work}/masked", DEFAULT, "salt-v2", "sha256-v2")
+    return rotation.read_masked(spark, f"{work}/masked", raw.schema).select(
+        "filename", "edgar_year", "edgar_quarter", "executive_name", "masking_version")
+
+
 _NOTES = oracle.FILINGS + """,
 noted AS (SELECT id, order_key, executive_name, text AS internal_notes FROM filings LEFT JOIN documents ON doc_id = order_key)"""
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from filings_audit.functions.identity import filing_uuid
-from filings_audit.operators import detection, forest
+from filings_audit.operators import detection, forest, models
 from filings_audit.operators.cleaning import strip_cik
-from filings_audit.plans import medallion
+from filings_audit.plans import medallion, standing
 from filings_audit.schemas import TRIAGE, conform
 from filings_audit.session import configure, materialize, new_dir
 from filings_audit.sinks import constraints, gold
@@ -162,6 +162,57 @@ def rejected_batches(spark, sf_dir):
     return _fate(spark, root)
 
 
+# Counts per month ---------------------------------------------------------------------------------
+
+def _flagged(rows, rule: int, ml: int, steps: int):
+    """Flags and scores by the order's number."""
+    key = F.col("order_key")
+    return rows.withColumns({
+        "known_rule_violation": key % rule == 0, "ml_anomaly_flag": key % ml == 0,
+        "ml_anomaly_score": F.when(key % 11 != 0, (key % steps) / 1000)})
+
+
+def _flags_sql(rule: int, ml: int, steps: int) -> str:
+    return (f"order_key % {rule} = 0 AS rule, order_key % {ml} = 0 AS ml, "
+            f"CASE WHEN order_key % 11 <> 0 THEN CAST((order_key % {steps}) / 1000 AS DECIMAL(10,4)) END AS score")
+
+
+def _changed(spark, sf_dir) -> str:
+    """A table after three batches: filings, the rest of them, and revisions that move most of them to other months."""
+    root = new_dir(configure(spark), "gold")
+    rows = _flagged(star_schema.filings(spark, sf_dir, growth=False), 3, 4, 1000)
+    gold.upsert(rows.filter("filing_state = 'F'"), root, order=_order())
+    gold.append(rows.filter("filing_state = 'P'"), root)
+    gold.upsert(_flagged(_revised(spark, sf_dir), 2, 5, 500), root, order=_order())
+    return root
+
+
+_CHANGED = f"""
+WITH {oracle.FILINGS},
+first AS (SELECT id, company_name, created_at AS happened, {_flags_sql(3, 4, 1000)} FROM filings WHERE filing_state <> 'O'),
+shipped AS (SELECT l_orderkey, CAST(max(l_shipdate) AS TIMESTAMP) AS happened FROM lineitem GROUP BY l_orderkey),
+later AS (SELECT id, company_name, s.happened, {_flags_sql(2, 5, 500)} FROM filings JOIN shipped s ON order_key = l_orderkey
+  WHERE order_key % 13 <> 0 AND order_key % 7 <> 0 AND company_name IS NOT NULL),
+stored AS (SELECT * FROM later UNION ALL SELECT * FROM first WHERE id NOT IN (SELECT id FROM later))"""
+
+
+@query("summary_kept", f"""{_CHANGED}
+SELECT count(*) AS total, count(*) FILTER (WHERE rule) AS violations, count(*) FILTER (WHERE ml) AS anomalies,
+  count(*) FILTER (WHERE NOT rule AND NOT ml) AS healthy, round(CAST(sum(score) AS DOUBLE) / count(score), 6) AS average_score FROM stored""")
+def summary_kept(spark, sf_dir):
+    """A1, A2, X2 from the counts per month, after rows were added, replaced, and moved to other months; no record is read."""
+    return standing.summary(spark, _changed(spark, sf_dir), with_average=True)
+
+
+@query("newest_kept", f"""{_CHANGED}
+SELECT id, company_name, rule AS known_rule_violation, strftime(happened, '%Y-%m-%d %H:%M:%S') AS created_at FROM stored
+ORDER BY happened DESC, id LIMIT 1000""")
+def newest_kept(spark, sf_dir):
+    """S5, T1 from the months that can hold the newest rows."""
+    return standing.newest(spark, _changed(spark, sf_dir), 1000).select(
+        "id", "company_name", "known_rule_violation", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"))
+
+
 # Streams ------------------------------------------------------------------------------------------
 
 def _stream(spark, path, schema, files=1000):
@@ -241,6 +292,36 @@ def stream_score(spark, sf_dir):
     return spark.read.parquet(f"{work}/out").select("id", "ml_raw_score")
 
 
+@query("stream_models", """
+SELECT CAST(o_orderkey % 2 AS BIGINT) AS epoch, 1 + CAST(o_orderkey % 2 AS BIGINT) AS model_version, count(*) AS records,
+  count(*) AS scored_by_it FROM orders GROUP BY ALL""")
+def stream_models(spark, sf_dir):
+    """ST4: a newer fit is stored between two micro-batches.
+
+    Per micro-batch: the version its rows name, and how many have the score that this version gives them in batch.
+    """
+    work = new_dir(configure(spark), "stream-models")
+    features = detection.with_features(star_schema.filings(spark, sf_dir)).select("id", "order_key", *medallion.LIVE_FEATURES)
+    vector = forest.feature_vector(medallion.LIVE_FEATURES)
+    fits = [forest.ForestParams(trees=40, seed=seed) for seed in (1, 2)]
+    stored = materialize(features, "features")
+    halves = [stored.filter(F.col("order_key") % 2 == half) for half in (0, 1)]
+    for version, (half, fit) in enumerate(zip(halves, fits), 1):
+        half.write.mode("append").parquet(f"{work}/in")
+        models.publish(forest.fit(stored.withColumn("vector", vector), "id", "vector", fit), f"{work}/models", version, fit)
+        stream = _stream(spark, f"{work}/in", stored.schema)
+        jobs.score_by_newest(stream, f"{work}/models", vector, f"{work}/out", f"{work}/checkpoint")
+    scored = jobs.read_scored(spark, f"{work}/out", stored.schema)
+    again = None
+    for version in (1, 2):
+        batch = forest.score(stored, models.load(spark, f"{work}/models", version), vector, "expected")
+        batch = batch.select("id", "expected", F.lit(version).cast("long").alias("model_version"))
+        again = batch if again is None else again.unionByName(batch)
+    same = F.abs(F.col("expected") - F.col("ml_raw_score")) < 1e-12
+    return scored.join(again, ["id", "model_version"]).groupBy("epoch", "model_version").agg(
+        F.count("*").alias("records"), F.count_if(same).alias("scored_by_it"))
+
+
 @query("stream_dedupe", """
 SELECT DISTINCT user_id, event_type, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour FROM events""")
 def stream_dedupe(spark, sf_dir):

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from filings_audit.functions import scores, shaping
 from filings_audit.operators import keyed, search, triage
 from filings_audit.operators.triage import TriageFilter
-from filings_audit.plans import reads
+from filings_audit.plans import reads, standing
 from filings_audit.session import configure, new_dir
 from filings_audit.sinks import layers
 from filings_audit.sources import star_schema
 from filings_audit.workload import oracle
-from filings_audit.workload.fixture import published
+from filings_audit.workload.fixture import published, published_root
 from filings_audit.workload.intake import _UUID
 from filings_audit.workload.registry import query
 
@@ -178,7 +178,7 @@ _COUNTS = """count(*) AS total, count(*) FILTER (WHERE known_rule_violation) AS
 
 @query("summary_stats", f"WITH {oracle.triage()} SELECT {_COUNTS} FROM triage")
 def summary_stats(spark, sf_dir):
-    return triage.summary(published(spark, sf_dir))
+    return standing.summary(spark, published_root(spark, sf_dir))
 
 
 @query("summary_avg_score", f"""
@@ -186,7 +186,7 @@ WITH {oracle.triage()}
 SELECT {_COUNTS},
   round(CAST(sum(CAST(ml_anomaly_score AS DECIMAL(10,4))) AS DOUBLE) / count(ml_anomaly_score), 6) AS average_score FROM triage""")
 def summary_avg_score(spark, sf_dir):
-    return triage.summary(published(spark, sf_dir), with_average=True)
+    return standing.summary(spark, published_root(spark, sf_dir), with_average=True)
 
 
 # Filters ------------------------------------------------------------------------------------------
@@ -256,8 +256,8 @@ def resolved_removed(spark, sf_dir):
 WITH {oracle.GOLD} SELECT id, company_name, root_cause_message, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at
 FROM gold ORDER BY created_at DESC, id LIMIT 200""")
 def newest_triage(spark, sf_dir):
-    rows = published(spark, sf_dir).select("id", "company_name", "root_cause_message", "created_at")
-    return triage.newest(rows).withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"))
+    rows = standing.newest(spark, published_root(spark, sf_dir))
+    return rows.select("id", "company_name", "root_cause_message", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"))
 
 
 def _placed(rows, order):
