@@ -10,12 +10,15 @@
 4. The components of these edges are groups of candidates. The full sets of a group meet in a task, which counts all
    intersections exactly and emits a spanning forest of the links. Their components are the result.
 
-A list or a group too large for a task is cut into blocks, and every pair of blocks meets in a task of its own.
+Linked sets are of similar size, so a list or a group too large for a task is dealt into bands of set sizes as wide as the
+threshold allows, and only neighbouring bands meet. What is still too large is cut into blocks, and every pair of
+blocks meets in a task of its own.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,6 +48,12 @@ class Settings:
         share = self.percent / 100
         return max(0.0, share - 5 * (share * (1 - share) / self.sketch) ** 0.5)
 
+    @property
+    def band(self) -> float:
+        """Width of a band of set sizes, as a logarithm: linked sets lie in one band or in neighbours. A little wider than
+        the threshold, so rounding takes no link away."""
+        return max(math.log(100 / self.percent) * (1 + 1e-9), 0.01)
+
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -85,18 +94,15 @@ def _digest(values: np.ndarray) -> bytes | None:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None
 
 
-# Names a set by 64 bits of its digest, whatever ids its texts have; null for an empty one.
-VERTEX = "CASE WHEN digest IS NOT NULL THEN xxhash64(digest) END AS vertex"
-
-
-def vertices(docs: DataFrame, text: str) -> DataFrame:
-    """All columns of ``docs`` and ``vertex``, under words of ``Settings()``; no column may be called digest or vertex."""
+def with_digest(docs: DataFrame, text: str) -> DataFrame:
+    """All columns of ``docs`` and ``digest``: 128 bits of the set under words of ``Settings()``, null for an empty one. No column
+    may be called digest."""
 
     def make():
         shingles = Shingles(Settings().words)
         return lambda texts: [pa.array([_digest(shingles(t)) for t in texts], pa.binary())]
 
-    return map_texts(docs, docs.columns, text, "digest binary", make).selectExpr(*docs.columns, VERTEX)
+    return map_texts(docs, docs.columns, text, "digest binary", make)
 
 
 def sketches(docs: DataFrame, settings: Settings, doc_id: str, text: str) -> DataFrame:
@@ -120,16 +126,30 @@ def sketches(docs: DataFrame, settings: Settings, doc_id: str, text: str) -> Dat
                      "n_shingles long, digest binary, sketch array<bigint>", make)
 
 
-def _cells(rows: DataFrame, key: str, sizes: DataFrame, block: int) -> DataFrame:
-    """Deal rows into cells: one for a key with at most ``block`` rows, else one for each pair of its blocks."""
-    n = F.ceil(F.col("size") / block).cast("int")
+def _cells(rows: DataFrame, key: str, settings: Settings) -> DataFrame:
+    """Deal rows (key, vertex, n_shingles) into cells, so that any two that may be linked meet in one; keys of one row go.
+
+    A key with at most ``block`` rows is one cell. Of a larger one each two neighbouring bands of set sizes are a slot: a row
+    stands in the slot of its own band and in the one below. A slot whose lower band is empty holds only pairs that also
+    meet in the next one, and goes. A slot with more than ``block`` rows has a cell for each pair of its blocks.
+    """
+    sizes = rows.groupBy(key).agg(F.count("*").alias("members")).where("members > 1")
+    dealt = rows.join(sizes, key)
+    small = dealt.where(F.col("members") <= settings.block).select(key, F.lit(0).cast("long").alias("cell"), "vertex")
+    band = F.floor(F.log("n_shingles") / settings.band).cast("long")
+    large = dealt.where(F.col("members") > settings.block).select(key, "vertex", band.alias("band"))
+    large = large.select("*", F.explode(F.array(F.col("band") - 1, "band")).alias("slot"))
+    lower = F.max(F.col("band") == F.col("slot")).alias("lower")
+    slots = large.groupBy(key, "slot").agg(F.count("*").alias("members"), lower).where("lower AND members > 1")
     own = F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = rows.join(sizes, key).withColumn("blocks", n).withColumn("own", own).withColumn("other", other)
-    cell = F.least("own", "other") * 1_000_000 + F.greatest("own", "other")
+    blocks = F.ceil(F.col("members") / settings.block).cast("int")
+    large = large.join(slots, [key, "slot"]).withColumn("blocks", blocks).withColumn("own", own)
+    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     # A cell of two blocks also holds the pairs inside each, so a block needs no cell of its own.
-    needed = dealt.where("blocks = 1 OR own != other")
-    return needed.withColumn("cell", cell).drop("size", "blocks", "own", "other")
+    large = large.where("blocks = 1 OR own != other")
+    pair = F.least("own", "other") * F.lit(1_000_000).cast("long") + F.greatest("own", "other")
+    cell = (F.col("slot") + 2) * F.lit(10**12) + pair
+    return small.unionByName(large.select(key, cell.alias("cell"), "vertex"))
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -291,7 +311,7 @@ def _in_cells(rows: DataFrame, key: str, run) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, groups: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, vertex and shingles of every member of a group, and of a few others, without a shuffle of texts.
+    """doc_id, digest and shingles of every member of a group, and of a few others, without a shuffle of texts.
 
     The members' ids set bits in a table of fixed size, which the driver may hold. Rows whose bit is not set are left
     out; a full table would let more of the others through and change nothing else.
@@ -315,7 +335,7 @@ def _sets_of(docs: DataFrame, groups: DataFrame, settings: Settings) -> DataFram
                 yield pa.RecordBatch.from_arrays([ids, digests, sets], names=["doc_id", "digest", "shingles"])
 
     asked = docs.where("doc_id IS NOT NULL").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(BITS)).alias("bit"))
-    return asked.mapInArrow(run, "doc_id long, digest binary, shingles array<bigint>").selectExpr("doc_id", VERTEX, "shingles")
+    return asked.mapInArrow(run, "doc_id long, digest binary, shingles array<bigint>")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -328,31 +348,34 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), doc_id: st
 
 
 def labelled(docs: DataFrame, settings: Settings, doc_id: str, text: str) -> DataFrame:
-    """The columns of ``near_duplicates``, ``vertex`` and ``root``, which tell apart sets and components under one id."""
-    rows = materialize(sketches(docs, settings, doc_id, text).selectExpr("doc_id", "n_shingles", VERTEX, "sketch"), "sketches")
-    known = rows.where("vertex IS NOT NULL AND doc_id IS NOT NULL")
+    """The columns of ``near_duplicates``, ``digest`` and ``root``, which tell apart sets and components under one id."""
+    rows = materialize(sketches(docs, settings, doc_id, text), "sketches")
+    known = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     # The row with the smallest id stands for its class. Copies go in every map task before the shuffle.
-    first = known.groupBy("vertex").agg(F.min(F.struct("doc_id", "sketch")).alias("first"))
-    members = materialize(first.select("vertex", F.col("first.doc_id").alias("class_id"), "first.sketch"), "members")
+    first = known.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "sketch")).alias("first"))
+    # The table is written once, so the numbers of its rows stay, and no two sets share one.
+    numbered = first.select(F.monotonically_increasing_id().alias("vertex"), "digest", F.col("first.doc_id").alias("class_id"),
+                            "first.n_shingles", "first.sketch")
+    members = materialize(numbered, "members")
     classes = members.select("vertex", "class_id")
-    keys = members.select("vertex", F.explode(F.slice("sketch", 1, settings.keys)).alias("key"))
-    sizes = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    meeting = materialize(_cells(keys, "key", sizes, settings.block), "meeting")
+    keys = members.select("vertex", "n_shingles", F.explode(F.slice("sketch", 1, settings.keys)).alias("key"))
+    meeting = materialize(_cells(keys, "key", settings), "meeting")
     # The upper half of a hash does for an estimate: equal halves of different hashes only raise it.
     halves = members.select("vertex", F.transform("sketch", lambda x: (F.shiftrightunsigned(x, 32) - 2**31).cast("int")).alias("sketch"))
     candidates = _in_cells(meeting.join(halves, "vertex"), "key", _candidate_edges(settings))
     groups = components(materialize(candidates.distinct(), "candidates")).withColumnRenamed("component", "group")
-    groups = materialize(groups.join(classes, "vertex").withColumnRenamed("class_id", "doc_id"), "groups")
+    of_members = members.select("vertex", "digest", "n_shingles", F.col("class_id").alias("doc_id"))
+    groups = materialize(groups.join(of_members, "vertex"), "groups")
 
     sets = _sets_of(docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")), groups, settings)
-    sets = sets.join(groups, ["doc_id", "vertex"]).drop("doc_id")
-    counts = groups.groupBy("group").agg(F.count("*").alias("size"))
-    links = _in_cells(_cells(sets, "group", counts, settings.block), "group", _exact_edges(settings))
+    sets = sets.join(groups.select("doc_id", "digest", "vertex"), ["doc_id", "digest"]).select("vertex", "shingles")
+    meeting = materialize(_cells(groups, "group", settings), "meeting-groups")
+    links = _in_cells(meeting.join(sets, "vertex"), "group", _exact_edges(settings))
     found = materialize(components(materialize(links, "links")).join(classes, "vertex"), "linked")
     least = materialize(found.groupBy("component").agg(F.min("class_id").alias("component_id")), "least-ids")
     named = found.join(least, "component").select("vertex", "component", "component_id")
-    labels = classes.join(named, "vertex", "left").select(
-        "vertex", F.coalesce("component", "vertex").alias("root"), F.coalesce("component_id", "class_id").alias("component_id")
+    labels = members.select("vertex", "digest", "class_id").join(named, "vertex", "left").select(
+        "digest", F.coalesce("component", "vertex").alias("root"), F.coalesce("component_id", "class_id").alias("component_id")
     )
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return rows.join(labels, "vertex", "left").select("doc_id", "n_shingles", "vertex", "root", component.alias("component_id"))
+    return rows.join(labels, "digest", "left").select("doc_id", "n_shingles", "digest", "root", component.alias("component_id"))

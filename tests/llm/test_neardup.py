@@ -143,3 +143,35 @@ def test_defaults_are_five_words_and_80_percent(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(tuple(r) for r in neardup.near_duplicates(docs).collect())
     assert got == by_hand(rows, 5, 80) and [c for *_, c in got] == [1, 1, 1, 4, 9]
+
+
+def test_cells_of_a_long_list_hold_every_pair_of_similar_size_and_few_rows(spark):
+    """One list of sets of 1 to 4,000 shingles; sizes at the threshold must meet, others need not."""
+    r = random.Random(7)
+    sizes = [r.randint(1, 4000) for _ in range(3000)] + [80, 100, 64, 125, 1, 1]
+    rows = spark.createDataFrame([(1, i, n) for i, n in enumerate(sizes)] + [(2, 0, 5), (3, 1, 5), (3, 2, 5000)],
+                                 "key long, vertex long, n_shingles long")
+    settings = neardup.Settings(block=100)
+    cells = {}
+    for key, cell, vertex in neardup._cells(rows, "key", settings).collect():
+        cells.setdefault((key, cell), set()).add(vertex)
+    assert {k for k, _ in cells} == {1, 3}
+    met = np.zeros((len(sizes), len(sizes)), bool)
+    for (key, _), members in cells.items():
+        if key == 1:
+            some = np.array(sorted(members))
+            met[np.ix_(some, some)] = True
+    n = np.array(sizes)
+    alike = 100 * np.minimum.outer(n, n) >= 80 * np.maximum.outer(n, n)
+    np.fill_diagonal(alike, False)
+    assert not (alike & ~met).any()
+    # Blocks of the whole list would take 31 rows for each of its 3,006 members.
+    assert sum(map(len, cells.values())) < 16 * len(sizes)
+
+
+@pytest.mark.parametrize("percent", [80, 85, 100])
+def test_bands_keep_pairs_at_the_threshold(percent):
+    band = neardup.Settings(percent=percent).band
+    for larger in range(1, 3000):
+        smaller = -(-percent * larger // 100)
+        assert abs(int(np.log(larger) // band) - int(np.log(smaller) // band)) <= 1
