@@ -66,12 +66,12 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     # Rows that share an id are told apart by their texts.
     several = docs.join(again, docs["doc_id"] == again["__id"], "left_semi")
     numbered = several.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    several = materialize(neardup.vertices(numbered, f"c{docs.columns.index('text')}"), "rows-of-repeated-ids")
+    several = materialize(neardup.with_digest(numbered, f"c{docs.columns.index('text')}"), "rows-of-repeated-ids")
     own = F.col(f"c{docs.columns.index('doc_id')}")
-    stay = found.where("doc_id = component_id AND vertex IS NOT NULL").groupBy(F.col("doc_id").alias("__id"), "root")
-    stay = stay.agg(F.min("vertex").alias("__vertex"))
-    kept = several.join(stay, (own == F.col("__id")) & (F.col("vertex") == F.col("__vertex")), "left_semi")
-    kept = kept.dropDuplicates([f"c{docs.columns.index('doc_id')}", "vertex"]).unionByName(several.where("vertex IS NULL"))
+    stay = found.where("doc_id = component_id AND digest IS NOT NULL").groupBy(F.col("doc_id").alias("__id"), "root")
+    stay = stay.agg(F.min("digest").alias("__digest"))
+    kept = several.join(stay, (own == F.col("__id")) & (F.col("digest") == F.col("__digest")), "left_semi")
+    kept = kept.dropDuplicates([f"c{docs.columns.index('doc_id')}", "digest"]).unionByName(several.where("digest IS NULL"))
     return once.unionByName(kept.select(numbered.columns).toDF(*docs.columns))
 
 
