@@ -144,6 +144,33 @@ def iforest_flags(spark, sf_dir):
         "id", "known_rule_violation", "ml_anomaly_flag", "ml_anomaly_score", "root_cause_message")
 
 
+@query("iforest_live_check", f"""
+WITH {oracle.FILINGS}
+SELECT count(*) AS records, count(*) FILTER (WHERE {oracle.RULE}) AS violations, true AS share_kept, 0::BIGINT AS flagged_below_unflagged,
+  0::BIGINT AS scores_out_of_range, 0::BIGINT AS flags_without_message, 0::BIGINT AS messages_without_flag FROM filings""")
+def iforest_live_check(spark, sf_dir):
+    """What must hold for the live composite over all filings, whatever forest was fitted.
+
+    The rule doesn't depend on the model; the flagged share follows the contamination up to equal scores; no unflagged record
+    scores above a flagged one; exactly the records with a flag have a message.
+    """
+    scored, _ = _scored(spark, sf_dir)
+    told = materialize(explain.with_root_cause(detection.live_flags(scored, fixture.CONTAMINATION)), "live-flags")
+    score, flag = F.col("ml_anomaly_score"), F.col("ml_anomaly_flag")
+    # Scores are rounded, so the first flagged and the last unflagged record may show the same one.
+    least = told.filter(flag).agg(F.min(score)).scalar()
+    equal = told.join(told.filter(flag).agg(F.max("ml_raw_score").alias("at")), F.col("ml_raw_score") == F.col("at"), "left_semi")
+    either = F.col("known_rule_violation") | flag
+    allowed = fixture.CONTAMINATION * F.count("*")
+    return told.agg(
+        F.count("*").alias("records"), F.count_if("known_rule_violation").alias("violations"),
+        ((F.count_if(flag) <= allowed + 1) & (F.count_if(flag) + equal.agg(F.count("*")).scalar() >= allowed - 1)).alias("share_kept"),
+        F.count_if(~flag & (score > least)).alias("flagged_below_unflagged"),
+        F.count_if(score.isNull() | (score < 0) | (score > 1)).alias("scores_out_of_range"),
+        F.count_if(either & F.col("root_cause_message").isNull()).alias("flags_without_message"),
+        F.count_if(~either & F.col("root_cause_message").isNotNull()).alias("messages_without_flag"))
+
+
 @query("iforest_depths")
 def iforest_depths(spark, sf_dir):
     """X12 for every flagged record."""
@@ -217,6 +244,38 @@ def iforest_embeddings(spark, sf_dir):
     return detection.normalise_scores(detection.flag_below_quantile(scores, contamination=0.08))
 
 
+@query("iforest_features_check", """
+SELECT count(*) AS records, CAST(max(len(embedding)) AS BIGINT) AS features, true AS all_features_split, 0::BIGINT AS splits_out_of_range,
+  0::BIGINT AS scores_out_of_range, 0::BIGINT AS changed_by_naming, 0::BIGINT AS changed_by_constants FROM embeddings""")
+def iforest_features_check(spark, sf_dir):
+    """What must hold for any number of features, named or not.
+
+    Splits use the features there are, and all of them; features picked by name give the scores of the same vector; constant
+    ones after them can't split, so the ranges of the trees are those of the features that vary.
+    """
+    vectors = star_schema.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("string").alias("id"), F.col("embedding").cast("array<double>").alias("vector"))
+    vectors = materialize(vectors, "vectors")
+    wide = vectors.agg(F.max(F.size("vector"))).first()[0] or 0
+    scored, _ = forest.fit_and_score(vectors, "id", "vector")
+    scored = materialize(scored.select("id", "ml_raw_score"), "scored")
+    trees = materialize(forest.fit(vectors, "id", "vector"), "trees")
+    named = vectors.select("id", *[F.col("vector")[i].alias(f"f{i}") for i in range(wide)])
+    again = named.select("id", forest.feature_vector([f"f{i}" for i in range(wide)]).alias("vector"))
+    again, _ = forest.fit_and_score(again, "id", "vector")
+    padded = forest.fit(vectors.withColumn("vector", F.concat("vector", F.array(F.lit(1.0), F.lit(0.0)))), "id", "vector")
+    raw = F.col("ml_raw_score")
+    both = scored.join(again.select("id", raw.alias("again")), "id")
+    split = trees.filter("left != node")  # a leaf leads to itself
+    return scored.agg(
+        F.count("*").alias("records"), F.lit(wide).cast("long").alias("features"),
+        (split.agg(F.count_distinct("feature")).scalar() == wide).alias("all_features_split"),
+        split.filter((F.col("feature") < 0) | (F.col("feature") >= wide)).agg(F.count("*")).scalar().alias("splits_out_of_range"),
+        F.count_if(raw.isNull() | (raw <= -1) | (raw >= 0)).alias("scores_out_of_range"),
+        both.filter(F.abs(raw - F.col("again")) > 1e-12).agg(F.count("*")).scalar().alias("changed_by_naming"),
+        padded.filter((F.col("left") != F.col("node")) & (F.col("feature") >= wide)).agg(F.count("*")).scalar().alias("changed_by_constants"))
+
+
 def _facts(spark, sf_dir):
     return star_schema.filings(spark, sf_dir).groupBy(F.regexp_replace("cik", "^0+", "").alias("cik")).agg(
         F.max("revenue_usd").alias("revenue_usd"), F.max("operating_cash_flow").alias("operating_cash_flow"),

@@ -9,9 +9,9 @@ from filings_audit.operators import cleaning, keyed
 from filings_audit.operators.masking import MaskingConfig
 from filings_audit.plans import medallion
 from filings_audit.schemas import RAW
-from filings_audit.session import configure, new_dir
+from filings_audit.session import configure, file_system, new_dir
 from filings_audit.sinks import layers
-from filings_audit.sources import index_files, star_schema, tables
+from filings_audit.sources import index_files, star_schema, storage, tables
 from filings_audit.workload import oracle
 from filings_audit.workload.fixture import as_of
 from filings_audit.workload.registry import query
@@ -213,17 +213,43 @@ def index_scan(spark, sf_dir):
     return index_files.read_index(spark, write_index(spark, sf_dir))
 
 
-def write_index(spark, sf_dir) -> str:
-    """Filings as gz index files, one folder per quarter."""
+def write_index(spark, sf_dir, one_file: bool = False) -> str:
+    """Filings as gz index files, one folder per quarter; in it as many files as suit its size, or one."""
     path = new_dir(configure(spark), "index")
     lines = index_files.format_lines(star_schema.index_rows(spark, sf_dir))
-    (
-        lines.hint("rebalance", "edgar_year", "edgar_quarter").write.partitionBy("edgar_year", "edgar_quarter")
-        .option("compression", "gzip").text(path)
-    )
+    quarter = ["edgar_year", "edgar_quarter"]
+    dealt = lines.repartition(spark.sparkContext.defaultParallelism, *quarter) if one_file else lines.hint("rebalance", *quarter)
+    dealt.write.partitionBy(*quarter).option("compression", "gzip").text(path)
     return path
 
 
+@query("index_stored", f"""
+WITH {INDEX}
+SELECT 'all' AS asked, edgar_year, edgar_quarter, count(*) AS records, count(DISTINCT ltrim(cik, '0')) AS ciks, max(filename) AS last
+FROM index_rows WHERE form_type IN {FORMS} GROUP BY ALL
+UNION ALL SELECT 'year', edgar_year, edgar_quarter, count(*), count(DISTINCT ltrim(cik, '0')), max(filename)
+FROM index_rows WHERE form_type IN {FORMS} AND edgar_year = '1996' GROUP BY ALL
+UNION ALL SELECT 'quarter', edgar_year, edgar_quarter, count(*), count(DISTINCT ltrim(cik, '0')), max(filename)
+FROM index_rows WHERE form_type IN {FORMS} AND edgar_quarter = 'QTR2' GROUP BY ALL""")
+def index_stored(spark, sf_dir):
+    """The index as storage keeps it, one gz file per quarter below a full address, read whole, by year and by quarter."""
+    fs, path = file_system(spark, write_index(spark, sf_dir, one_file=True))
+    root = fs.makeQualified(path).toString()  # with scheme
+    parse = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for found in fs.globStatus(parse(f"{root}/edgar_year=*/edgar_quarter=*/*.gz")):
+        folder = found.getPath().getParent()
+        year, quarter = (x.getName().split("=")[1] for x in (folder.getParent(), folder))
+        target = parse(storage.index_path(root, year, quarter))
+        fs.mkdirs(target.getParent())
+        fs.rename(found.getPath(), target)
+    out = None
+    for asked, chosen in (("all", {}), ("year", {"year": "1996"}), ("quarter", {"quarter": "QTR2"})):
+        rows = index_files.read_index(spark, storage.index_path(root, **chosen)).groupBy("edgar_year", "edgar_quarter").agg(
+            F.lit(asked).alias("asked"), F.count("*").alias("records"), F.count_distinct("cik").alias("ciks"), F.max("filename").alias("last"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("index_damaged", f"""
 WITH {INDEX}
 SELECT CASE WHEN order_key % 7 = 3 THEN 'damaged' ELSE 'entry' END AS kind, edgar_year, edgar_quarter, count(*) AS lines,

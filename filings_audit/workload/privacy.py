@@ -154,6 +154,32 @@ def masked_suffix(spark, sf_dir):
     return masking.mask_values(raw, DEFAULT, suffix="_masked")
 
 
+@query("column_tags", f"""
+SELECT 'documents' AS table_name, 'source' AS column_name, 'sha256' AS masking, count(source) AS present, count(source) AS masked FROM documents
+UNION ALL SELECT 'documents', 'text', 'regex_redact', count(text), count(*) FILTER (WHERE text <> t)
+FROM (WITH {oracle.staged_redaction('documents', 'text', 'text', ALL_TYPES, prefix='d')} SELECT text, t FROM d{len(ALL_TYPES)})
+UNION ALL SELECT 'conversations', 'text', 'regex_redact', count(text), count(*) FILTER (WHERE text <> t)
+FROM (WITH {oracle.staged_redaction('conversations', 'text', 'text', TURNS.types, prefix='c')} SELECT text, t FROM c{len(TURNS.types)})""")
+def column_tags(spark, sf_dir):
+    """A stored table tells by itself which of its columns are masked and how; the tags survive the write."""
+    out = None
+    for name, config in (("documents", DOCUMENTS), ("conversations", TURNS)):
+        given = star_schema.table(spark, sf_dir, name)
+        path = new_dir(configure(spark), "tagged")
+        originals = [F.col(c).alias(f"given_{c}") for c in given.columns]
+        masking.mask_values(given.select("*", *originals), config).write.parquet(path)
+        stored = spark.read.parquet(path)
+        tagged = [(f.name, f.metadata["masking"]) for f in stored.schema.fields if f.metadata.get("pii")]
+        counts = [
+            F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), F.lit(method).alias("masking"),
+                     F.count(c).alias("present"), F.count_if(F.col(c) != F.col(f"given_{c}")).alias("masked"))
+            for c, method in tagged
+        ]
+        rows = stored.agg(F.array(*counts).alias("rows")).select(F.inline("rows"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("masked_intake", f"""
 WITH {oracle.FILINGS}
 SELECT id AS filing_id, form_type, company_name, {oracle.sha256('executive_name', DEFAULT.salt)} AS executive_name,

@@ -8,7 +8,7 @@ from filings_audit.functions.identity import filing_uuid
 from filings_audit.operators import detection, forest, models
 from filings_audit.operators.cleaning import strip_cik
 from filings_audit.plans import medallion, standing
-from filings_audit.schemas import TRIAGE, conform
+from filings_audit.schemas import TRIAGE, TRIAGE_REQUIRED, conform
 from filings_audit.session import configure, materialize, new_dir
 from filings_audit.sinks import constraints, gold
 from filings_audit.sources import index_files, star_schema
@@ -162,6 +162,28 @@ def rejected_batches(spark, sf_dir):
     return _fate(spark, root)
 
 
+@query("required_columns", f"""
+WITH {oracle.FILINGS}, told AS (
+  SELECT id, CASE WHEN order_key % 3 <> 0 THEN company_name END AS company_name FROM filings)
+SELECT unnest({sorted(TRIAGE_REQUIRED)!r}) AS lacking, 'refused' AS verdict, true AS named, 0::BIGINT AS stored, 0::BIGINT AS rejected
+UNION ALL SELECT 'nothing', 'taken', false, count(company_name), count(*) - count(company_name) FROM told""")
+def required_columns(spark, sf_dir):
+    """K5: a batch that lacks a required column is refused as a whole, names the column, and leaves no row behind; then one that has all."""
+    rows = _nameless(spark, sf_dir)
+    out = None
+    for lacking in [*sorted(TRIAGE_REQUIRED), "nothing"]:
+        root, verdict, named = new_dir(configure(spark), "gold"), "taken", False
+        try:
+            gold.upsert(rows.drop(lacking), root, as_of())
+        except ValueError as error:
+            verdict, named = "refused", f"'{lacking}'" in str(error)
+        fate = _fate(spark, root).agg(
+            F.lit(lacking).alias("lacking"), F.lit(verdict).alias("verdict"), F.lit(named).alias("named"),
+            F.count_if(F.col("place") == "stored").alias("stored"), F.count_if(F.col("place") == "refused").alias("rejected"))
+        out = fate if out is None else out.unionByName(fate)
+    return out
+
+
 # Counts per month ---------------------------------------------------------------------------------
 
 def _flagged(rows, rule: int, ml: int, steps: int):
