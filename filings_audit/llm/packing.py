@@ -170,13 +170,20 @@ def plan(counts: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(sorted(moves), np.int64).reshape(-1, 5)
 
 
+# What ``pack`` adds to its rows, at the end or on the way.
+MADE = ("sequence_id", "offset", "__length", "__part", "__local", "__n", "__base", "__rank")
+
+
 def pack(pieces: DataFrame, capacity: int, keep: list[str], length: str = "length") -> DataFrame:
     """``keep``, ``length``, ``sequence_id`` and ``offset``: a place for every row in sequences of ``capacity``.
 
     ``length`` must lie between 1 and ``capacity``. Equal rows get a place each; an empty table stays empty. The
     rows are written once to the shared folder, so later steps see the same order. The driver receives one
-    count per length.
+    count per length. No column of ``keep`` may be named like a made one, whatever its case.
     """
+    clashing = {c.lower() for c in keep if c != length} & {length.lower(), *MADE}
+    if clashing:
+        raise ValueError(f"columns to keep are named like results: {sorted(clashing)}")
     chosen = pieces.select(*[pieces[c] for c in keep if c != length], pieces[length].cast("long").alias("__length"))
     names = [c for c in keep if c != length]
     kept = "".join(f"`{c}` {chosen.schema[c].dataType.simpleString()}, " for c in names)

@@ -167,3 +167,10 @@ def test_op10_query(spark, sf_dir):
     rows = op10_packing(spark, sf_dir).collect()
     used = check_packing(rows, texts, 4096)
     assert used <= 1.01 * best_fit_decreasing([r.length for r in rows], 4096) + 1
+
+
+@pytest.mark.parametrize("name", ["Offset", "sequence_id", "__part"])
+def test_pack_refuses_columns_named_like_its_own(spark, name):
+    rows = spark.createDataFrame([(1, 2)], f"`{name}` long, length long")
+    with pytest.raises(ValueError, match="named like results"):
+        packing.pack(rows, 8, [name])
