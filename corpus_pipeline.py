@@ -62,7 +62,8 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     again = materialize(again.select("__id"), "repeated-ids")
     if again.isEmpty():  # no id stands in two rows: spares reading and joining the texts twice
         return docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
-    once = docs.join(gone.unionByName(again), docs["doc_id"] == F.col("__id"), "left_anti")
+    either = gone.unionByName(again)
+    once = docs.join(either, docs["doc_id"] == either["__id"], "left_anti")
     # Rows that share an id are told apart by their texts.
     several = docs.join(again, docs["doc_id"] == again["__id"], "left_semi")
     numbered = several.toDF(*[f"c{i}" for i in range(len(docs.columns))])
