@@ -2,8 +2,8 @@
 
 import re
 
-from filings_audit.operators import explain
-from filings_audit.session import materialize
+from filings_audit.operators import explain, search
+from filings_audit.session import materialize, new_dir
 
 
 def _method_sizes(frame) -> list[int]:
@@ -25,3 +25,14 @@ def test_code_per_row_is_short_enough_to_be_compiled(spark):
     assert sizes and max(sizes) <= 8000
     # Longer stages are generated in smaller methods.
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_the_index_cuts_a_name_once(spark):
+    path = new_dir(spark, "names")
+    rows = spark.range(500).select(
+        F.col("id").cast("string").alias("id"), F.lit("Quill & Co").alias("company_name"), F.concat(F.lit("2024-0"), F.col("id") % 3 + 1).alias("filing_month"))
+    rows.write.partitionBy("filing_month").parquet(f"{path}/table")
+    stored = spark.read.parquet(f"{path}/table")
+    search.write_index(stored, f"{path}/index")
+    assert spark.read.parquet(f"{path}/index/grams").count() == len("Quill & Co") + 2
+    assert search.search(stored, f"{path}/index", "QUILL").count() == 500
