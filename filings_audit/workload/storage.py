@@ -292,11 +292,11 @@ WITH {oracle.FILINGS}, told AS (
 def stream_rejects(spark, sf_dir):
     """ST3, K6: one of the micro-batches holds nothing but rejects, another none; each input row is found once."""
     work = new_dir(configure(spark), "stream-rejects")
-    rows = _nameless(spark, sf_dir)
-    rows.filter("company_name IS NULL").coalesce(1).write.parquet(f"{work}/in")
-    rows.filter("company_name IS NOT NULL").coalesce(1).write.mode("append").parquet(f"{work}/in")
-    for _ in range(2):
-        jobs.upsert_stream(_stream(spark, f"{work}/in", TRIAGE, files=1), f"{work}/gold", f"{work}/checkpoint", as_of())
+    rows = materialize(_nameless(spark, sf_dir), "nameless")
+    for some in (rows.filter("company_name IS NULL"), rows.filter("company_name IS NOT NULL"), None):  # the last run finds nothing new
+        if some is not None:
+            some.write.mode("append").parquet(f"{work}/in")
+        jobs.upsert_stream(_stream(spark, f"{work}/in", TRIAGE), f"{work}/gold", f"{work}/checkpoint", as_of())
     return _fate(spark, f"{work}/gold")
 
 

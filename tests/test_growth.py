@@ -1,9 +1,12 @@
 """What a job does per row, task and file must not grow faster than its input."""
 
+import glob
 import re
 
 from filings_audit.operators import explain, search
 from filings_audit.session import materialize, new_dir
+from filings_audit.streaming import jobs
+from filings_audit.workload import storage
 
 
 def _method_sizes(frame) -> list[int]:
@@ -36,3 +39,17 @@ def test_the_index_cuts_a_name_once(spark):
     search.write_index(stored, f"{path}/index")
     assert spark.read.parquet(f"{path}/index/grams").count() == len("Quill & Co") + 2
     assert search.search(stored, f"{path}/index", "QUILL").count() == 500
+
+
+def test_rejects_stream_is_not_written_by_one_task(spark, sf_dir, monkeypatch):
+    seen, stream = [], storage._stream
+    monkeypatch.setattr(storage, "_stream", lambda spark, path, *args, **more: seen.append(path) or stream(spark, path, *args, **more))
+    monkeypatch.setattr(jobs, "upsert_stream", lambda *args: None)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        storage.stream_rejects(spark, sf_dir)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(glob.glob(f"{seen[0].removeprefix('file:')}/*.parquet")) > 2
