@@ -237,6 +237,9 @@ def newest_kept(spark, sf_dir):
 
 # Streams ------------------------------------------------------------------------------------------
 
+_FILE_ROWS = 500_000
+
+
 def _stream(spark, path, schema, files=1000):
     return configure(spark).readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
@@ -278,9 +281,10 @@ WITH {oracle.GOLD} SELECT id, company_name, known_rule_violation, ml_anomaly_fla
 def stream_upsert(spark, sf_dir):
     """ST3: flagged filings into gold, in several micro-batches."""
     work = new_dir(configure(spark), "stream-upsert")
-    rows = conform(fixture.triage_rows(spark, sf_dir), TRIAGE)
-    rows.repartitionByRange(3, "filing_date").write.parquet(f"{work}/in")
-    jobs.upsert_stream(_stream(spark, f"{work}/in", TRIAGE, files=1), f"{work}/gold", f"{work}/checkpoint")
+    rows = materialize(fixture.triage_table(spark, sf_dir), "rows")
+    files = max(1, -(-rows.count() // (3 * _FILE_ROWS)))  # of a third; one task writes a file
+    rows.repartitionByRange(3 * files, "filing_date").write.parquet(f"{work}/in")
+    jobs.upsert_stream(_stream(spark, f"{work}/in", TRIAGE, files=files), f"{work}/gold", f"{work}/checkpoint")
     return gold.read_gold(spark, f"{work}/gold").select(
         "id", "company_name", "known_rule_violation", "ml_anomaly_flag", "root_cause_message")
 

@@ -6,7 +6,7 @@ import re
 from filings_audit.operators import explain, search
 from filings_audit.session import materialize, new_dir
 from filings_audit.streaming import jobs
-from filings_audit.workload import storage
+from filings_audit.workload import fixture, storage
 
 
 def _method_sizes(frame) -> list[int]:
@@ -53,3 +53,12 @@ def test_rejects_stream_is_not_written_by_one_task(spark, sf_dir, monkeypatch):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert len(glob.glob(f"{seen[0].removeprefix('file:')}/*.parquet")) > 2
+
+
+def test_upsert_stream_has_more_files_of_more_rows(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(storage, "_FILE_ROWS", 200)
+    seen, stream = [], storage._stream
+    monkeypatch.setattr(storage, "_stream", lambda spark, path, schema, files: seen.append((path, files)) or stream(spark, path, schema, files))
+    assert storage.stream_upsert(spark, sf_dir).count() == fixture.scored(spark, sf_dir).count()
+    (path, per_batch), = seen
+    assert len(glob.glob(f"{path.removeprefix('file:')}/*.parquet")) == 3 * per_batch > 3
