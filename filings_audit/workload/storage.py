@@ -32,12 +32,15 @@ def _revised(spark, sf_dir):
     shipped = star_schema.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.max("l_shipdate").cast("timestamp").alias("shipped"), F.sum("l_quantity").alias("quantity"))
     rows = star_schema.filings(spark, sf_dir, growth=False).join(shipped, F.col("order_key") == F.col("l_orderkey"))
-    new = rows.withColumns({
+    older = F.timestamp_add("DAY", F.lit(-1), "shipped")
+    times = F.array(  # both rows from one join
+        F.struct(F.to_date("shipped").alias("day"), F.col("shipped").alias("at")),
+        F.struct(F.lit("2001-01-01").cast("date").alias("day"), older.cast("timestamp").alias("at")))
+    return rows.withColumns({
         "id": F.when(F.col("order_key") % 13 != 0, F.col("id")),
         "company_name": F.when(F.col("order_key") % 7 != 0, F.col("company_name")),
-        "filing_date": F.to_date("shipped"),
-        "operating_cash_flow": (F.col("quantity") * 1e6).cast("decimal(20,2)"), "created_at": F.col("shipped")})
-    return new.unionByName(new.withColumns({"created_at": F.timestamp_add("DAY", F.lit(-1), "shipped"), "filing_date": F.lit("2001-01-01").cast("date")}))
+        "operating_cash_flow": (F.col("quantity") * 1e6).cast("decimal(20,2)"),
+        "__time": F.explode(times)}).withColumns({"filing_date": F.col("__time.day"), "created_at": F.col("__time.at")}).drop("__time")
 
 
 def _order():

@@ -3,6 +3,8 @@
 import glob
 import re
 
+from pyspark.sql import functions as F
+
 from filings_audit.operators import explain, search
 from filings_audit.session import materialize, new_dir
 from filings_audit.streaming import jobs
@@ -62,3 +64,8 @@ def test_upsert_stream_has_more_files_of_more_rows(spark, sf_dir, monkeypatch):
     assert storage.stream_upsert(spark, sf_dir).count() == fixture.scored(spark, sf_dir).count()
     (path, per_batch), = seen
     assert len(glob.glob(f"{path.removeprefix('file:')}/*.parquet")) == 3 * per_batch > 3
+
+
+def test_a_revision_and_its_older_copy_come_from_one_join(spark, sf_dir):
+    plan = storage._revised(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("Join") == 2
