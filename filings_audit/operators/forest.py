@@ -212,18 +212,23 @@ def score(df: DataFrame, forest: Forest, vector: Column | str, out: str = "ml_ra
     return df.withColumn(out, raw_score(vector))
 
 
-def tree_depths(df: DataFrame, key: str, forest: Forest, vector: Column | str) -> DataFrame:
-    """(key, tree, depth), one row per record and tree. Give it the records of interest."""
+def depths(df: DataFrame, forest: Forest, vector: Column | str, out: str = "depths") -> DataFrame:
+    """Add the depths of each record, one per tree, as an array; no row is multiplied or shuffled."""
     model = df.sparkSession.sparkContext.broadcast(forest.plain())
 
     @F.pandas_udf("array<double>")
-    def depths(vectors: pd.Series) -> pd.Series:
+    def by_tree(vectors: pd.Series) -> pd.Series:
         if len(vectors) == 0:
             return pd.Series([], dtype=object)
         by_row = np.column_stack(list(_depths(model.value, np.vstack(vectors.to_numpy()))))
         return pd.Series(list(by_row))
 
-    return df.select(key, depths(vector).alias("depths")).select(key, F.posexplode("depths").alias("tree", "depth"))
+    return df.withColumn(out, by_tree(vector))
+
+
+def tree_depths(df: DataFrame, key: str, forest: Forest, vector: Column | str) -> DataFrame:
+    """(key, tree, depth), one row per record and tree. Give it the records of interest."""
+    return depths(df, forest, vector).select(key, F.posexplode("depths").alias("tree", "depth"))
 
 
 def contributions(df: DataFrame, forest: Forest, vector: Column | str, names: list[str], out: str = "contributions") -> DataFrame:

@@ -193,8 +193,9 @@ def iforest_check(spark, sf_dir):
     scored = materialize(scored, "scored")
     dealt, _ = forest.fit_and_score(rows.repartition(7, "revenue_growth"), "id", "vector")
     both = scored.select("id", F.col("ml_raw_score").alias("one")).join(dealt.select("id", F.col("ml_raw_score").alias("two")), "id")
-    depths = forest.tree_depths(scored, "id", model, "vector").groupBy("id").agg(F.avg("depth").alias("mean"))
-    back = scored.join(depths, "id").filter(F.abs(F.col("ml_raw_score") + F.pow(F.lit(2.0), -F.col("mean") / model.scale)) > 1e-9)
+    mean = F.aggregate("depths", F.lit(0.0), lambda a, x: a + x) / F.size("depths")
+    near = F.abs(F.col("ml_raw_score") + F.pow(F.lit(2.0), -mean / model.scale)) <= 1e-9
+    back = forest.depths(scored, model, "vector").filter(~F.coalesce(near, F.lit(False)))
     nodes = forest.fit(rows, "id", "vector").groupBy("tree").count().agg(F.count("*").alias("trees"), F.max("count").alias("most"))
     flagged = detection.flag_below_quantile(scored, contamination=0.08)
     wanted = detection.quantile(scored, "ml_raw_score", 0.08)

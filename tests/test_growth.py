@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from filings_audit.operators import explain, search
+from filings_audit.operators import explain, forest, search
 from filings_audit.session import materialize, new_dir
 from filings_audit.streaming import jobs
 from filings_audit.workload import fixture, storage
@@ -69,3 +69,15 @@ def test_upsert_stream_has_more_files_of_more_rows(spark, sf_dir, monkeypatch):
 def test_a_revision_and_its_older_copy_come_from_one_join(spark, sf_dir):
     plan = storage._revised(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in plan and plan.count("Join") == 2
+
+
+def test_depths_add_no_rows_and_no_shuffle(spark):
+    rows = spark.range(400).select(F.col("id").cast("string").alias("id"), F.array(F.sqrt("id"), F.sin("id")).alias("vector"))
+    rows = materialize(rows, "vectors")
+    scored, model = forest.fit_and_score(rows, "id", "vector", forest.ForestParams(trees=9, sample_size=32))
+    told = forest.depths(scored, model, "vector")
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
+    long = forest.tree_depths(scored, "id", model, "vector").groupBy("id").agg(F.sum("depth").alias("sum"), F.count("*").alias("n"))
+    for row in told.join(long, "id").collect():
+        assert len(row.depths) == row.n == 9 and abs(sum(row.depths) - row["sum"]) < 1e-9
