@@ -155,6 +155,38 @@ def test_cut_and_pack(spark):
     assert used <= 1.02 * best_fit_decreasing([r.length for r in rows], 50) + 1
 
 
+def test_words_of_lower_case_letters_are_cut_and_encoded_the_short_way():
+    class Once:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, []
+
+        def encode_batch_fast(self, texts, add_special_tokens):
+            self.texts += texts
+            return self.tokenizer.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    def search(text):
+        raise AssertionError("searched")
+
+    words = packing.load_words(WORD_BPE)
+    words.tokenizer = full = Once(words.tokenizer)
+    library, r = Tokenizer.from_file(WORD_BPE), random.Random(7)
+
+    def ids(text):
+        found = words.of(text)
+        known = words.learn(set(found))
+        return np.frombuffer(b"".join(known[w] for w in found), "<u4").tolist()
+
+    characters = [chr(c) for c in range(256)] + list("abc 12'., ") * 6 + ["\u212a", "\u212b", "日", "Σ"]
+    for text in ["".join(r.choices(characters, k=r.randint(1, 30))) for _ in range(3000)]:
+        assert ids(text) == library.encode(text, add_special_tokens=False).ids, text
+    words.known.clear()
+    full.texts.clear()
+    words.latin = words.latin_endings = words.any = search
+    text = "Äpfel and Straße, 12 more\u00a0words. µ ª"
+    assert ids(text) == library.encode(text, add_special_tokens=False).ids
+    assert set(full.texts) <= set("12,.")  # no letters pass through the whole tokenizer
+
+
 def test_pack_refuses_lengths_out_of_bounds_and_takes_an_empty_table(spark):
     rows = spark.createDataFrame([(1, 5), (2, 9)], "doc_id long, length long")
     assert packing.pack(rows.limit(0), 8, ["doc_id"]).collect() == []
