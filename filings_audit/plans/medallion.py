@@ -122,7 +122,7 @@ def run_batch(
     audit_log.write_pii_log(entries.unionByName(post), config.path("pii_log"))  # U1
 
     silver = conform(rescanned, SILVER)
-    written = gold.upsert(silver, config.path("gold"), as_of, unique=True, watch=steps["VALIDATE"].watch)
+    written = gold.upsert(silver, config.path("gold"), as_of, unique=True, watch=steps["VALIDATE"].watch, stored=True)
     done = [step for name, step in steps.items() if name != "EXPORT" or config.keep_silver]
     audit_log.write_run_events(spark, done, config.run_id, cleaning.MASKING_VERSION, as_of, config.path("events"))
     return RunResult(

@@ -21,6 +21,7 @@ ENCODING = "ISO-8859-1"
 # How the lines before the entries begin, and the titles of the columns.
 HEADER = r"^\s*(Description|Last Data Received|Comments|Anonymous FTP|Cloud HTTP):|^Company Name\s+Form Type\s"
 # Both .../2024/QTR1/company.gz and .../edgar_year=2024/edgar_quarter=QTR1/part.gz name their quarter.
+_FOLDERS_IN_PATH = r"/(?:edgar_year=)?(\d{4}/(?:edgar_quarter=)?QTR[1-4])/[^/]+$"
 _QUARTER_IN_PATH = r"/(?:edgar_year=)?(\d{4})/(?:edgar_quarter=)?(QTR[1-4])/[^/]+$"
 
 
@@ -44,18 +45,22 @@ def classify_lines(lines: DataFrame) -> DataFrame:
     decoded here.
     """
     fields = {name: _cut(F.col("line"), *span) for name, span in LAYOUT.items()}
-    decoded = lines.select(F.decode(F.col("value").cast("binary"), ENCODING).alias("line"), "path")
+    # The two folders are found once, at the short end of the path: year first, quarter last.
+    folders = F.regexp_extract(F.substring_index("path", "/", -4), _FOLDERS_IN_PATH, 1)
+    decoded = lines.select(F.decode(F.col("value").cast("binary"), ENCODING).alias("line"), "path", folders.alias("folders"))
+    # Every header has one of these, few entries do: the expression runs on those lines alone.
+    possible = F.col("line").contains(":") | F.col("line").startswith("Company Name")
     kind = (
         F.when(F.trim("line") == "", "blank")
-        .when(F.col("line").startswith("---") | F.col("line").rlike(HEADER), "header")
+        .when(F.col("line").startswith("---") | (possible & F.col("line").rlike(HEADER)), "header")
         .when(F.coalesce(F.col("cik").rlike(r"^\d+$"), F.lit(False)), "entry")
         .otherwise("damaged")
     )
     rows = decoded.select(
         "line",
         *[F.nullif(expr, F.lit("")).alias(name) for name, expr in fields.items()],
-        F.regexp_extract("path", _QUARTER_IN_PATH, 1).alias("edgar_year"),
-        F.regexp_extract("path", _QUARTER_IN_PATH, 2).alias("edgar_quarter"),
+        F.substring("folders", 1, 4).alias("edgar_year"),
+        F.substring("folders", -4, 4).alias("edgar_quarter"),
         "path",
     )
     return rows.withColumn("kind", kind)

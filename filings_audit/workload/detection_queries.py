@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filings_audit.operators import detection, explain, forest
+from filings_audit.operators import detection, explain, forest, keyed
 from filings_audit.plans import medallion
 from filings_audit.session import configure, materialize, new_dir
 from filings_audit.sinks import audit_log
@@ -278,9 +278,13 @@ def iforest_features_check(spark, sf_dir):
 
 
 def _facts(spark, sf_dir):
-    return star_schema.filings(spark, sf_dir).groupBy(F.regexp_replace("cik", "^0+", "").alias("cik")).agg(
-        F.max("revenue_usd").alias("revenue_usd"), F.max("operating_cash_flow").alias("operating_cash_flow"),
-        F.max_by("revenue_growth", "order_key").alias("revenue_growth"), F.max("executive_name").alias("executive_name"))
+    """One row per company. Filings are grouped before the cash flow is attached, so that is done once per company."""
+    filed = star_schema.submissions(spark, sf_dir, growth=True).groupBy("cik").agg(
+        F.max("revenue_usd").alias("revenue_usd"), F.max_by("revenue_growth", "order_key").alias("revenue_growth"),
+        F.max("executive_name").alias("executive_name"))
+    cash = star_schema.facts(spark, sf_dir).groupBy("cik").agg(F.max("operating_cash_flow").alias("operating_cash_flow"))
+    return keyed.attach_facts(filed, cash).select(
+        F.regexp_replace("cik", "^0+", "").alias("cik"), "revenue_usd", "operating_cash_flow", "revenue_growth", "executive_name")
 
 
 @query("live_batch")

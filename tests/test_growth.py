@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from filings_audit.operators import explain, forest, search
 from filings_audit.session import materialize, new_dir
+from filings_audit.sinks import gold
+from filings_audit.sources import index_files, star_schema
 from filings_audit.streaming import jobs
-from filings_audit.workload import fixture, storage
+from filings_audit.workload import detection_queries, fixture, storage
 
 
 def _method_sizes(frame) -> list[int]:
@@ -81,3 +83,45 @@ def test_depths_add_no_rows_and_no_shuffle(spark):
     long = forest.tree_depths(scored, "id", model, "vector").groupBy("id").agg(F.sum("depth").alias("sum"), F.count("*").alias("n"))
     for row in told.join(long, "id").collect():
         assert len(row.depths) == row.n == 9 and abs(sum(row.depths) - row["sum"]) < 1e-9
+
+
+def test_a_line_is_searched_for_its_quarter_once(spark):
+    values = ["Comments:  none", "Company Name  Form Type  CIK", "Quill: Co".ljust(62) + "10-K".ljust(12) + "12".ljust(12) + "2024-02-01".ljust(12) + "e/1.txt", "odd", " "]
+    paths = ["file:/a/2024/QTR1/company.gz", "file:/a/edgar_year=2023/edgar_quarter=QTR4/x/part.gz", "file:/edgar_year=2023/edgar_quarter=QTR4/part.gz", "/2022/QTR5/x"]
+    lines = spark.createDataFrame([(v, p) for v in values for p in paths], "value string, path string")
+    rows = index_files.classify_lines(lines)
+    assert {(r.path, r.edgar_year, r.edgar_quarter) for r in rows.collect()} == set(
+        zip(paths, ["2024", "", "2023", ""], ["QTR1", "", "QTR4", ""]))
+    assert [r.kind for r in rows.filter(F.col("path") == paths[0]).collect()] == ["header", "header", "entry", "damaged", "blank"]
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") == 1
+
+
+def test_facts_are_grouped_before_the_cash_flow_is_attached(spark, sf_dir):
+    found = detection_queries._facts(spark, sf_dir)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")
+    wanted = star_schema.filings(spark, sf_dir).groupBy(F.regexp_replace("cik", "^0+", "").alias("cik")).agg(
+        F.max("revenue_usd").alias("revenue_usd"), F.max("operating_cash_flow").alias("operating_cash_flow"),
+        F.max_by("revenue_growth", "order_key").alias("revenue_growth"), F.max("executive_name").alias("executive_name"))
+    assert found.schema == wanted.schema
+    assert found.count() == wanted.count() and found.exceptAll(wanted).isEmpty()
+
+
+def test_a_stored_batch_is_not_copied(spark):
+    rows = [(str(i), f"Company {i}" if i % 4 else None) for i in range(20)]
+    batch = materialize(spark.createDataFrame(rows, "id string, company_name string").withColumn("filing_date", F.lit("2024-02-01").cast("date")), "batch")
+    root = new_dir(spark, "gold")
+    checked, counts = gold._check(batch, root, "one", fixture.as_of(), stored=True)
+    assert (counts["kept"], counts["refused"]) == (15, 5)
+    assert checked.filter("refused").count() == 5 and checked.count() == 20
+    folder = f"{root}/batches/one".removeprefix("file:")
+    assert glob.glob(f"{folder}/refused=true/*.parquet") and not glob.glob(f"{folder}/refused=false")
+    copied = gold.upsert(batch, f"{root}/copied", fixture.as_of(), unique=True)
+    written = gold.upsert(batch, f"{root}/stored", fixture.as_of(), unique=True, stored=True)
+    assert written == copied and (written.kept, written.rejected) == (15, 5)
+    for read in (gold.read_gold, gold.read_rejected):
+        one, other = read(spark, f"{root}/copied"), read(spark, f"{root}/stored")
+        assert one.count() == other.count() and one.exceptAll(other).isEmpty()
+    # The same batch again is told by its name: its refused rows count once.
+    gold.upsert(batch, f"{root}/stored", fixture.as_of(), unique=True, stored=True)
+    assert gold.read_rejected(spark, f"{root}/stored").count() == 5
