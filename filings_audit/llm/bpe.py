@@ -216,9 +216,9 @@ def encode(docs: DataFrame, path: str, keep: list[str], text: str = "text") -> D
     ``path`` names a byte-level BPE file that every executor can open. Special tokens inside a text become their
     ids. A null or empty text has no ids. Repeated rows are encoded each; other columns are not touched.
     """
-    return map_texts(docs, keep, text, "ids binary", _encoder(path))
+    return map_texts(docs, keep, text, "ids binary", _encoder(path), ("bpe", path))
 
 
 def decode(encoded: DataFrame, path: str, keep: list[str], ids: str = "ids") -> DataFrame:
     """``keep`` and ``text``: the text of packed ids; null ids give an empty text, broken UTF-8 the replacement sign."""
-    return map_texts(encoded, keep, ids, "text string", _decoder(path))
+    return map_texts(encoded, keep, ids, "text string", _decoder(path), ("bpe", path))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filings_audit.llm.common import map_texts
+from filings_audit.llm.common import lean, map_texts
 from filings_audit.llm.components import components
 from filings_audit.session import materialize
 
@@ -307,7 +307,7 @@ def _exact_edges(settings: Settings):
 
 def _in_cells(rows: DataFrame, key: str, run) -> DataFrame:
     dealt = rows.select(key, "cell", "vertex", *[c for c in rows.columns if c not in (key, "cell", "vertex")])
-    return dealt.repartition(key, "cell").sortWithinPartitions(key, "cell").mapInArrow(run, "u long, v long")
+    return dealt.repartition(key, "cell").sortWithinPartitions(key, "cell").mapInArrow(lean(run), "u long, v long")
 
 
 def _sets_of(docs: DataFrame, groups: DataFrame, settings: Settings) -> DataFrame:
@@ -335,7 +335,7 @@ def _sets_of(docs: DataFrame, groups: DataFrame, settings: Settings) -> DataFram
                 yield pa.RecordBatch.from_arrays([ids, digests, sets], names=["doc_id", "digest", "shingles"])
 
     asked = docs.where("doc_id IS NOT NULL").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(BITS)).alias("bit"))
-    return asked.mapInArrow(run, "doc_id long, digest binary, shingles array<bigint>")
+    return asked.mapInArrow(lean(run), "doc_id long, digest binary, shingles array<bigint>")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:

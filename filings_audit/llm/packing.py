@@ -22,11 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from filings_audit.llm.common import WHITE_SPACE, once
+from filings_audit.llm.common import WHITE_SPACE, lean, once
 from filings_audit.session import materialize
 
 # Words kept per Python worker, from task to task. A full cache is emptied; results don't depend on it.
 CACHE_WORDS = 500_000
+TEXTS = 100  # cut at a time
 
 
 # Letters and digits among the lower-case Latin-1 characters, as regex class bodies.
@@ -108,20 +109,16 @@ class Words:
 
 def load_words(path: str) -> Words:
     """The words of a tokenizers file."""
-    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+    from tokenizers import Tokenizer, pre_tokenizers
 
-    def load():
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        return tokenizer
-
-    plain = load()
-    plain.normalizer = normalizers.Sequence([])
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    plain = Tokenizer(tokenizer.model)  # both share one model in memory
     plain.pre_tokenizer = pre_tokenizers.Sequence(
         [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
     )
-    return Words(load(), plain)
+    return Words(tokenizer, plain)
 
 
 def cut(docs: DataFrame, path: str, capacity: int, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -131,13 +128,15 @@ def cut(docs: DataFrame, path: str, capacity: int, end_id: int, doc_id: str = "d
     or empty text is ``end_id`` alone. ``ids`` holds little-endian unsigned 32-bit integers. Repeated rows are cut
     each. A word is encoded once per Python worker as long as its cache holds it.
     """
+    kept = ("packing words", path)
     chosen = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words = once(("packing words", path), lambda: load_words(path))
+        words = once(kept, lambda: load_words(path))
         end, step = end_id.to_bytes(4, "little"), 4 * capacity
-        for batch in batches:
+        # The words of all texts of a batch would take several times its size, so few texts are cut at a time.
+        for batch in (batch.slice(at, TEXTS) for batch in batches for at in range(0, batch.num_rows, TEXTS)):
             texts = [words.of(text) for text in batch.column(1).to_pylist()]
             known = words.learn(set().union(*texts))
             rows: list[tuple] = []
@@ -154,7 +153,7 @@ def cut(docs: DataFrame, path: str, capacity: int, end_id: int, doc_id: str = "d
                 yield _pieces(rows, batch.schema.field(0).type)
 
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids binary")
+    return chosen.mapInArrow(lean(run, kept), f"doc_id {kind}, piece int, start long, length long, ids binary")
 
 
 def _pieces(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
@@ -205,8 +204,8 @@ def pack(pieces: DataFrame, capacity: int, keep: list[str], length: str = "lengt
     """``keep``, ``length``, ``sequence_id`` and ``offset``: a place for every row in sequences of ``capacity``.
 
     ``length`` must lie between 1 and ``capacity``. Equal rows get a place each; an empty table stays empty. The
-    rows are written once to the shared folder, so later steps see the same order. The driver receives one
-    count per length. No column of ``keep`` may be named like a made one, whatever its case.
+    rows are written to the shared folder, as given and ranked, so later steps see the same order. The driver receives
+    one count per length. No column of ``keep`` may be named like a made one, whatever its case.
     """
     clashing = {c.lower() for c in keep if c != length} & {length.lower(), *MADE}
     if clashing:
@@ -233,6 +232,8 @@ def pack(pieces: DataFrame, capacity: int, keep: list[str], length: str = "lengt
             extra = [pa.array(np.full(len(sizes), part, np.int64)), pa.array(local)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, "__part", "__local"])
 
+    # Written first: in the tasks that make the rows, a second Python worker would stand beside the one of ``cut``.
+    chosen = materialize(chosen, "lengths")
     numbered = materialize(chosen.mapInArrow(number, f"{kept}__length long, __part long, __local long"), "pieces")
     in_part = numbered.groupBy("__part", "__length").agg(F.count("*").alias("__n"))
     before = Window.partitionBy("__length").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filings_audit.llm.common import held_out, map_texts, pieces, sample_by_hash
+from filings_audit.llm.common import held_out, lean, map_texts, pieces, sample_by_hash
 
 
 @dataclass(frozen=True)
@@ -117,7 +117,7 @@ def word_vectors(docs: DataFrame, settings: Settings = Settings(), text: str = "
             yield pa.RecordBatch.from_arrays(arrays, names=["bucket", *names])
 
     names = [f"v{k}" for k in range(width)]
-    sums = docs.select(docs[text]).mapInArrow(run, ", ".join(["bucket long", *(f"{n} long" for n in names)]))
+    sums = docs.select(docs[text]).mapInArrow(lean(run), ", ".join(["bucket long", *(f"{n} long" for n in names)]))
     rows = sums.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
     out = np.zeros((number, width))
     columns = [rows.column(n).to_numpy() for n in names]

@@ -116,4 +116,4 @@ def count_tokens(docs: DataFrame, path: str, keep: list[str], text: str = "text"
     with the space sign before it; texts are not normalised. Null and empty texts count 0. Repeated rows are
     counted each.
     """
-    return map_texts(docs, keep, text, "n_words long, n_tokens long", _counts(path))
+    return map_texts(docs, keep, text, "n_words long, n_tokens long", _counts(path), ("unigram", path))

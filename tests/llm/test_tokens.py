@@ -1,3 +1,4 @@
+import gc
 import hashlib
 import random
 import zlib
@@ -9,6 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from filings_audit.llm import bpe, packing, tokencount
+from filings_audit.llm.common import map_texts
 from filings_audit.llm.queries import op5_token_counts, op6_bpe, op10_packing
 
 BYTE_BPE, WORD_BPE, PIECES = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
@@ -155,6 +157,36 @@ def test_cut_and_pack(spark):
     assert used <= 1.02 * best_fit_decreasing([r.length for r in rows], 50) + 1
 
 
+def test_cutting_and_ranking_never_take_two_workers_of_one_task(spark, monkeypatch):
+    plans, write = [], packing.materialize
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label)
+
+    monkeypatch.setattr(packing, "materialize", noted)
+    pieces = packing.cut(frame(spark, ["a b", "c", None]), WORD_BPE, 50, 1).drop("ids")
+    assert packing.pack(pieces, 50, ["doc_id", "length"]).count() == 3
+    assert max(plan.count("MapInArrow") for plan in plans) == 1
+
+
+def test_a_worker_drops_what_another_operator_has_kept(spark):
+    docs = frame(spark, ["a b", "c", "d e", "f"] * 4).repartition(4)
+
+    def make():
+        kept = sum(type(x).__name__ == "Words" for x in gc.get_objects())
+        return lambda texts: [[kept] * len(texts)]
+
+    def words():
+        return sum(r.n for r in map_texts(docs, ["doc_id"], "text", "n long", make, uses).collect())
+
+    assert packing.cut(docs, WORD_BPE, 50, 1).count() == 16
+    uses = ("packing words", WORD_BPE)
+    assert words() > 0  # a task of the same operator finds them
+    uses = None
+    assert words() == 0
+
+
 def test_words_of_lower_case_letters_are_cut_and_encoded_the_short_way():
     class Once:
         def __init__(self, tokenizer):
