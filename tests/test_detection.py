@@ -1,3 +1,4 @@
+import hashlib
 import statistics
 
 import numpy as np
@@ -76,6 +77,17 @@ def test_messages_use_measured_numbers_and_are_stable(spark):
     assert all(first[str(i)] is None for i in range(2, 60, 3))
 
 
+def test_every_message_is_chosen_by_the_md5_of_some_id(spark):
+    schema = ("id string, known_rule_violation boolean, ml_anomaly_flag boolean, revenue_growth double, "
+              "revenue_growth_norm double, operating_cash_flow_norm double, ml_anomaly_score double")
+    for rule, texts in ((True, explain.RULE_TEXTS), (False, explain.MODEL_TEXTS)):
+        frame = spark.createDataFrame([(str(i), rule, True, 0.314, 2.72, 0.0415, 0.87) for i in range(60)], schema)
+        filled = [t.format(growth="31.4", sigma="2.7", ratio="0.042", score="0.87") for t in texts]
+        for row in explain.with_root_cause(frame).collect():
+            assert row.root_cause_message == filled[int(hashlib.md5(row.id.encode()).hexdigest(), 16) % len(texts)]
+        assert {r.root_cause_message for r in explain.with_root_cause(frame).collect()} == set(filled)
+
+
 # Keyed operators on one hot key ---------------------------------------------------------------------
 
 def test_previous_value_equals_a_plain_lag(spark):
